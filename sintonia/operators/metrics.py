@@ -106,12 +106,27 @@ def gold_metrics(
     still gets 24 zero rows; repeated names count once).  When omitted, each date
     reports the channels present in its own data.  Dates are those present in the
     data.
+
+    The intermediate ``band_counts`` is bounded by dates x (channels + 1) x 24 rows
+    and feeds two branches; it is persisted so that silver is scanned and shuffled
+    once (without it each branch prunes the aggregate differently and Spark cannot
+    reuse the exchange).  Lost blocks are recomputed from lineage.  Callers that
+    manage the cache themselves use ``gold_from_counts``.
     """
-    # ``counts`` is bounded by dates x (channels + 1) x 24 rows and feeds two
-    # branches; persisting it keeps silver to a single scan and shuffle (without it
-    # each branch prunes the aggregate differently and Spark cannot reuse the
-    # exchange).  Lost blocks are recomputed from lineage.
     counts = band_counts(silver).persist(StorageLevel.MEMORY_AND_DISK)
+    return gold_from_counts(counts, canales=canales, canal_filter=canal_filter, procesado_en=procesado_en)
+
+
+def gold_from_counts(
+    counts: DataFrame,
+    *,
+    canales: Sequence[str] | None = None,
+    canal_filter: str | None = None,
+    procesado_en: datetime | str | None = None,
+) -> DataFrame:
+    """Gold rows from ``band_counts``: per-date and per-channel hour maps (at most
+    24 entries each), joined on their keys and expanded to the 24 bands.  The report
+    grid is generated (``explode``), never a cross join."""
     # Per date: hour -> (audience, universe), at most 24 entries.
     per_date = counts.filter(F.col(_BAND)).groupBy(S.FECHA).agg(_hour_map(S.FRANJA, F.col(_M)).alias("bandas"))
     # Per (date, channel): hour -> audience, at most 24 entries.
@@ -130,7 +145,7 @@ def gold_metrics(
         if canal_filter is not None:
             listed = [c for c in listed if c == canal_filter]
         if not listed:
-            return _empty_gold(silver)
+            return _empty_gold(counts)
         grid = per_date.select(S.FECHA, "bandas", F.explode(F.array(*[F.lit(c) for c in listed])).alias(S.CANAL))
         keys = grid.join(per_channel, [S.FECHA, S.CANAL], "left")
 
@@ -155,8 +170,8 @@ def gold_metrics(
     )
 
 
-def _empty_gold(silver: DataFrame) -> DataFrame:
-    return silver.sparkSession.createDataFrame([], S.GOLD)
+def _empty_gold(like: DataFrame) -> DataFrame:
+    return like.sparkSession.createDataFrame([], S.GOLD)
 
 
 def metrics_summary(gold: DataFrame) -> DataFrame:
