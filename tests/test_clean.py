@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from sintonia.operators import clean
+from tests.helpers import bronze_df
+
+T10 = datetime(2026, 8, 1, 10, 0)
+
+
+@pytest.mark.parametrize("universes", [(100_000, 150_000), (150_000, 100_000)])
+def test_conflicting_duplicate_keeps_largest_universe_in_any_order(spark, universes):
+    b = bronze_df(spark, [(T10, "Canal1", "hogar-0001", u) for u in universes])
+    rows = clean.clean(b).collect()
+    assert [(r.universo_total, str(r.fecha)) for r in rows] == [(150_000, "2026-08-01")]
+
+
+def test_rows_with_missing_fields_are_excluded_and_counted(spark):
+    b = bronze_df(spark, [(T10, "Canal1", "hogar-0001", 100_000), (datetime(2026, 8, 1, 10, 1), None, "hogar-0002", 100_000)])
+    s = clean.clean(b)
+    summary = clean.clean_summary(b, s).collect()[0]
+    assert (summary.output_rows, summary.excluded_null_rows, list(summary.canales)) == (1, 1, ["Canal1"])
+
+
+def test_channel_filter_after_dedup_and_excluded_count_over_all_channels(spark):
+    b = bronze_df(
+        spark,
+        [(T10, "Canal1", "hogar-0001", 100_000), (T10, "Canal2", "hogar-0002", 100_000), (T10, "Canal2", None, 1)],
+    )
+    s = clean.clean(b, canal_filter="Canal1")
+    summary = clean.clean_summary(b, s).collect()[0]
+    assert (summary.output_rows, summary.excluded_null_rows, list(summary.canales)) == (1, 1, ["Canal1"])
+
+
+def test_channel_filter_is_exact(spark):
+    b = bronze_df(spark, [(T10, "Canal1", "h", 1), (T10, "Canal10", "h", 1)])
+    assert [r.canal for r in clean.clean(b, canal_filter="Canal1").collect()] == ["Canal1"]
+
+
+def test_key_uses_exact_timestamp(spark):
+    b = bronze_df(spark, [(T10, "Canal1", "h", 1), (datetime(2026, 8, 1, 10, 0, 30), "Canal1", "h", 1)])
+    assert clean.clean(b).count() == 2
+
+
+def test_cluster_for_write_gives_same_rows_and_one_shuffle(spark):
+    rows = [(datetime(2026, 8, 1 + i % 3, i % 24, 0), f"Canal{i % 4}", f"h{i % 7}", 100 + i % 5) for i in range(500)]
+    b = bronze_df(spark, rows)
+    plain = sorted(map(tuple, clean.clean(b).collect()))
+    clustered_df = clean.clean(b, cluster_for_write=True)
+    assert sorted(map(tuple, clustered_df.collect())) == plain
+    plan = clustered_df._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
