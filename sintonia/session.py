@@ -22,9 +22,24 @@ REQUIRED_CONF = {
 }
 
 
+# HotSpot does not JIT-compile methods over 8000 bytes of bytecode; the
+# validation stage generates one.  Either the JVM compiles huge methods (flag
+# below, set at JVM launch) or whole-stage codegen backs off for such stages.
+HUGE_METHODS_FLAG = "-XX:-DontCompileHugeMethods"
+
+
+def _compiles_huge_methods(spark: SparkSession) -> bool:
+    conf = spark.sparkContext.getConf()
+    local = (conf.get("spark.master", "") or "").startswith("local")
+    key = "spark.driver.extraJavaOptions" if local else "spark.executor.extraJavaOptions"
+    return HUGE_METHODS_FLAG in (conf.get(key, "") or "")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    if not _compiles_huge_methods(spark):
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
@@ -37,6 +52,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("SINTONIA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.driver.extraJavaOptions", HUGE_METHODS_FLAG)
+        # Small local inputs: let AQE keep several tasks for CPU-heavy stages
+        # instead of merging every shuffle below 1 MB into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from sintonia import schemas as S
 from sintonia.functions.columns import is_blank
-from sintonia.sources.storage import path_exists
+from sintonia.sources.storage import path_exists, spread
 
 LANDING_DATE = "fecha_landing"
 _LANDING_SCHEMA = T.StructType([T.StructField("value", T.StringType()), T.StructField(S.FECHA, T.DateType())])
@@ -40,7 +40,7 @@ def landing_scan(
     lines = spark.read.schema(_LANDING_SCHEMA).text(root)
     if start is not None:
         lines = lines.filter(F.col(S.FECHA).between(F.lit(start).cast("date"), F.lit(end or start).cast("date")))
-    return lines.filter(~is_blank("value")).select("value", F.col(S.FECHA).alias(LANDING_DATE))
+    return spread(lines.filter(~is_blank("value")).select("value", F.col(S.FECHA).alias(LANDING_DATE)))
 
 
 def iso_text(ts: str | Column) -> Column:

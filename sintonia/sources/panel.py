@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
+from sintonia.sources.storage import spread
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type")
 
@@ -22,7 +23,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    return spread(read_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
 
 
 def _panel_columns(events: DataFrame) -> list[Column]:

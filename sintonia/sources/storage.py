@@ -3,7 +3,7 @@ stores and local paths alike, from the driver only for existence checks)."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -15,3 +15,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def join(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *[p.strip("/") for p in parts]])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer tasks than the cluster has cores (one small
+    file, a single row group) over ``defaultParallelism`` tasks so the CPU-heavy
+    narrow work after it (JSON parsing, validation) runs in parallel.  Large inputs
+    already scan in many splits and are returned untouched: no shuffle is added
+    where the scan itself is parallel."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    # Hash on every column: deterministic on retry without the sort a round-robin
+    # repartition needs.
+    return df.repartition(cores, *df.columns)
