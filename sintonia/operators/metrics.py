@@ -13,9 +13,9 @@ Every (date, channel) of the report has its 24 bands.  Channels listed by the
 caller define the report rows; channels present in the data but not listed still
 count in the band denominators; ``canal_filter`` narrows the rows only.
 
-Plan: the only event-scale work is one aggregation to household-hour rows (map-side
-combine folds the minutes of a household and hour into one row carrying its set of
-channels).  Everything after it is bounded by dates x channels x 24 rows.
+Plan: the only event-scale work is one aggregation to household-hour rows, per
+channel and for the whole band (map-side combine folds the minutes of a household
+before the shuffle).  Everything after it is bounded by dates x channels x 24 rows.
 """
 
 from __future__ import annotations
@@ -34,38 +34,32 @@ _BAND = "es_franja"  # True: the whole band; False: one channel in the band
 _M = "m"
 
 
-def household_bands(silver: DataFrame) -> DataFrame:
-    """One row per (fecha, franja, household) with the household's largest universe
-    and the set of channels it watched in the band (bounded by the channel count)."""
-    return (
-        silver.select(
-            event_date(S.TIMESTAMP).alias(S.FECHA),
-            hour_band(S.TIMESTAMP).alias(S.FRANJA),
-            S.HOGAR,
-            S.CANAL,
-            S.UNIVERSO,
-        )
-        .groupBy(S.FECHA, S.FRANJA, S.HOGAR)
-        .agg(F.max(S.UNIVERSO).alias(S.UNIVERSO), F.collect_set(S.CANAL).alias("canales"))
-    )
-
-
 def band_counts(silver: DataFrame) -> DataFrame:
-    """Audience counts per band and per (band, channel) in one aggregate.
-
-    Each household-band row stands once for the band and once per channel it
-    watched; counting rows then counts distinct households at both levels.  Output:
-    ``fecha, franja_horaria, es_franja, canal, m`` with ``m`` a struct of
-    ``audiencia`` and ``universo``.  ``canal`` is NULL on band rows; select levels by
-    ``es_franja``, never by a NULL channel.
+    """Audience counts per band and per (band, channel) in one pass.
+
+    Each silver row stands once for its band (``es_franja`` true, ``canal`` NULL)
+    and once for its channel in the band.  The first aggregate keeps one row per
+    household at each level (map-side combine folds a household's minutes before
+    the shuffle, and a hot key arrives as at most one partial row per task); the
+    second counts those rows, i.e. distinct households, and takes the largest
+    universe.  Output: ``fecha, franja_horaria, es_franja, canal, m`` with ``m`` a
+    struct of ``audiencia`` and ``universo``.  Select levels by ``es_franja``, never
+    by a NULL channel.  Only hash aggregates on primitive keys: no object
+    aggregation, no sort.
     """
-    hb = household_bands(silver)
-    levels = F.concat(
-        F.array(F.struct(F.lit(True).alias(_BAND), F.lit(None).cast("string").alias(S.CANAL))),
-        F.transform("canales", lambda c: F.struct(F.lit(False).alias(_BAND), c.alias(S.CANAL))),
+    levels = F.array(
+        F.struct(F.lit(True).alias(_BAND), F.lit(None).cast("string").alias(S.CANAL)),
+        F.struct(F.lit(False).alias(_BAND), F.col(S.CANAL).alias(S.CANAL)),
+    )
+    rows = silver.select(
+        event_date(S.TIMESTAMP).alias(S.FECHA),
+        hour_band(S.TIMESTAMP).alias(S.FRANJA),
+        S.HOGAR,
+        S.UNIVERSO,
+        F.inline(levels),
     )
-    rows = hb.select(S.FECHA, S.FRANJA, S.UNIVERSO, F.inline(levels))
-    return rows.groupBy(S.FECHA, S.FRANJA, _BAND, S.CANAL).agg(
+    households = rows.groupBy(S.FECHA, S.FRANJA, _BAND, S.CANAL, S.HOGAR).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
+    return households.groupBy(S.FECHA, S.FRANJA, _BAND, S.CANAL).agg(
         F.struct(F.count(F.lit(1)).alias("audiencia"), F.max(S.UNIVERSO).alias("universo")).alias(_M)
     )
 

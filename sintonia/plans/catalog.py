@@ -9,15 +9,20 @@ Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
-from sintonia.operators import metrics, reports, validate
-from sintonia.sources import panel
+from sintonia.operators import audit, metrics, reports, validate
+from sintonia.plans.runner import PipelineConfig, run_pipeline
+from sintonia.session import ensure_checkpoint_dir
+from sintonia.sources import landing, layers, panel, sinks
 
 CHANNELS = ["Canal_click", "Canal_error", "Canal_purchase", "Canal_signup", "Canal_view"]
 LISTED = CHANNELS + ["Canal_dark"]
@@ -171,6 +176,85 @@ def q_report_max_rating(spark, sf_dir):
     )
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/sintonia-scratch/{name}-{uuid.uuid4().hex}"
+
+
+RANGE = ("2024-01-10", "2024-01-12")
+
+
+def q_layer_counts(spark, sf_dir):
+    bronze = dirty_bronze(spark, sf_dir)
+    silver = silver_ops.clean(bronze)
+    gold = metrics.gold_metrics(silver, canales=LISTED)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
+        for name, df in (("bronze", bronze), ("silver", silver), ("gold", gold))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_range_prune(spark, sf_dir):
+    root = _scratch(spark, "gold")
+    sinks.write_gold(sparse_gold(spark, sf_dir), root)
+    spark.catalog.clearCache()
+    return layers.read_gold(spark, root, start=RANGE[0], end=RANGE[1], canal=FILTERED).select(*_GOLD_OUT)
+
+
+def q_rewrite_replaces_partition(spark, sf_dir):
+    root = _scratch(spark, "gold")
+    sinks.write_gold(sparse_gold(spark, sf_dir), root)
+    sinks.write_gold(sparse_gold(spark, sf_dir, canal_filter=FILTERED), root)
+    spark.catalog.clearCache()
+    return audit.inventory(spark, root, S.GOLD)
+
+
+def q_content_digest(spark, sf_dir):
+    return audit.partition_digests(dirty_silver(spark, sf_dir), S.SILVER_PARTITIONS)
+
+
+def q_two_run_compare(spark, sf_dir):
+    roots = []
+    for _ in range(2):
+        root = _scratch(spark, "silver")
+        sinks.write_silver(silver_ops.clean(dirty_bronze(spark, sf_dir), cluster_for_write=True), root)
+        roots.append(root)
+    a, b = (audit.partition_digests(layers.read_silver(spark, r), S.SILVER_PARTITIONS) for r in roots)
+    return audit.compare(a, b, S.SILVER_PARTITIONS).select(*S.SILVER_PARTITIONS, "n_rows_a", "n_rows_b", "same")
+
+
+def _landing_from_panel(spark, sf_dir) -> str:
+    root = _scratch(spark, "raw")
+    landing.export_landing(panel.clean_panel(_events(spark, sf_dir)).drop("event_id"), root)
+    return root
+
+
+def q_landing_roundtrip(spark, sf_dir):
+    root = _landing_from_panel(spark, sf_dir)
+    judged = validate.judge(landing.landing_scan(spark, root))
+    return validate.accepted(judged).select(*_BRONZE_OUT)
+
+
+def q_resume_from_silver(spark, sf_dir):
+    base = _scratch(spark, "pipeline")
+    cfg = PipelineConfig(
+        landing_root=_landing_from_panel(spark, sf_dir),
+        bronze_root=f"{base}/bronze",
+        silver_root=f"{base}/silver",
+        gold_root=f"{base}/gold",
+        start=date(2024, 1, 1),
+        end=date(2024, 1, 31),
+        procesado_en=datetime(2026, 8, 6, 12),
+        canales=CHANNELS,
+    )
+    run_pipeline(spark, cfg)
+    # resume: gold again with the dark channel listed, silver and bronze untouched
+    run_pipeline(spark, dataclasses.replace(cfg, start_stage="gold", canales=LISTED))
+    return layers.read_gold(spark, cfg.gold_root).select(*_GOLD_OUT)
+
+
 QUERIES: dict[str, QueryFn] = {
     "validate_reasons": q_validate_reasons,
     "bronze_accepted": q_bronze_accepted,
@@ -196,6 +280,13 @@ QUERIES: dict[str, QueryFn] = {
     "report_cobertura": q_report_cobertura,
     "report_share_check": q_report_share_check,
     "report_max_rating": q_report_max_rating,
+    "layer_counts": q_layer_counts,
+    "range_prune": q_range_prune,
+    "rewrite_replaces_partition": q_rewrite_replaces_partition,
+    "content_digest": q_content_digest,
+    "two_run_compare": q_two_run_compare,
+    "landing_roundtrip": q_landing_roundtrip,
+    "resume_from_silver": q_resume_from_silver,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -268,6 +359,15 @@ bronze AS (
 )"""
 )
 
+_CLEAN_BRONZE = (
+    _PANEL
+    + """,
+bronze AS (
+    SELECT ts_min AS "timestamp", canal, hogar AS id_hogar_panelista, u AS universo_total, CAST(ts_min AS DATE) AS fecha
+    FROM panel
+)"""
+)
+
 _NULLABLE_BRONZE = (
     _PANEL
     + """,
@@ -403,4 +503,25 @@ SELECT fecha, franja_horaria, ROUND(SUM(share_pct), 2) AS suma_share_pct
 FROM gold GROUP BY fecha, franja_horaria ORDER BY fecha, franja_horaria""",
     "report_max_rating": _with(_DIRTY, _SILVER, _gold(LISTED))
     + "\nSELECT canal, MAX(rating_pct) AS max_rating_pct FROM gold GROUP BY canal",
+    "layer_counts": _with(_DIRTY, _SILVER, _gold(LISTED))
+    + """
+SELECT 'bronze' AS layer, COUNT(*) AS n_rows FROM bronze
+UNION ALL SELECT 'silver', COUNT(*) FROM silver
+UNION ALL SELECT 'gold', COUNT(*) FROM gold""",
+    "range_prune": _with(_SPARSE_BRONZE, _SILVER, _gold(LISTED))
+    + f"""
+SELECT {_GOLD_COLS} FROM gold
+WHERE fecha BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' AND canal = '{FILTERED}'""",
+    "rewrite_replaces_partition": _with(_SPARSE_BRONZE, _SILVER, _gold(LISTED))
+    + "\nSELECT fecha, canal, CAST(1 AS BIGINT) AS n_files, COUNT(*) AS n_rows FROM gold GROUP BY fecha, canal",
+    "two_run_compare": _with(_DIRTY, _SILVER)
+    + """
+SELECT fecha, canal, COUNT(*) AS n_rows_a, COUNT(*) AS n_rows_b, TRUE AS same
+FROM silver GROUP BY fecha, canal""",
+    "landing_roundtrip": _with(_PANEL)
+    + """
+SELECT ts_min AS "timestamp", canal, hogar AS id_hogar_panelista, u AS universo_total, CAST(ts_min AS DATE) AS fecha
+FROM panel""",
+    "resume_from_silver": _with(_CLEAN_BRONZE, _SILVER, _gold(LISTED))
+    + f"\nSELECT {_GOLD_COLS} FROM gold",
 }
