@@ -5,7 +5,8 @@ Each query is forced to completion with the ``noop`` sink (full computation, no
 driver collection).  ``pipeline_end_to_end`` runs landing export -> bronze ->
 silver -> gold with real Parquet writes into a fresh scratch folder.  One untimed
 warm-up of the flagship query precedes the timings (JVM start and code
-generation).
+generation); each timing is the best of ``$BENCH_REPEAT`` (default 2) runs, as
+the shared machine's timings vary by a third from run to run.
 """
 
 from __future__ import annotations
@@ -38,6 +39,9 @@ HEADLINE = [
 ]
 
 
+REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+
+
 def _force(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -66,14 +70,20 @@ def main() -> None:
     spark.catalog.clearCache()
     times: dict[str, float] = {}
     for name in HEADLINE:
+        best = float("inf")
+        for _ in range(REPEAT):
+            t0 = time.perf_counter()
+            _force(catalog.QUERIES[name](spark, sf_dir))
+            best = min(best, time.perf_counter() - t0)
+            spark.catalog.clearCache()
+        times[name] = round(best, 3)
+    best = float("inf")
+    for _ in range(REPEAT):
+        scratch = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
         t0 = time.perf_counter()
-        _force(catalog.QUERIES[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
-        spark.catalog.clearCache()
-    scratch = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
-    t0 = time.perf_counter()
-    _pipeline(spark, sf_dir, scratch)
-    times["pipeline_end_to_end"] = round(time.perf_counter() - t0, 3)
+        _pipeline(spark, sf_dir, scratch)
+        best = min(best, time.perf_counter() - t0)
+    times["pipeline_end_to_end"] = round(best, 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(
         json.dumps(

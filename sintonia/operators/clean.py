@@ -44,7 +44,11 @@ def clean(
         rows = rows.filter(F.col(S.CANAL) == F.lit(canal_filter))
     rows = rows.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, F.col(S.TIMESTAMP).cast("date").alias(S.FECHA))
     if cluster_for_write:
-        rows = rows.repartitionByRange(S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP)
+        # Fixed task count (the session's shuffle partitions): AQE would merge
+        # small inputs into a few tasks that then create every partition's files
+        # in sequence.
+        n = int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartitionByRange(n, S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP)
     audit = F.lit(procesado_en).cast("timestamp_ntz") if procesado_en is not None else F.lit(None).cast("timestamp_ntz")
     deduped = rows.groupBy(S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
     return deduped.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA)

@@ -35,8 +35,12 @@ def write_silver(silver: DataFrame, root: str) -> None:
 
 
 def write_gold(gold: DataFrame, root: str) -> None:
-    """Gold is 24 rows per (fecha, canal): one small shuffle gives one file each."""
-    _replace_partitions(gold.select(*S.GOLD_COLUMNS).repartition(S.FECHA, S.CANAL), root, S.GOLD_PARTITIONS)
+    """Gold is 24 rows per (fecha, canal): one small shuffle on the partition keys
+    gives one file each.  The task count is fixed to the shuffle partitions so AQE
+    does not merge these few bytes into one task that would then create every
+    partition's file in sequence (the cost here is per file, not per byte)."""
+    n = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    _replace_partitions(gold.select(*S.GOLD_COLUMNS).repartition(n, S.FECHA, S.CANAL), root, S.GOLD_PARTITIONS)
 
 
 def write_quarantine(rejected: DataFrame, root: str) -> None:

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The product is a batch pipeline over date ranges; it has no streams, watermarks,
+windows or state.  Incremental runs are expressed as date-range batch jobs
+(``plans.runner``) whose partition-replacing writes make reruns idempotent.
+"""

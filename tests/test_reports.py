@@ -70,3 +70,14 @@ def test_max_rating_by_channel(spark):
     g = metrics.gold_metrics(s, canales=["A", "B"])
     got = {r.canal: r.max_rating_pct for r in reports.max_rating_by_channel(g).collect()}
     assert got == {"A": 2.0, "B": 0.0}
+
+
+def test_channel_list_parsing(spark):
+    from pyspark.sql import functions as F
+
+    from sintonia.functions import channel_list, parse_channel_list
+
+    assert parse_channel_list("Canal1, Canal2,, Canal1 ,") == ["Canal1", "Canal2"]
+    assert parse_channel_list(None) is None
+    got = spark.createDataFrame([("A, B,, A ,",)], "s string").select(channel_list(F.col("s")).alias("c")).collect()[0].c
+    assert got == ["A", "B"]
