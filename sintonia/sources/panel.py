@@ -93,7 +93,7 @@ def dirty_lines(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     ts_text = F.date_format(S.TIMESTAMP, _ISO)
     number = F.try_parse_json(F.col(S.UNIVERSO).cast("string"))
-    dirty = p.select(
+    dirty = F.struct(
         F.when(eid % 97 == 0, F.lit(None).cast("string"))
         .when(eid % 97 == 1, F.lit("not-a-date"))
         .otherwise(ts_text)
@@ -105,14 +105,17 @@ def dirty_lines(events: DataFrame) -> DataFrame:
         .otherwise(number)
         .alias(S.UNIVERSO),
     )
-    copies = p.filter(eid % 50 == 0).select(
+    copy = F.struct(
         ts_text.alias(S.TIMESTAMP),
-        S.CANAL,
-        S.HOGAR,
+        F.col(S.CANAL).alias(S.CANAL),
+        F.col(S.HOGAR).alias(S.HOGAR),
         # digits only, so quoting them makes a valid JSON string
         F.try_parse_json(F.concat(F.lit('"'), (F.col(S.UNIVERSO) + 500).cast("string"), F.lit('"'))).alias(S.UNIVERSO),
     )
-    return dirty.unionByName(copies).select(_json_line().alias("value"))
+    # one pass over the events: each yields its (possibly dirty) record, plus the
+    # conflicting copy when chosen
+    records = F.when(eid % 50 == 0, F.array(dirty, copy)).otherwise(F.array(dirty))
+    return p.select(F.inline(records)).select(_json_line().alias("value"))
 
 
 def _json_line() -> Column:
