@@ -13,12 +13,12 @@ from datetime import date, datetime
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
-from sintonia.operators import metrics, validate
+from sintonia.operators import audit, metrics, validate
 from sintonia.sources import landing, layers, sinks
 from sintonia.functions.columns import unique
 
@@ -32,8 +32,8 @@ class PipelineConfig:
     silver_root: str
     gold_root: str
     start: date
+    procesado_en: datetime  # audit time, captured once by the caller
     end: date | None = None
-    procesado_en: datetime = datetime(1970, 1, 1)
     canales: list[str] | None = None
     canal: str | None = None
     start_stage: str = "bronze"
@@ -127,6 +127,33 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     return {"output_rows": obs.get["output_rows"], "canales": list(obs.get["canales"])}
 
 
+def out_of_range(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Valid landing records of the range's folders whose own date lies outside
+    the range: counted by ``run_bronze`` but never published (see there)."""
+    judged = validate.judge(landing.landing_scan(spark, cfg.landing_root, cfg.start, cfg.last))
+    return validate.accepted(judged, cfg.procesado_en).filter(~_in_range(cfg))
+
+
+def layer_summary(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Per layer and date of the range: partitions, files and rows written (the
+    per-date report of a run, read back from the layers)."""
+    parts = []
+    for name, root, schema, keys in (
+        ("bronze", cfg.bronze_root, S.BRONZE, S.BRONZE_PARTITIONS),
+        ("silver", cfg.silver_root, S.SILVER, S.SILVER_PARTITIONS),
+        ("gold", cfg.gold_root, S.GOLD, S.GOLD_PARTITIONS),
+    ):
+        inv = audit.inventory(spark, root, schema, keys).filter(_in_range(cfg))
+        parts.append(
+            inv.groupBy(S.FECHA).agg(
+                F.count(F.lit(1)).alias("n_partitions"),
+                F.sum("n_files").alias("n_files"),
+                F.sum("n_rows").alias("n_rows"),
+            ).select(F.lit(name).alias("layer"), S.FECHA, "n_partitions", "n_files", "n_rows")
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     if cfg.start_stage not in STAGES:
         raise ValueError(f"start_stage must be one of {STAGES}")

@@ -23,7 +23,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
+    return read_table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
 
 
 def _panel_columns(events: DataFrame) -> list[Column]:
@@ -89,7 +89,9 @@ def dirty_lines(events: DataFrame) -> DataFrame:
     universe (as JSON text) is 500 higher: a conflicting duplicate for silver.
     Keys are written sorted, as the landing writer does.
     """
-    p = clean_panel(events)
+    # JSON rendering and the validation after it are CPU-heavy: use every core
+    # even when the table scans as a single split.
+    p = clean_panel(spread(events))
     eid = F.col("event_id")
     ts_text = F.date_format(S.TIMESTAMP, _ISO)
     number = F.try_parse_json(F.col(S.UNIVERSO).cast("string"))

@@ -7,7 +7,6 @@ replaces nothing."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 
@@ -46,8 +45,3 @@ def write_gold(gold: DataFrame, root: str) -> None:
 def write_quarantine(rejected: DataFrame, root: str) -> None:
     """Rejected raw lines with their reason, by landing date."""
     _replace_partitions(rejected, root, ("fecha_landing",))
-
-
-def with_file(df: DataFrame) -> DataFrame:
-    """Adds the source file of each row (``_metadata.file_path``)."""
-    return df.withColumn("_file", F.col("_metadata.file_path"))

@@ -10,7 +10,7 @@ import pytest
 
 from sintonia import schemas as S
 from sintonia.operators import audit, metrics, validate
-from sintonia.plans.runner import PipelineConfig, run_pipeline
+from sintonia.plans.runner import PipelineConfig, layer_summary, out_of_range, run_pipeline
 from sintonia.sources import landing, layers, sinks
 from tests.helpers import silver_df, two_channel_silver
 
@@ -189,6 +189,9 @@ def test_pipeline_does_not_publish_rows_of_other_dates(spark, tmp_path):
     straggler.write_text(json.dumps({"canal": "C1", "id_hogar_panelista": "h8", "timestamp": "2026-08-02T00:10:00", "universo_total": 1}) + "\n\n")
     r = run_pipeline(spark, _cfg(tmp_path))
     assert r.bronze["out_of_range"] == 1 and not (tmp_path / "bronze" / "fecha=2026-08-02").exists()
+    assert [x.id_hogar_panelista for x in out_of_range(spark, _cfg(tmp_path)).collect()] == ["h8"]
+    summary = {(x.layer, str(x.fecha)): (x.n_partitions, x.n_rows) for x in layer_summary(spark, _cfg(tmp_path)).collect()}
+    assert summary == {("bronze", "2026-08-01"): (1, 4), ("silver", "2026-08-01"): (2, 3), ("gold", "2026-08-01"): (3, 72)}
 
 
 def test_pipeline_reports_rejects_and_quarantine(spark, tmp_path):
