@@ -67,6 +67,17 @@ def share_pct(audiencia: str | Column, total: str | Column) -> Column:
     return F.when(t > 0, a.cast("double") * F.lit(100.0) / t.cast("double"))
 
 
+def audit_time(value) -> Column:
+    """The caller's run time as a TIMESTAMP_NTZ literal (NULL when absent).  Goes
+    through ISO text so the wall clock is kept exactly, whatever the time zones of
+    the Python process and the session."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if hasattr(value, "isoformat"):
+        value = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def channel_list(text: str | Column) -> Column:
     """Parse ``"A, B,"`` into ``["A", "B"]``: split on commas, trim, drop empties
     and repeated names (first occurrence kept)."""

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
+from sintonia.functions.columns import audit_time
 
 _REQUIRED = (S.TIMESTAMP, S.CANAL, S.HOGAR, S.UNIVERSO)
 
@@ -49,7 +50,7 @@ def clean(
         # in sequence.
         n = int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.repartitionByRange(n, S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP)
-    audit = F.lit(procesado_en).cast("timestamp_ntz") if procesado_en is not None else F.lit(None).cast("timestamp_ntz")
+    audit = audit_time(procesado_en)
     deduped = rows.groupBy(S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
     return deduped.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA)
 

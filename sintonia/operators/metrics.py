@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
-from sintonia.functions.columns import event_date, hour_band, rating_pct, share_pct, unique
+from sintonia.functions.columns import audit_time, event_date, hour_band, rating_pct, share_pct, unique
 
 _BAND = "es_franja"  # True: the whole band; False: one channel in the band
 _M = "m"
@@ -150,7 +150,7 @@ def gold_from_counts(
     ac = F.coalesce(F.element_at(F.col("horas"), F.col("_h").cast("long")), F.lit(0).cast("long"))
     atf = F.coalesce(band.getField("audiencia"), F.lit(0).cast("long"))
     uf = F.coalesce(band.getField("universo"), F.lit(0).cast("long"))
-    audit = F.lit(procesado_en).cast("timestamp_ntz") if procesado_en is not None else F.lit(None).cast("timestamp_ntz")
+    audit = audit_time(procesado_en)
     return hours.select(
         S.FECHA,
         S.CANAL,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.functions.columns import (
+    audit_time,
     INTEGER_TEXT_PATTERN,
     ISO_TIMESTAMP_PATTERN,
     is_blank,
@@ -135,7 +136,7 @@ def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 def accepted(judged: DataFrame, procesado_en: datetime | str | None = None) -> DataFrame:
     """Valid rows in the bronze schema; ``procesado_en`` is the caller's run time."""
-    audit = F.lit(procesado_en).cast("timestamp_ntz") if procesado_en is not None else F.lit(None).cast("timestamp_ntz")
+    audit = audit_time(procesado_en)
     return judged.filter(F.col(S.REASON).isNull()).select(
         S.TIMESTAMP, S.CANAL, S.HOGAR, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA
     )
