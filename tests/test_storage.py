@@ -205,3 +205,11 @@ def test_pipeline_reports_rejects_and_quarantine(spark, tmp_path):
     assert r.bronze["rejected_reasons"] == {S.REASON_NOT_JSON_OBJECT: 1, "missing required field: canal": 1}
     q = spark.read.parquet(str(tmp_path / "quarantine")).collect()
     assert sorted(x.reason for x in q) == sorted(r.bronze["rejected_reasons"])
+
+
+def test_channel_names_with_path_characters_round_trip(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    s = silver_df(spark, [("h1", "A/B", datetime(2026, 8, 1, 10), 10), ("h2", "C=D", datetime(2026, 8, 1, 10), 10)])
+    sinks.write_gold(metrics.gold_metrics(s), root)
+    assert sorted({r.canal for r in layers.read_gold(spark, root).collect()}) == ["A/B", "C=D"]
+    assert layers.read_gold(spark, root, canal="A/B").count() == 24
