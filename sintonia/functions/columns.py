@@ -18,12 +18,22 @@ EDGE_WS_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
 # surrounding whitespace allowed.
 INTEGER_TEXT_PATTERN = rf"(?U)^{_WS}*[+-]?[0-9]+(_[0-9]+)*{_WS}*$"
 
-# Extended ISO-8601 shapes the upstream parser accepts *and* a SQL cast understands:
-# date, optional time (hours, minutes, seconds, fraction) and optional offset.
-# Basic (``20260801T1000``) and week (``2026-W31-6``) forms are rejected.
+# Extended ISO-8601 shapes accepted both by the upstream parser and by the SQL cast
+# that stores them: a date, optionally a time with minutes (seconds and any
+# fraction optional) and optionally an offset, which is ignored (the wall clock is
+# kept).  Hour-only times, comma fractions, lowercase or other separators, basic
+# (``20260801T1000``) and week (``2026-W31-6``) forms are rejected.
+_OFFSET = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)"
 ISO_TIMESTAMP_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    r"^\d{4}-\d{2}-\d{2}"
+    r"(?:[T ]\d{2}:\d{2}"
+    # one space may come before the offset, except after a fraction of fewer
+    # than six digits
+    rf"(?::\d{{2}}(?:\.\d+(?:(?<=\d{{6}}) ?{_OFFSET}|{_OFFSET})?| ?{_OFFSET})?| ?{_OFFSET})?"
+    r")?$"
 )
+# The date and time part of an accepted text; whatever follows is the offset.
+_WALL_CLOCK_PART = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?).*$"
 
 
 def col_(c: str | Column) -> Column:
@@ -39,6 +49,16 @@ def strip_ws(c: str | Column) -> Column:
     return F.regexp_replace(col_(c), EDGE_WS_PATTERN, "")
 
 
+def iso_wall_clock(text: str | Column) -> Column:
+    """TIMESTAMP_NTZ of an ISO-8601 text of the accepted shapes, NULL otherwise
+    (also for impossible dates or times).  The offset is dropped before the cast,
+    so the wall clock is kept and fractions beyond microseconds are truncated."""
+    t = col_(text)
+    return F.when(
+        t.rlike(ISO_TIMESTAMP_PATTERN), F.regexp_replace(t, _WALL_CLOCK_PART, "$1").try_cast("timestamp_ntz")
+    )
+
+
 def hour_band(ts: str | Column) -> Column:
     """Hour band 0-23 of a timestamp, as BIGINT (as stored in gold)."""
     return F.hour(col_(ts)).cast("long")

@@ -17,7 +17,7 @@ from sintonia import schemas as S
 from sintonia.functions.columns import (
     audit_time,
     INTEGER_TEXT_PATTERN,
-    ISO_TIMESTAMP_PATTERN,
+    iso_wall_clock,
     is_blank,
     strip_ws,
 )
@@ -71,8 +71,9 @@ def universe_values(kind: Column, text: Column) -> tuple[Column, Column]:
 def timestamp_value(kind: Column, text: Column) -> Column:
     """Wall-clock TIMESTAMP_NTZ of an ISO-8601 text (an offset is kept as written,
     not converted), or of a timestamp already typed in the variant."""
-    from_text = F.when(text.rlike(ISO_TIMESTAMP_PATTERN), text.try_cast("timestamp_ntz"))
-    return F.when(kind == "STRING", from_text).when(kind.isin(*_TIMESTAMP_KINDS), text.try_cast("timestamp_ntz"))
+    return F.when(kind == "STRING", iso_wall_clock(text)).when(
+        kind.isin(*_TIMESTAMP_KINDS), text.try_cast("timestamp_ntz")
+    )
 
 
 def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:

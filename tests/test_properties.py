@@ -1,0 +1,152 @@
+"""Randomised checks against brute force: Python's own parsers for the record
+rules, and a plain-Python computation for the gold report.  Each test batches
+many cases into one Spark job (seeded, so failures reproduce)."""
+
+from __future__ import annotations
+
+import json
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from sintonia import schemas as S
+from sintonia.operators import metrics, validate
+from tests.helpers import silver_df
+
+BASE = {"timestamp": "2026-08-01T10:00:00", "canal": "C", "id_hogar_panelista": "h", "universo_total": 5}
+LONG_MAX = 2**63 - 1
+
+
+def _judge_field(spark, lines, field, values):
+    recs = [json.dumps({**BASE, field: v}) for v in values]
+    rows = validate.judge(lines(recs)).collect()
+    by_value = {}
+    for v, r in zip(values, sorted(rows, key=lambda r: recs.index(r["value"]))):
+        by_value[v] = r
+    return by_value
+
+
+def test_universe_text_follows_python_int(spark, lines):
+    rnd = random.Random(11)
+    alphabet = ["0", "1", "7", "9", "_", " ", "\t", "+", "-", ".", "a", " ", " ", "e"]
+    values = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 7))) for _ in range(600)})
+    got = _judge_field(spark, lines, S.UNIVERSO, values)
+    for v in values:
+        try:
+            n = int(v)
+            expected = S.REASON_UNIVERSO_POS if n <= 0 else None
+            if abs(n) > LONG_MAX:
+                expected = S.REASON_UNIVERSO_INT
+        except ValueError:
+            n, expected = None, S.REASON_UNIVERSO_INT
+        r = got[v]
+        assert r[S.REASON] == expected, (v, r[S.REASON])
+        if expected is None:
+            assert r[S.UNIVERSO] == n
+
+
+def test_universe_numbers_truncate_to_check_and_round_half_even_to_store(spark, lines):
+    rnd = random.Random(5)
+    values = sorted({round(rnd.uniform(-3, 6), rnd.randint(0, 3)) for _ in range(300)} | {0.5, 1.5, 2.5, -0.5})
+    got = _judge_field(spark, lines, S.UNIVERSO, values)
+    for v in values:
+        r = got[v]
+        if int(v) <= 0:
+            assert r[S.REASON] == S.REASON_UNIVERSO_POS, v
+        else:
+            assert r[S.REASON] is None and r[S.UNIVERSO] == round(v), v
+
+
+def test_blank_text_follows_python_strip(spark, lines):
+    rnd = random.Random(7)
+    alphabet = [" ", "\t", "\n", "\r", "\x0b", "\x0c", " ", " ", "　", "​", "\x1c", "\x1f", "\x85", "᠎", "x"]
+    values = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 4))) for _ in range(500)})
+    got = _judge_field(spark, lines, S.CANAL, values)
+    for v in values:
+        expected = None if v.strip() else S.REASON_CANAL
+        assert got[v][S.REASON] == expected, repr(v)
+        if expected is None:
+            assert got[v][S.CANAL] == v
+
+
+def _iso_case(rnd):
+    y, mo, d = rnd.choice([2024, 2026]), rnd.randint(0, 13), rnd.randint(0, 32)
+    s = f"{y:04d}-{mo:02d}-{d:02d}"
+    if rnd.random() < 0.8:
+        s += rnd.choice(["T", "T", " ", "t"]) + f"{rnd.randint(0, 25):02d}"
+        if rnd.random() < 0.8:
+            s += f":{rnd.randint(0, 61):02d}"
+            if rnd.random() < 0.7:
+                s += f":{rnd.randint(0, 61):02d}"
+                if rnd.random() < 0.4:
+                    s += rnd.choice([".", ".", ","]) + "".join(rnd.choice("0123456789") for _ in range(rnd.randint(1, 8)))
+        if rnd.random() < 0.3:
+            s += rnd.choice(["", " "]) + rnd.choice(["Z", "+02:00", "-05:30", "+0100", "+01", "+01:00:00", "z"])
+    return s
+
+
+def test_iso_timestamps_follow_python_parser_and_sql_cast(spark, lines):
+    """Accepted exactly when Python's ``fromisoformat`` parses the text *and* a SQL
+    cast to TIMESTAMP does (a form only Python takes would abort the upstream
+    batch, so it is rejected); the stored value is the wall clock."""
+    import duckdb
+
+    con = duckdb.connect()
+    rnd = random.Random(3)
+    values = sorted({_iso_case(rnd) for _ in range(1500)})
+    got = _judge_field(spark, lines, S.TIMESTAMP, values)
+    for v in values:
+        try:
+            expected = datetime.fromisoformat(v).replace(tzinfo=None)
+        except ValueError:
+            expected = None
+        if con.execute("SELECT TRY_CAST(? AS TIMESTAMP)", [v]).fetchone()[0] is None:
+            expected = None
+        r = got[v]
+        if expected is None:
+            assert r[S.REASON] == S.REASON_TS_PARSE, v
+        else:
+            assert r[S.REASON] is None and r[S.TIMESTAMP] == expected, (v, r[S.TIMESTAMP])
+
+
+def _brute_gold(rows, channels):
+    """rows: (household, channel, datetime, universe); plain Python gold."""
+    dates = sorted({t.date() for _, _, t, _ in rows})
+    band_h, band_u, chan_h = {}, {}, {}
+    for h, c, t, u in rows:
+        k = (t.date(), t.hour)
+        band_h.setdefault(k, set()).add(h)
+        band_u[k] = max(band_u.get(k, 0), u)
+        chan_h.setdefault((t.date(), c, t.hour), set()).add(h)
+    out = {}
+    for d in dates:
+        listed = channels if channels is not None else sorted({c for _, c, t, _ in rows if t.date() == d})
+        for c in dict.fromkeys(listed):
+            for hr in range(24):
+                ac = len(chan_h.get((d, c, hr), ()))
+                atf = len(band_h.get((d, hr), ()))
+                uf = band_u.get((d, hr), 0)
+                rating = ac * 100.0 / uf if uf > 0 else 0.0
+                share = ac * 100.0 / atf if atf > 0 else None
+                out[(d, c, hr)] = (ac, atf, uf, rating, share)
+    return out
+
+
+@pytest.mark.parametrize("seed, channels", [(1, ["A", "B", "C", "Dark"]), (2, None), (3, ["B", "B", "A"])])
+def test_gold_equals_brute_force(spark, seed, channels):
+    rnd = random.Random(seed)
+    start = datetime(2026, 8, 1)
+    rows = {}
+    for _ in range(1500):
+        key = (f"h{rnd.randrange(40)}", rnd.choice("ABCE"), start + timedelta(minutes=rnd.randrange(3 * 1440)))
+        rows[key] = max(rows.get(key, 0), rnd.choice([0, 50, 100, 150]))
+    data = [(h, c, t, u) for (h, c, t), u in rows.items()]
+    gold = metrics.gold_metrics(silver_df(spark, data), canales=channels).collect()
+    expected = _brute_gold(data, channels)
+    got = {
+        (r.fecha, r.canal, r.franja_horaria): (r.audiencia_canal, r.audiencia_total_franja, r.universo_total, r.rating_pct, r.share_pct)
+        for r in gold
+    }
+    assert len(gold) == len(got) == len(expected)
+    assert got == expected
