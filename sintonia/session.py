@@ -19,6 +19,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A JSON object with a repeated key keeps the last value (as a JSON parser in
+    # Python does) instead of failing to parse.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -157,7 +157,7 @@ def test_first_failing_rule_wins(spark, lines):
     assert _reasons(spark, lines, [rec]) == [S.REASON_CANAL]
 
 
-@pytest.mark.parametrize("line", ["{bad", "5", "[1]", '{"a": 1, "a": 2}', "null"])
+@pytest.mark.parametrize("line", ["{bad", "5", "[1]", '"text"', "null"])
 def test_lines_that_are_not_json_objects_are_rejected(spark, lines, line):
     assert _reasons(spark, lines, [line]) == [S.REASON_NOT_JSON_OBJECT]
 
@@ -176,3 +176,9 @@ def test_typed_records_validate_through_the_same_path(spark):
     j = validate.judge(validate.records_to_lines(df))
     assert sorted((r[S.REASON] or "") for r in j.collect()) == ["", "missing required field: canal"]
     assert validate.accepted(j).select(F.col(S.TIMESTAMP)).collect()[0][0] == datetime(2026, 8, 1, 10)
+
+
+def test_repeated_key_keeps_the_last_value(spark, lines):
+    line = '{"timestamp": "2026-08-01T10:00:00", "canal": "", "canal": "C2", "id_hogar_panelista": "h", "universo_total": 5}'
+    r = validate.judge(lines([line])).collect()[0]
+    assert r[S.REASON] is None and r[S.CANAL] == "C2"
