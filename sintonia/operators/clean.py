@@ -8,17 +8,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.functions.columns import audit_time
 
-_REQUIRED = (S.TIMESTAMP, S.CANAL, S.HOGAR, S.UNIVERSO)
-
-
-def complete_rows(bronze: DataFrame) -> DataFrame:
-    return bronze.na.drop(how="any", subset=list(_REQUIRED))
 
 
 def clean(
@@ -27,6 +22,7 @@ def clean(
     canal_filter: str | None = None,
     procesado_en: datetime | str | None = None,
     cluster_for_write: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Bronze rows -> silver rows (``SILVER_COLUMNS``).
 
@@ -39,17 +35,30 @@ def clean(
     satisfies the aggregate (no second shuffle), each task then holds a contiguous
     slice of few (fecha, canal) partitions, so a partitioned write produces few
     files per partition, and a hot channel or household is cut into many tasks.
+
+    ``observation`` receives ``excluded_null_rows``: incomplete rows of *every*
+    channel (the channel filter does not hide them).  It is taken after the range
+    exchange, which runs once (the partitioner's sampling pass re-reads the input
+    and would count twice below it).
     """
-    rows = complete_rows(bronze)
+    incomplete = (
+        F.col(S.TIMESTAMP).isNull() | F.col(S.CANAL).isNull() | F.col(S.HOGAR).isNull() | F.col(S.UNIVERSO).isNull()
+    )
+    rows = bronze.select(
+        S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, F.col(S.TIMESTAMP).cast("date").alias(S.FECHA), incomplete.alias("_incomplete")
+    )
     if canal_filter is not None:
-        rows = rows.filter(F.col(S.CANAL) == F.lit(canal_filter))
-    rows = rows.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, F.col(S.TIMESTAMP).cast("date").alias(S.FECHA))
+        keep = F.col(S.CANAL) == F.lit(canal_filter)
+        rows = rows.filter(keep | F.col("_incomplete") if observation is not None else keep)
     if cluster_for_write:
         # Fixed task count (the session's shuffle partitions): AQE would merge
         # small inputs into a few tasks that then create every partition's files
         # in sequence.
         n = int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.repartitionByRange(n, S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP)
+    if observation is not None:
+        rows = rows.observe(observation, F.count_if("_incomplete").alias("excluded_null_rows"))
+    rows = rows.filter(~F.col("_incomplete"))
     audit = audit_time(procesado_en)
     deduped = rows.groupBy(S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
     return deduped.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA)

@@ -88,11 +88,9 @@ def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     bronze = layers.read_bronze(spark, cfg.bronze_root, start=cfg.start, end=cfg.last)
     obs_in = Observation("silver_in")
-    incomplete = (
-        F.col(S.TIMESTAMP).isNull() | F.col(S.CANAL).isNull() | F.col(S.HOGAR).isNull() | F.col(S.UNIVERSO).isNull()
+    silver = silver_ops.clean(
+        bronze, canal_filter=cfg.canal, procesado_en=cfg.procesado_en, cluster_for_write=True, observation=obs_in
     )
-    bronze = bronze.observe(obs_in, F.count_if(incomplete).alias("excluded_null_rows"))
-    silver = silver_ops.clean(bronze, canal_filter=cfg.canal, procesado_en=cfg.procesado_en, cluster_for_write=True)
     obs_out = Observation("silver_out")
     silver = silver.observe(
         obs_out, F.count(F.lit(1)).alias("output_rows"), F.sort_array(F.collect_set(S.CANAL)).alias("canales")

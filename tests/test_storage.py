@@ -213,3 +213,18 @@ def test_channel_names_with_path_characters_round_trip(spark, tmp_path):
     sinks.write_gold(metrics.gold_metrics(s), root)
     assert sorted({r.canal for r in layers.read_gold(spark, root).collect()}) == ["A/B", "C=D"]
     assert layers.read_gold(spark, root, canal="A/B").count() == 24
+
+
+def test_reprocess_counts_incomplete_rows_of_every_channel(spark, tmp_path):
+    bronze_root = str(tmp_path / "bronze")
+    d = datetime(2026, 8, 1, 10)
+    b = spark.createDataFrame(
+        [(d, "C1", "h1", 5), (d, "C2", "h2", 5), (d, "C1", None, 5), (d, None, "h3", 5)],
+        "timestamp timestamp_ntz, canal string, id_hogar_panelista string, universo_total long",
+    ).selectExpr("*", "CAST(NULL AS TIMESTAMP_NTZ) AS procesado_en", "CAST(timestamp AS DATE) AS fecha")
+    sinks.write_bronze(b, bronze_root)
+    from sintonia.plans.runner import run_silver
+
+    cfg = _cfg(tmp_path, canal="C2", start_stage="silver")
+    summary = run_silver(spark, cfg)
+    assert summary == {"output_rows": 1, "excluded_null_rows": 2, "canales": ["C2"]}
