@@ -4,6 +4,11 @@ Each stage is one Spark job for the whole range (not a loop over dates) and ends
 in a written layer, which also cuts lineage for the next stage.  Run summaries come
 from ``Observation`` metrics gathered during the writes, so no stage scans its
 input a second time to count it.  ``start_stage`` resumes from a later stage.
+
+Written data is exact under task and executor loss (Spark's commit protocol).  The
+run summaries are accumulator-based: if a lost executor forces a stage to run
+again they may count some rows twice; ``layer_summary`` re-reads exact per-date
+counts from the committed layers.
 """
 
 from __future__ import annotations
