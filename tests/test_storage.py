@@ -228,3 +228,9 @@ def test_reprocess_counts_incomplete_rows_of_every_channel(spark, tmp_path):
     cfg = _cfg(tmp_path, canal="C2", start_stage="silver")
     summary = run_silver(spark, cfg)
     assert summary == {"output_rows": 1, "excluded_null_rows": 2, "canales": ["C2"]}
+
+
+def test_pipeline_on_a_range_without_landing_data_writes_nothing(spark, tmp_path):
+    r = run_pipeline(spark, _cfg(tmp_path))
+    assert r.bronze["accepted"] == 0 and r.silver["output_rows"] == 0 and r.gold["output_rows"] == 0
+    assert not (tmp_path / "gold").exists() or not _files(tmp_path / "gold")
