@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -196,18 +197,24 @@ def q_layer_counts(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _write_sparse_gold(spark: SparkSession, sf_dir: str, root: str, **kw) -> None:
+    counts = metrics.band_counts(sparse_silver(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sinks.write_gold(metrics.gold_from_counts(counts, **{"canales": LISTED, **kw}), root)
+    finally:
+        counts.unpersist()
+
+
 def q_range_prune(spark, sf_dir):
     root = _scratch(spark, "gold")
-    sinks.write_gold(sparse_gold(spark, sf_dir), root)
-    spark.catalog.clearCache()
+    _write_sparse_gold(spark, sf_dir, root)
     return layers.read_gold(spark, root, start=RANGE[0], end=RANGE[1], canal=FILTERED).select(*_GOLD_OUT)
 
 
 def q_rewrite_replaces_partition(spark, sf_dir):
     root = _scratch(spark, "gold")
-    sinks.write_gold(sparse_gold(spark, sf_dir), root)
-    sinks.write_gold(sparse_gold(spark, sf_dir, canal_filter=FILTERED), root)
-    spark.catalog.clearCache()
+    _write_sparse_gold(spark, sf_dir, root)
+    _write_sparse_gold(spark, sf_dir, root, canal_filter=FILTERED)
     return audit.inventory(spark, root, S.GOLD)
 
 
