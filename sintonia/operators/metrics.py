@@ -47,9 +47,12 @@ def band_counts(silver: DataFrame) -> DataFrame:
     by a NULL channel.  Only hash aggregates on primitive keys: no object
     aggregation, no sort.
     """
-    levels = F.array(
-        F.struct(F.lit(True).alias(_BAND), F.lit(None).cast("string").alias(S.CANAL)),
-        F.struct(F.lit(False).alias(_BAND), F.col(S.CANAL).alias(S.CANAL)),
+    levels = F.filter(
+        F.array(
+            F.struct(F.lit(True).alias(_BAND), F.lit(None).cast("string").alias(S.CANAL)),
+            F.struct(F.lit(False).alias(_BAND), F.col(S.CANAL).alias(S.CANAL)),
+        ),
+        lambda e: e[_BAND] | e[S.CANAL].isNotNull(),  # a NULL channel is no channel
     )
     rows = silver.select(
         event_date(S.TIMESTAMP).alias(S.FECHA),
