@@ -15,7 +15,6 @@ from sintonia import schemas as S
 from sintonia.functions.columns import audit_time
 
 
-
 def clean(
     bronze: DataFrame,
     *,

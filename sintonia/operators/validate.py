@@ -69,8 +69,8 @@ def universe_values(kind: Column, text: Column) -> tuple[Column, Column]:
 
 
 def timestamp_value(kind: Column, text: Column) -> Column:
-    """Wall-clock TIMESTAMP_NTZ of an ISO-8601 text (an offset is kept as written,
-    not converted), or of a timestamp already typed in the variant."""
+    """TIMESTAMP_NTZ of an ISO-8601 text (any offset is dropped: the wall clock is
+    kept, not converted), or of a timestamp already typed in the variant."""
     return F.when(kind == "STRING", iso_wall_clock(text)).when(
         kind.isin(*_TIMESTAMP_KINDS), text.try_cast("timestamp_ntz")
     )
@@ -157,5 +157,4 @@ def ingest_summary(judged: DataFrame) -> DataFrame:
 def records_to_lines(records: DataFrame) -> DataFrame:
     """Typed in-memory records (any subset of the raw fields) -> JSON lines, so the
     same validator serves API input and landing files."""
-    cols = [c for c in records.columns]
-    return records.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
+    return records.select(F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"}).alias("value"))

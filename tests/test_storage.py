@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import dataclasses
 import json
-import os
 from datetime import date, datetime
 from pathlib import Path
 
