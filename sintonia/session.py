@@ -1,8 +1,10 @@
 """Session settings the engine relies on.
 
 On a cluster the session already exists and owns its settings; ``configure`` only
-sets what the engine needs for correct results (UTC session zone and dynamic
-partition overwrite) and leaves sizing to the deployment.  ``local_session`` is for
+sets what the engine needs for correct results (UTC session zone, last value of a
+repeated JSON key) plus adaptive execution, and leaves sizing to the deployment.
+Partition replacement is requested on each write (``sources.sinks``), not
+session-wide.  ``local_session`` is for
 tests, benches and the driver smoke run.
 """
 
@@ -15,7 +17,6 @@ from pyspark.sql import SparkSession
 
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
