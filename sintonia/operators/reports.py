@@ -88,6 +88,29 @@ def query(spark: SparkSession, sql: str, args: Mapping[str, Any] | None = None,
     return spark.sql(sql, args=dict(args) if args else None)
 
 
+def run_report(
+    spark: SparkSession,
+    gold_root: str,
+    start,
+    end=None,
+    *,
+    canal: str | None = None,
+    name: str = DEFAULT_PRESET,
+    sql: str | None = None,
+    args: Mapping[str, Any] | None = None,
+) -> DataFrame | None:
+    """A report over the gold layer for dates [start, end] (end defaults to start),
+    optionally one channel: the ``gold`` view is registered with partition
+    predicates (only those folders are read), then ``sql`` runs if given, else
+    the preset ``name``.  Returns None when the range holds no gold rows."""
+    from sintonia.sources.layers import gold_view
+
+    gold = gold_view(spark, gold_root, start=start, end=end, canal=canal)
+    if gold.isEmpty():
+        return None
+    return query(spark, sql, args) if sql else preset(gold, name)
+
+
 def max_rating_by_channel(gold: DataFrame) -> DataFrame:
     """The documented custom query: highest Rating% of each channel."""
     return gold.groupBy(S.CANAL).agg(F.max("rating_pct").alias("max_rating_pct"))

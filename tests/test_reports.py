@@ -81,3 +81,16 @@ def test_channel_list_parsing(spark):
     assert parse_channel_list(None) is None
     got = spark.createDataFrame([("A, B,, A ,",)], "s string").select(channel_list(F.col("s")).alias("c")).collect()[0].c
     assert got == ["A", "B"]
+
+
+def test_run_report_over_a_written_layer(spark, tmp_path, gold):
+    from sintonia.sources import sinks
+
+    root = str(tmp_path / "gold")
+    sinks.write_gold(gold, root)
+    rows = reports.run_report(spark, root, "2026-08-01", name="resumen_canal").collect()
+    assert [r.canal for r in rows] == ["Canal1", "Canal2"]
+    one = reports.run_report(spark, root, "2026-08-01", canal="Canal2", sql="SELECT COUNT(*) AS n FROM gold").collect()
+    assert one[0].n == 24
+    assert reports.run_report(spark, root, "2026-08-02") is None
+    assert reports.run_report(spark, str(tmp_path / "missing"), "2026-08-01") is None
