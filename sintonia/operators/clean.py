@@ -25,20 +25,19 @@ def clean(
 ) -> DataFrame:
     """Bronze rows -> silver rows (``SILVER_COLUMNS``).
 
-    One shuffle on the key with map-side partial ``max``.  ``canal_filter`` keeps a
-    single channel; since ``canal`` is a grouping key Catalyst pushes the filter
-    below the aggregate and into the Parquet scan.
+    One shuffle on the key with map-side partial ``max``: copies of a key collapse
+    inside each map task before the shuffle, so even a key copied into a third of
+    all rows reaches its reducer as at most one row per map task.  ``canal_filter``
+    keeps a single channel; since ``canal`` is a grouping key Catalyst pushes the
+    filter below the aggregate and into the Parquet scan.
 
-    ``cluster_for_write`` range-partitions the rows by (fecha, canal, household,
-    timestamp) instead of hash-partitioning on the key.  That exchange still
-    satisfies the aggregate (no second shuffle), each task then holds a contiguous
-    slice of few (fecha, canal) partitions, so a partitioned write produces few
-    files per partition, and a hot channel or household is cut into many tasks.
+    ``cluster_for_write`` lays the de-duplicated rows out for a partitioned write
+    with a rebalance on (fecha, canal): each task then holds few partitions, so the
+    write makes few files per partition, and AQE splits a partition that is too
+    large (a hot channel or date) over several tasks and merges small ones.
 
     ``observation`` receives ``excluded_null_rows``: incomplete rows of *every*
-    channel (the channel filter does not hide them).  It is taken after the range
-    exchange, which runs once (the partitioner's sampling pass re-reads the input
-    and would count twice below it).
+    channel (the channel filter does not hide them).
     """
     incomplete = (
         F.col(S.TIMESTAMP).isNull() | F.col(S.CANAL).isNull() | F.col(S.HOGAR).isNull() | F.col(S.UNIVERSO).isNull()
@@ -49,17 +48,13 @@ def clean(
     if canal_filter is not None:
         keep = F.col(S.CANAL) == F.lit(canal_filter)
         rows = rows.filter(keep | F.col("_incomplete") if observation is not None else keep)
-    if cluster_for_write:
-        # Fixed task count (the session's shuffle partitions): AQE would merge
-        # small inputs into a few tasks that then create every partition's files
-        # in sequence.
-        n = int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartitionByRange(n, S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP)
     if observation is not None:
         rows = rows.observe(observation, F.count_if("_incomplete").alias("excluded_null_rows"))
     rows = rows.filter(~F.col("_incomplete"))
-    audit = audit_time(procesado_en)
     deduped = rows.groupBy(S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
+    if cluster_for_write:
+        deduped = deduped.hint("rebalance", S.FECHA, S.CANAL)
+    audit = audit_time(procesado_en)
     return deduped.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA)
 
 

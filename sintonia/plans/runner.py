@@ -25,6 +25,7 @@ from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
 from sintonia.operators import audit, metrics, validate
 from sintonia.sources import landing, layers, sinks
+from sintonia.sources.storage import path_exists
 from sintonia.functions.columns import unique
 
 STAGES = ("bronze", "silver", "gold")
@@ -61,6 +62,8 @@ def _in_range(cfg: PipelineConfig):
 
 
 def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
+    if not path_exists(spark, cfg.landing_root):
+        return {"accepted": 0, "rejected": 0, "out_of_range": 0, "rejected_reasons": {}}
     lines = landing.landing_scan(spark, cfg.landing_root, cfg.start, cfg.last)
     judged = validate.judge(lines)
     obs = Observation("bronze")
@@ -91,6 +94,8 @@ def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
 
 
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
+    if not path_exists(spark, cfg.bronze_root):
+        return {"output_rows": 0, "excluded_null_rows": 0, "canales": []}
     bronze = layers.read_bronze(spark, cfg.bronze_root, start=cfg.start, end=cfg.last)
     obs_in = Observation("silver_in")
     silver = silver_ops.clean(
@@ -109,6 +114,8 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
+    if not path_exists(spark, cfg.silver_root):
+        return {"output_rows": 0, "canales": []}
     # Denominators need every channel of the date: the channel choice narrows the
     # report rows only, never this read.
     silver = layers.read_silver(spark, cfg.silver_root, start=cfg.start, end=cfg.last)

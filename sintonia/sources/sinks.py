@@ -27,9 +27,9 @@ def write_bronze(bronze: DataFrame, root: str) -> None:
 
 
 def write_silver(silver: DataFrame, root: str) -> None:
-    """Expects ``clean(..., cluster_for_write=True)``: its range exchange already
-    groups rows by (fecha, canal), so this adds no shuffle and writes few files per
-    partition, with hot partitions split over many tasks."""
+    """Expects ``clean(..., cluster_for_write=True)``: its rebalance already groups
+    rows by (fecha, canal), so this writes few files per partition, with hot
+    partitions split over several tasks by AQE."""
     _replace_partitions(silver.select(*S.SILVER_COLUMNS), root, S.SILVER_PARTITIONS)
 
 

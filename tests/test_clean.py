@@ -44,11 +44,15 @@ def test_key_uses_exact_timestamp(spark):
     assert clean.clean(b).count() == 2
 
 
-def test_cluster_for_write_gives_same_rows_and_one_shuffle(spark):
+def test_copies_collapse_before_the_shuffle_and_write_layout_rebalances(spark):
     rows = [(datetime(2026, 8, 1 + i % 3, i % 24, 0), f"Canal{i % 4}", f"h{i % 7}", 100 + i % 5) for i in range(500)]
-    b = bronze_df(spark, rows)
+    hot = [(T10, "Canal1", "hogar-hot", 100 + i % 3) for i in range(300)]  # one key, copied
+    b = bronze_df(spark, rows + hot)
     plain = sorted(map(tuple, clean.clean(b).collect()))
     clustered_df = clean.clean(b, cluster_for_write=True)
     assert sorted(map(tuple, clustered_df.collect())) == plain
-    plan = clustered_df._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    assert [r.universo_total for r in clustered_df.filter("id_hogar_panelista = 'hogar-hot'").collect()] == [102]
+    plan = clustered_df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    first_exchange = plan.rindex("Exchange hashpartitioning")
+    assert "partial_max" in plan[first_exchange:]  # map-side combine below the key shuffle
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
