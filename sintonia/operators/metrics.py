@@ -23,8 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
@@ -86,10 +85,6 @@ def channel_audience(counts: DataFrame) -> DataFrame:
     )
 
 
-def _hour_map(key: str, value: Column) -> Column:
-    return F.map_from_entries(F.collect_list(F.struct(F.col(key), value)))
-
-
 def gold_metrics(
     silver: DataFrame,
     *,
@@ -103,15 +98,8 @@ def gold_metrics(
     still gets 24 zero rows; repeated names count once).  When omitted, each date
     reports the channels present in its own data.  Dates are those present in the
     data.
-
-    The intermediate ``band_counts`` is bounded by dates x (channels + 1) x 24 rows
-    and feeds two branches; it is persisted so that silver is scanned and shuffled
-    once (without it each branch prunes the aggregate differently and Spark cannot
-    reuse the exchange).  Lost blocks are recomputed from lineage.  Callers that
-    manage the cache themselves use ``gold_from_counts``.
     """
-    counts = band_counts(silver).persist(StorageLevel.MEMORY_AND_DISK)
-    return gold_from_counts(counts, canales=canales, canal_filter=canal_filter, procesado_en=procesado_en)
+    return gold_from_counts(band_counts(silver), canales=canales, canal_filter=canal_filter, procesado_en=procesado_en)
 
 
 def gold_from_counts(
@@ -121,36 +109,57 @@ def gold_from_counts(
     canal_filter: str | None = None,
     procesado_en: datetime | str | None = None,
 ) -> DataFrame:
-    """Gold rows from ``band_counts``: per-date and per-channel hour maps (at most
-    24 entries each), joined on their keys and expanded to the 24 bands.  The report
-    grid is generated (``explode``), never a cross join."""
-    # Per date: hour -> (audience, universe), at most 24 entries.
-    per_date = counts.filter(F.col(_BAND)).groupBy(S.FECHA).agg(_hour_map(S.FRANJA, F.col(_M)).alias("bandas"))
-    # Per (date, channel): hour -> audience, at most 24 entries.
-    per_channel = (
-        counts.filter(~F.col(_BAND))
-        .groupBy(S.FECHA, S.CANAL)
-        .agg(_hour_map(S.FRANJA, F.col(f"{_M}.audiencia")).alias("horas"))
-    )
-    if canales is None:
-        keys = per_channel
-        if canal_filter is not None:
-            keys = keys.filter(F.col(S.CANAL) == F.lit(canal_filter))
-        keys = keys.join(per_date, S.FECHA, "inner")
-    else:
+    """Gold rows from ``band_counts`` in one linear plan (no second branch, no
+    join, nothing cached), on data bounded by dates x (channels + 1):
+
+    1. fold each level's counts into an hour -> counts map (at most 24 entries);
+    2. a generator lets each date's band row also emit the rows of the listed
+       channels (the report grid; never a cross join);
+    3. a window by date hands the band map to every channel row of the date;
+    4. one aggregate per (fecha, canal) merges a listed row with the channel's
+       own counts (the window's partitioning by date already satisfies it);
+    5. ``explode(sequence(0, 23))`` gives the 24 bands.
+    """
+    listed = None
+    if canales is not None:
         listed = unique(canales)
         if canal_filter is not None:
             listed = [c for c in listed if c == canal_filter]
         if not listed:
             return _empty_gold(counts)
-        grid = per_date.select(S.FECHA, "bandas", F.explode(F.array(*[F.lit(c) for c in listed])).alias(S.CANAL))
-        keys = grid.join(per_channel, [S.FECHA, S.CANAL], "left")
+
+    maps = counts.groupBy(S.FECHA, _BAND, S.CANAL).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(S.FRANJA), F.col(_M)))).alias("horas")
+    )
+    no_map = F.lit(None).cast(maps.schema["horas"].dataType)
+
+    def entry(tipo: str, canal: Column, horas: Column) -> Column:
+        return F.struct(F.lit(tipo).alias("tipo"), canal.alias(S.CANAL), horas.alias("horas"))
+
+    band_entries = [entry("franja", F.lit(None).cast("string"), F.col("horas"))]
+    band_entries += [entry("lista", F.lit(c), no_map) for c in (listed or [])]
+    entries = F.when(F.col(_BAND), F.array(*band_entries)).otherwise(
+        F.array(entry("canal", F.col(S.CANAL), F.col("horas")))
+    )
+    rows = maps.select(S.FECHA, F.inline(entries))
+    by_date = Window.partitionBy(S.FECHA)
+    rows = rows.withColumn(
+        "bandas", F.first(F.when(F.col("tipo") == "franja", F.col("horas")), ignorenulls=True).over(by_date)
+    ).filter(F.col("tipo") != "franja")
+    keys = rows.groupBy(S.FECHA, S.CANAL).agg(
+        F.first(F.when(F.col("tipo") == "canal", F.col("horas")), ignorenulls=True).alias("horas"),
+        F.first("bandas").alias("bandas"),
+        F.max(F.col("tipo") == ("lista" if listed is not None else "canal")).alias("_en_informe"),
+    )
+    keys = keys.filter(F.col("_en_informe"))
+    if canal_filter is not None:
+        keys = keys.filter(F.col(S.CANAL) == F.lit(canal_filter))
 
     hours = keys.select(
         S.FECHA, S.CANAL, "bandas", "horas", F.explode(F.sequence(F.lit(0), F.lit(S.FRANJAS_POR_DIA - 1))).alias("_h")
     )
     band = F.element_at(F.col("bandas"), F.col("_h").cast("long"))
-    ac = F.coalesce(F.element_at(F.col("horas"), F.col("_h").cast("long")), F.lit(0).cast("long"))
+    ac = F.coalesce(F.element_at(F.col("horas"), F.col("_h").cast("long")).getField("audiencia"), F.lit(0).cast("long"))
     atf = F.coalesce(band.getField("audiencia"), F.lit(0).cast("long"))
     uf = F.coalesce(band.getField("universo"), F.lit(0).cast("long"))
     audit = audit_time(procesado_en)

@@ -14,7 +14,6 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,11 +197,7 @@ def q_layer_counts(spark, sf_dir):
 
 
 def _write_sparse_gold(spark: SparkSession, sf_dir: str, root: str, **kw) -> None:
-    counts = metrics.band_counts(sparse_silver(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sinks.write_gold(metrics.gold_from_counts(counts, **{"canales": LISTED, **kw}), root)
-    finally:
-        counts.unpersist()
+    sinks.write_gold(sparse_gold(spark, sf_dir, **kw), root)
 
 
 def q_range_prune(spark, sf_dir):

@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,21 +118,15 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     # Denominators need every channel of the date: the channel choice narrows the
     # report rows only, never this read.
     silver = layers.read_silver(spark, cfg.silver_root, start=cfg.start, end=cfg.last)
-    counts = metrics.band_counts(silver).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        gold = metrics.gold_from_counts(
-            counts,
-            canales=unique(cfg.canales) if cfg.canales is not None else None,
-            canal_filter=cfg.canal,
-            procesado_en=cfg.procesado_en,
-        )
-        obs = Observation("gold")
-        gold = gold.observe(
-            obs, F.count(F.lit(1)).alias("output_rows"), F.sort_array(F.collect_set(S.CANAL)).alias("canales")
-        )
-        sinks.write_gold(gold, cfg.gold_root)
-    finally:
-        counts.unpersist()
+    gold = metrics.gold_metrics(
+        silver,
+        canales=unique(cfg.canales) if cfg.canales is not None else None,
+        canal_filter=cfg.canal,
+        procesado_en=cfg.procesado_en,
+    )
+    obs = Observation("gold")
+    gold = gold.observe(obs, F.count(F.lit(1)).alias("output_rows"), F.sort_array(F.collect_set(S.CANAL)).alias("canales"))
+    sinks.write_gold(gold, cfg.gold_root)
     return {"output_rows": obs.get["output_rows"], "canales": list(obs.get["canales"])}
 
 

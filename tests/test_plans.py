@@ -48,6 +48,19 @@ def test_gold_reads_silver_once_with_pruning(spark, tmp_path):
     assert "partial_max" in plan  # map-side combine before the big shuffle
 
 
+@pytest.mark.parametrize("kw", [dict(canales=["C0", "Dark"]), dict(canales=None), dict(canales=None, canal_filter="C1")])
+def test_gold_is_one_linear_plan(spark, tmp_path, kw):
+    rows = [(f"h{i % 9}", f"C{i % 3}", datetime(2026, 8, 1 + i % 4, i % 24, i % 60), 10) for i in range(400)]
+    root = str(tmp_path / "silver")
+    sinks.write_silver(
+        clean.clean(silver_df(spark, rows).select("timestamp", "canal", "id_hogar_panelista", "universo_total"), cluster_for_write=True),
+        root,
+    )
+    plan = _physical(metrics.gold_metrics(layers.read_silver(spark, root), **kw))
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "InMemoryRelation" not in plan
+    assert plan.count("Exchange") == 4  # household level, band counts, hour maps, window by date
+
+
 def test_hot_channel_is_cut_across_tasks(spark):
     """A channel with most rows is split by AQE over several write tasks.  Small
     advisory and minimum sizes stand in for a partition far above the target."""
