@@ -90,16 +90,14 @@ def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """
     keep = [F.col(c) for c in raw.columns]
     parsed = raw.select(*keep, F.try_parse_json(F.col(value_col)).alias("_v"))
-    fields = parsed.select(
-        *keep,
-        F.coalesce(_kind(F.col("_v")).startswith("OBJECT"), F.lit(False)).alias("_obj"),
-        F.try_variant_get(F.col("_v"), "$", _RAW_STRUCT).alias("_r"),
-    )
+    # Only a JSON object extracts to the struct (absent keys become NULL fields),
+    # so a NULL struct marks a line that is not an object.
+    fields = parsed.select(*keep, F.try_variant_get(F.col("_v"), "$", _RAW_STRUCT).alias("_r"))
     # The (type, text) pairs come out of a one-row generator: a filter on the
     # verdict (``accepted``) is then evaluated on plain strings and never pushed
     # below this point, so the variant work stays once per row.
     pairs = F.struct(
-        F.col("_obj").alias("_obj"),
+        F.col("_r").isNotNull().alias("_obj"),
         *[
             c
             for i, f in enumerate(S.RAW_FIELDS)
