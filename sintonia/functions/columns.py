@@ -14,15 +14,13 @@ _WS = r"[\s\x1c-\x1f]"
 BLANK_PATTERN = rf"(?U)^{_WS}*$"
 EDGE_WS_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
 
-# Python ``int(str)``: optional sign, digits with single underscores between them,
-# surrounding whitespace allowed.
-INTEGER_TEXT_PATTERN = rf"(?U)^{_WS}*[+-]?[0-9]+(_[0-9]+)*{_WS}*$"
-
-# Extended ISO-8601 shapes accepted both by the upstream parser and by the SQL cast
-# that stores them: a date, optionally a time with minutes (seconds and any
-# fraction optional) and optionally an offset, which is ignored (the wall clock is
-# kept).  Hour-only times, comma fractions, lowercase or other separators, basic
-# (``20260801T1000``) and week (``2026-W31-6``) forms are rejected.
+# Integer text both ``int()`` and a SQL bigint cast take: optional sign, digits
+# with single underscores between them, ASCII whitespace around (padding with other
+# Unicode spaces is refused by the cast, so such a record is rejected).
+_ASCII_WS = r"[ \t\n\x0b\x0c\r]"
+INTEGER_TEXT_PATTERN = rf"^{_ASCII_WS}*[+-]?[0-9]+(_[0-9]+)*{_ASCII_WS}*$"
+INTEGER_EDGE_WS_PATTERN = rf"^{_ASCII_WS}+|{_ASCII_WS}+$"
+
 _OFFSET = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)"
 ISO_TIMESTAMP_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}"

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from sintonia import schemas as S
 from sintonia.functions.columns import (
     audit_time,
+    INTEGER_EDGE_WS_PATTERN,
     INTEGER_TEXT_PATTERN,
     iso_wall_clock,
     is_blank,
-    strip_ws,
 )
 
 _INTEGER_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT")
@@ -55,7 +55,7 @@ def universe_values(kind: Column, text: Column) -> tuple[Column, Column]:
     as_double = text.try_cast("double")
     finite = as_double.isNotNull() & (F.abs(as_double) < F.lit(_LONG_LIMIT))
     fractional = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
-    digits = F.regexp_replace(strip_ws(text), "_", "")
+    digits = F.regexp_replace(F.regexp_replace(text, INTEGER_EDGE_WS_PATTERN, ""), "_", "")
     from_text = F.when(text.rlike(INTEGER_TEXT_PATTERN), digits.try_cast("long"))
     from_bool = F.when(text == F.lit("true"), F.lit(1)).otherwise(F.lit(0)).cast("long")
     exact = (

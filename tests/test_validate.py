@@ -65,6 +65,8 @@ def test_empty_batch(spark, lines):
         (100, None, 100),
         ("1_000", None, 1000),
         (" 100 ", None, 100),
+        ("\t7\n", None, 7),
+        ("\u00a0100", S.REASON_UNIVERSO_INT, None),
         (True, None, 1),
         (1.5, None, 2),
         (2.5, None, 2),
