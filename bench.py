@@ -5,7 +5,7 @@ Each query is forced to completion with the ``noop`` sink (full computation, no
 driver collection).  ``pipeline_end_to_end`` runs landing export -> bronze ->
 silver -> gold with real Parquet writes into a fresh scratch folder.  One untimed
 warm-up of the flagship query precedes the timings (JVM start and code
-generation); each timing is the best of ``$BENCH_REPEAT`` (default 2) runs, as
+generation); each timing is the best of ``$BENCH_REPEAT`` (default 3) runs, as
 the shared machine's timings vary by a third from run to run.
 """
 
@@ -39,7 +39,7 @@ HEADLINE = [
 ]
 
 
-REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
 
 def _force(df) -> None:
