@@ -46,7 +46,7 @@ def _force(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _pipeline(spark, sf_dir: str, scratch: str) -> None:
+def _end_to_end(spark, sf_dir: str, scratch: str) -> None:
     events = panel.clean_panel(panel.read_events(spark, sf_dir)).drop("event_id")
     landing.export_landing(events, f"{scratch}/raw")
     cfg = PipelineConfig(
@@ -81,7 +81,7 @@ def main() -> None:
     for _ in range(REPEAT):
         scratch = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
         t0 = time.perf_counter()
-        _pipeline(spark, sf_dir, scratch)
+        _end_to_end(spark, sf_dir, scratch)
         best = min(best, time.perf_counter() - t0)
     times["end_to_end_run"] = round(best, 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
