@@ -81,3 +81,15 @@ def test_hot_channel_is_cut_across_tasks(spark):
         if r.canal == "HOT":
             per_task[r.p] = per_task.get(r.p, 0) + 1
     assert len(per_task) >= 4 and max(per_task.values()) < 4000 * 0.5
+
+
+def test_spread_only_touches_inputs_with_too_few_splits(spark, tmp_path):
+    from sintonia.sources.storage import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 10_000, numPartitions=cores * 2)
+    assert spread(many) is many  # already parallel: no shuffle added
+    one = spark.range(0, 10_000, numPartitions=1)
+    spread_one = spread(one)
+    assert "Exchange" in _physical(spread_one)
+    assert spread_one.rdd.getNumPartitions() == cores
