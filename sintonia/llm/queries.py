@@ -3,12 +3,26 @@ of those that SQL can express."""
 
 from __future__ import annotations
 
+from sintonia.llm.budget_mix import op1_budget_mix
 from sintonia.llm.exact_dedup import OP8_SQL, op8_heavy_hitter_dedup
+from sintonia.llm.license_scan import op4_license_automaton
+from sintonia.llm.line_dedup import OP3_SQL, op3_cuckoo_line_dedup
+from sintonia.llm.quality import op2_compression_bands
+from sintonia.llm.secret_ledger import op6_blob_ledger
+from sintonia.llm.warc_zstd import OP7_SQL, op7_zstd_archives
 
 QUERIES = {
+    "op1_budget_mix": op1_budget_mix,
+    "op2_compression_bands": op2_compression_bands,
+    "op3_cuckoo_line_dedup": op3_cuckoo_line_dedup,
+    "op4_license_automaton": op4_license_automaton,
+    "op6_blob_ledger": op6_blob_ledger,
+    "op7_zstd_archives": op7_zstd_archives,
     "op8_heavy_hitter_dedup": op8_heavy_hitter_dedup,
 }
 
 ORACLE = {
+    "op3_cuckoo_line_dedup": OP3_SQL,
+    "op7_zstd_archives": OP7_SQL,
     "op8_heavy_hitter_dedup": OP8_SQL,
 }
