@@ -4,8 +4,10 @@ folder, byte-level text helpers and connected components."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,37 +63,59 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     on written tables, so a lost executor repeats one round at most, and a node with
     very many neighbours is never gathered: only its minimum is.
     """
-    spark = edges.sparkSession
-    cur = written(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
-    )
-    before = None
-    while True:
+    links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
+    cur = written(links, "edges")
+    while not _stars(cur):
         # large-star: every larger neighbour of a node links to the node's minimum
-        both = cur.select("u", "v").unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = cur.unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
-        large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        )
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "large")
         # small-star: a node and its smaller neighbours link to the smallest of them
         low2 = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        small = (
-            large.join(low2, "u")
-            .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-            .select("e.*")
-            .where("u <> v")
-            .distinct()
-        )
+        to_least = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+        small = large.join(low2, "u").select(to_least.alias("e")).select("e.*").where("u <> v").distinct()
         nxt = written(small, "edges")
-        # ended when every node has one link and the links have not changed
-        mark = tuple(nxt.agg(F.count("*"), F.count_distinct("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         for old in (cur, low, large, low2):
             discard(old)
         cur = nxt
-        if mark == before and mark[0] == mark[1]:
-            break
-        before = mark
-    pairs = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return spark.createDataFrame([], pairs.schema) if before and before[0] == 0 else pairs.unionAll(roots)
+    return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots)
+
+
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none."""
+    rows, nodes = links.agg(F.count("*"), F.count_distinct("u")).first()
+    return rows == nodes and not links.join(links.select(F.col("v").alias("u")), "u", "left_semi").head(1)
+
+
+def runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of equal ``key`` from batches that are sorted by it.  Holds one run at a
+    time, so the longest run bounds the memory."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        for start, end in zip(edges, edges[1:]):
+            if held and held[0].column(key)[0].as_py() != values[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def heavy_keys(rows: DataFrame, key: str, counters: int, least: int) -> DataFrame:
+    """Keys (longs) of more than ``rows / counters`` and more than ``least`` rows, with
+    their exact count: a Misra-Gries pass, then an exact count of what it found, so
+    fewer than ``counters`` rows whatever the input."""
+    found = rows.stat.freqItems([key], 1.0 / counters).select(F.explode(f"{key}_freqItems").alias(key))
+    total = rows.count()
+    return (
+        rows.join(F.broadcast(found), key, "left_semi")
+        .groupBy(key)
+        .agg(F.count("*").alias("n"))
+        .where((F.col("n") * counters > F.lit(total)) & (F.col("n") > least))
+    )

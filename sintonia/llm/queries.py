@@ -7,6 +7,7 @@ from sintonia.llm.budget_mix import op1_budget_mix
 from sintonia.llm.exact_dedup import OP8_SQL, op8_heavy_hitter_dedup
 from sintonia.llm.license_scan import op4_license_automaton
 from sintonia.llm.line_dedup import OP3_SQL, op3_cuckoo_line_dedup
+from sintonia.llm.near_dedup import op9_lsh_forest
 from sintonia.llm.packing import op10_linear_grouping
 from sintonia.llm.quality import op2_compression_bands
 from sintonia.llm.secret_ledger import op6_blob_ledger
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_blob_ledger": op6_blob_ledger,
     "op7_zstd_archives": op7_zstd_archives,
     "op8_heavy_hitter_dedup": op8_heavy_hitter_dedup,
+    "op9_lsh_forest": op9_lsh_forest,
     "op10_linear_grouping": op10_linear_grouping,
 }
 
