@@ -3,7 +3,9 @@ of those that SQL can express."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from sintonia.llm.budget_mix import op1_budget_mix
+from sintonia.llm.context_mix import op5_context_mixing
 from sintonia.llm.exact_dedup import OP8_SQL, op8_heavy_hitter_dedup
 from sintonia.llm.license_scan import op4_license_automaton
 from sintonia.llm.line_dedup import OP3_SQL, op3_cuckoo_line_dedup
@@ -18,11 +20,13 @@ QUERIES = {
     "op2_compression_bands": op2_compression_bands,
     "op3_cuckoo_line_dedup": op3_cuckoo_line_dedup,
     "op4_license_automaton": op4_license_automaton,
+    "op5_context_mixing": op5_context_mixing,
     "op6_blob_ledger": op6_blob_ledger,
     "op7_zstd_archives": op7_zstd_archives,
     "op8_heavy_hitter_dedup": op8_heavy_hitter_dedup,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_linear_grouping": op10_linear_grouping,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
