@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from sintonia.llm import quality as Q
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    dup = sum(x in lines[:k] for k, x in enumerate(lines)) if len(lines) < 400 else len(lines) - len(set(lines))
+    win = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+    inside = {k + j for k in range(len(words) - 2) if win[tuple(words[k : k + 3])] > 1 for j in range(3)}
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(inside), n < 50 or 100 * len(inside) > 50 * n)
+
+
+def test_counts_match_brute_force(sample):
+    text = {r.doc_id: r.text for r in sample.collect()}
+    for r in Q.judge(sample).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(text[r.doc_id])
+        assert not (r.kept and r.base_failed)
+
+
+def test_bands(docs):
+    rng = random.Random(3)
+    words = ["".join(rng.choice(["ti", "on", "er", "an", "the", "ou"]) for _ in range(rng.randint(1, 4))) for _ in range(4000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    page = prose(150)
+    rows = [(k, prose(60 * (k + 1))) for k in range(40)]
+    rows += [(100, (page + "\n") * 60), (101, "".join(chr(rng.randint(33, 126)) + (" " if rng.random() < 0.1 else "") for _ in range(6000)))]
+    got = {r.doc_id: r for r in Q.judge(docs(rows)).collect()}
+    assert all(got[k].kept for k in range(40))
+    assert not got[100].kept  # the same page again and again
+    assert not got[101].kept  # characters at random
+
+
+def test_edge_rows(docs):
+    rows = [(1, None), (2, ""), (None, "a b"), (4, "word " * 100_000), (4, "word " * 100_000), (5, "\n\n \t")]
+    got = Q.judge(docs(rows)).collect()
+    assert len(got) == len(rows) and not any(r.kept for r in got)
+    assert [r.n_words for r in got] == [0, 0, 2, 100_000, 100_000, 0]
+    assert Q.judge(docs([])).collect() == []
+
+
+def test_keep_good_is_the_verdict(sample):
+    kept = {r.doc_id for r in Q.judge(sample).where("kept").select("doc_id").collect()}
+    out = Q.keep_good(sample.withColumn("kept_", sample["text"]))
+    assert out.columns == [*sample.columns, "kept_"] and {r.doc_id for r in out.select("doc_id").collect()} == kept
