@@ -16,7 +16,7 @@ import os
 import sys
 import tempfile
 import time
-from datetime import date, datetime
+from datetime import datetime
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -25,6 +25,7 @@ from sintonia.plans import catalog  # noqa: E402
 from sintonia.plans.runner import PipelineConfig, run_pipeline  # noqa: E402
 from sintonia.session import local_session  # noqa: E402
 from sintonia.sources import landing, panel  # noqa: E402
+from sintonia.sources.storage import date_folders  # noqa: E402
 
 HEADLINE = [
     "validate_reasons",
@@ -49,13 +50,14 @@ def _force(df) -> None:
 def _end_to_end(spark, sf_dir: str, scratch: str) -> None:
     events = panel.clean_panel(panel.read_events(spark, sf_dir)).drop("event_id")
     landing.export_landing(events, f"{scratch}/raw")
+    days = [d for d, _ in date_folders(spark, f"{scratch}/raw")]
     cfg = PipelineConfig(
         landing_root=f"{scratch}/raw",
         bronze_root=f"{scratch}/bronze",
         silver_root=f"{scratch}/silver",
         gold_root=f"{scratch}/gold",
-        start=date(2024, 1, 1),
-        end=date(2024, 1, 31),
+        start=days[0],
+        end=days[-1],
         procesado_en=datetime(2026, 8, 6, 12),
         canales=catalog.LISTED,
     )

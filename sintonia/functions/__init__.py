@@ -7,7 +7,6 @@ from sintonia.functions.columns import (
     rating_pct,
     round2,
     share_pct,
-    strip_ws,
 )
 
 __all__ = [
@@ -19,5 +18,4 @@ __all__ = [
     "rating_pct",
     "round2",
     "share_pct",
-    "strip_ws",
 ]

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 # information separators U+001C..U+001F; ``(?U)\s`` in Java is White_Space.
 _WS = r"[\s\x1c-\x1f]"
 BLANK_PATTERN = rf"(?U)^{_WS}*$"
-EDGE_WS_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
 
 # Integer text both ``int()`` and a SQL bigint cast take: optional sign, digits
 # with single underscores between them, ASCII whitespace around (padding with other
@@ -23,15 +22,15 @@ INTEGER_EDGE_WS_PATTERN = rf"^{_ASCII_WS}+|{_ASCII_WS}+$"
 
 _OFFSET = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)"
 ISO_TIMESTAMP_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}"
+    r"^(?!0000)\d{4}-\d{2}-\d{2}"
     r"(?:[T ]\d{2}:\d{2}"
     # one space may come before the offset, except after a fraction of fewer
     # than six digits
     rf"(?::\d{{2}}(?:\.\d+(?:(?<=\d{{6}}) ?{_OFFSET}|{_OFFSET})?| ?{_OFFSET})?| ?{_OFFSET})?"
     r")?$"
 )
-# The date and time part of an accepted text; whatever follows is the offset.
-_WALL_CLOCK_PART = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?).*$"
+_MINUTES_ONLY = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?= ?[Z+-])"
+_SPACE_BEFORE_OFFSET = r" (?=(?:Z|[+-][\d:.]+)$)"
 
 
 def col_(c: str | Column) -> Column:
@@ -43,18 +42,16 @@ def is_blank(c: str | Column) -> Column:
     return col_(c).rlike(BLANK_PATTERN)
 
 
-def strip_ws(c: str | Column) -> Column:
-    return F.regexp_replace(col_(c), EDGE_WS_PATTERN, "")
-
-
-def iso_wall_clock(text: str | Column) -> Column:
-    """TIMESTAMP_NTZ of an ISO-8601 text of the accepted shapes, NULL otherwise
-    (also for impossible dates or times).  The offset is dropped before the cast,
-    so the wall clock is kept and fractions beyond microseconds are truncated."""
+def iso_utc(text: str | Column) -> Column:
+    """TIMESTAMP_NTZ in UTC of an ISO-8601 text of the accepted shapes, NULL otherwise
+    (also for impossible dates or times, offsets over 18 hours, and results outside
+    years 1 to 9999).  A text without an offset is taken as UTC, as the session zone
+    is UTC (``session.REQUIRED_CONF``).  Fractions beyond microseconds are truncated."""
     t = col_(text)
-    return F.when(
-        t.rlike(ISO_TIMESTAMP_PATTERN), F.regexp_replace(t, _WALL_CLOCK_PART, "$1").try_cast("timestamp_ntz")
-    )
+    # the cast wants seconds before an offset, and no space there
+    full = F.regexp_replace(F.regexp_replace(t, _MINUTES_ONLY, "$1:00"), _SPACE_BEFORE_OFFSET, "")
+    utc = full.try_cast("timestamp").cast("timestamp_ntz")
+    return F.when(t.rlike(ISO_TIMESTAMP_PATTERN) & F.year(utc).between(1, 9999), utc)
 
 
 def hour_band(ts: str | Column) -> Column:

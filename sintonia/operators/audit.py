@@ -1,11 +1,11 @@
 """Audit: partition inventory, logical content digests and run comparison.
 
 Digests prove that two runs wrote the same *logical* content (never file bytes)
-and leave the audit column out.  They are order-independent sums of per-row
-hashes, so they aggregate partially in every task and never need a global sort or
-a whole partition gathered in one place.  Each row hash covers every column plus a
-null marker per column, so ``(a, NULL)`` and ``(NULL, a)`` differ.  Sums are kept
-exact as four 16-bit lanes of the 64-bit row hash (no overflow below 2^47 rows).
+and leave the audit column out.  A row's text is its values joined by chr(1), each
+with a mark that tells NULL from text, so ``(a, NULL)`` and ``(NULL, a)`` differ; its
+md5 is cut into four numbers of 32 bits, and the digest is the md5 of the row count
+and the four sums.  Sums do not depend on order, combine in every task and can be
+recomputed by any SQL engine; no sort and no whole partition in one place.
 """
 
 from __future__ import annotations
@@ -19,30 +19,29 @@ from pyspark.sql import types as T
 from sintonia import schemas as S
 from sintonia.sources.storage import path_exists
 
-_LANES = 4
+_SLICES = 4
 
 
 def content_columns(df: DataFrame, exclude: Sequence[str] = S.AUDIT_COLUMNS) -> list[str]:
     cols = [c for c in df.columns if c not in set(exclude)]
     if not cols:
-        raise ValueError("no columns left to hash after excluding audit columns")
+        raise ValueError("a digest needs at least one column that is not an audit column")
     return sorted(cols)
 
 
-def row_hash(cols: Sequence[str]) -> Column:
-    parts: list[Column] = []
-    for c in cols:
-        parts += [F.col(c), F.col(c).isNull()]
-    return F.xxhash64(*parts)
+def row_text(cols: Sequence[str]) -> Column:
+    """The row's values as text (``1`` and the value, or ``0`` for NULL), joined by
+    chr(1) in column order."""
+    marked = [F.coalesce(F.concat(F.lit("1"), F.col(c).cast("string")), F.lit("0")) for c in cols]
+    return F.concat_ws("\x01", *marked)
 
 
-def _lane_sums(h: Column) -> list[Column]:
-    mask = F.lit(0xFFFF)
-    return [F.sum(F.shiftrightunsigned(h, 16 * i).bitwiseAND(mask)).alias(f"_s{i}") for i in range(_LANES)]
+def _slice_sums(h: Column) -> list[Column]:
+    return [F.sum(F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("long")).alias(f"_s{i}") for i in range(_SLICES)]
 
 
-def _digest_of(count: Column, lanes: list[Column]) -> Column:
-    return F.md5(F.concat_ws(":", count.cast("string"), *[c.cast("string") for c in lanes]))
+def _digest_of(count: Column, sums: list[Column]) -> Column:
+    return F.md5(F.concat_ws(":", count.cast("string"), *[c.cast("string") for c in sums]).cast("binary"))
 
 
 def partition_digests(
@@ -50,18 +49,18 @@ def partition_digests(
 ) -> DataFrame:
     """One row per partition: ``n_rows`` and ``digest``."""
     cols = content_columns(df, exclude)
-    hashed = df.select(*partitions, row_hash(cols).alias("_h"))
-    agg = hashed.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n_rows"), *_lane_sums(F.col("_h")))
-    lanes = [F.col(f"_s{i}") for i in range(_LANES)]
-    return agg.select(*partitions, "n_rows", _digest_of(F.col("n_rows"), lanes).alias("digest"))
+    hashed = df.select(*partitions, F.md5(row_text(cols).cast("binary")).alias("_h"))
+    agg = hashed.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n_rows"), *_slice_sums(F.col("_h")))
+    sums = [F.col(f"_s{i}") for i in range(_SLICES)]
+    return agg.select(*partitions, "n_rows", _digest_of(F.col("n_rows"), sums).alias("digest"))
 
 
 def layer_digest(df: DataFrame, exclude: Sequence[str] = S.AUDIT_COLUMNS) -> DataFrame:
     """One row: ``n_rows`` and ``digest`` of the whole table."""
     cols = content_columns(df, exclude)
-    agg = df.select(row_hash(cols).alias("_h")).agg(F.count(F.lit(1)).alias("n_rows"), *_lane_sums(F.col("_h")))
-    lanes = [F.coalesce(F.col(f"_s{i}"), F.lit(0)) for i in range(_LANES)]
-    return agg.select("n_rows", _digest_of(F.col("n_rows"), lanes).alias("digest"))
+    agg = df.select(F.md5(row_text(cols).cast("binary")).alias("_h")).agg(F.count(F.lit(1)).alias("n_rows"), *_slice_sums(F.col("_h")))
+    sums = [F.coalesce(F.col(f"_s{i}"), F.lit(0)) for i in range(_SLICES)]
+    return agg.select("n_rows", _digest_of(F.col("n_rows"), sums).alias("digest"))
 
 
 def compare(a: DataFrame, b: DataFrame, keys: Sequence[str] = S.GOLD_PARTITIONS) -> DataFrame:

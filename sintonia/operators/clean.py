@@ -8,20 +8,28 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.functions.columns import audit_time
 
 
+def _incomplete() -> Column:
+    return F.col(S.TIMESTAMP).isNull() | F.col(S.CANAL).isNull() | F.col(S.HOGAR).isNull() | F.col(S.UNIVERSO).isNull()
+
+
+def incomplete_rows(bronze: DataFrame) -> DataFrame:
+    """Bronze rows that silver leaves out, of every channel."""
+    return bronze.filter(_incomplete())
+
+
 def clean(
     bronze: DataFrame,
     *,
     canal_filter: str | None = None,
     procesado_en: datetime | str | None = None,
     cluster_for_write: bool = False,
-    observation: Observation | None = None,
 ) -> DataFrame:
     """Bronze rows -> silver rows (``SILVER_COLUMNS``).
 
@@ -35,22 +43,11 @@ def clean(
     with a rebalance on (fecha, canal): each task then holds few partitions, so the
     write makes few files per partition, and AQE splits a partition that is too
     large (a hot channel or date) over several tasks and merges small ones.
-
-    ``observation`` receives ``excluded_null_rows``: incomplete rows of *every*
-    channel (the channel filter does not hide them).
     """
-    incomplete = (
-        F.col(S.TIMESTAMP).isNull() | F.col(S.CANAL).isNull() | F.col(S.HOGAR).isNull() | F.col(S.UNIVERSO).isNull()
-    )
-    rows = bronze.select(
-        S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, F.col(S.TIMESTAMP).cast("date").alias(S.FECHA), incomplete.alias("_incomplete")
-    )
+    rows = bronze.filter(~_incomplete())
     if canal_filter is not None:
-        keep = F.col(S.CANAL) == F.lit(canal_filter)
-        rows = rows.filter(keep | F.col("_incomplete") if observation is not None else keep)
-    if observation is not None:
-        rows = rows.observe(observation, F.count_if("_incomplete").alias("excluded_null_rows"))
-    rows = rows.filter(~F.col("_incomplete"))
+        rows = rows.filter(F.col(S.CANAL) == F.lit(canal_filter))
+    rows = rows.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, F.col(S.TIMESTAMP).cast("date").alias(S.FECHA))
     deduped = rows.groupBy(S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
     if cluster_for_write:
         deduped = deduped.hint("rebalance", S.FECHA, S.CANAL)
@@ -58,17 +55,22 @@ def clean(
     return deduped.select(S.HOGAR, S.CANAL, S.TIMESTAMP, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA)
 
 
-def clean_summary(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """``output_rows``, ``excluded_null_rows`` (all channels, before any channel
-    filter) and the sorted channel list, as one row.  Both inputs are tagged and
-    unioned so one partial-aggregated pass answers all three; the channel set is
+def clean_summary(bronze: DataFrame, canal_filter: str | None = None) -> DataFrame:
+    """``output_rows``, ``excluded_null_rows`` (all channels, before the channel
+    filter) and the sorted channel list of what ``clean`` makes of ``bronze``, as one
+    row, from one scan.
+
+    Complete rows fold to their natural keys, incomplete ones to a single key (map-side
+    combine before the shuffle); the keys are then counted.  The channel set is
     bounded by the channel dimension."""
-    incomplete = F.col(S.TIMESTAMP).isNull() | F.col(S.CANAL).isNull() | F.col(S.HOGAR).isNull() | F.col(S.UNIVERSO).isNull()
-    tagged = bronze.select(
-        F.lit(False).alias("_out"), incomplete.alias("_incomplete"), F.lit(None).cast("string").alias(S.CANAL)
-    ).unionByName(silver.select(F.lit(True).alias("_out"), F.lit(False).alias("_incomplete"), S.CANAL))
-    return tagged.agg(
-        F.count_if("_out").alias("output_rows"),
-        F.count_if("_incomplete").alias("excluded_null_rows"),
+    keys = (S.HOGAR, S.CANAL, S.TIMESTAMP)
+    kept = ~_incomplete()
+    rows = bronze.select(*[F.when(kept, F.col(c)).alias(c) for c in keys], kept.alias("_kept"))
+    if canal_filter is not None:
+        rows = rows.filter(~F.col("_kept") | (F.col(S.CANAL) == F.lit(canal_filter)))
+    folded = rows.groupBy("_kept", *keys).agg(F.count(F.lit(1)).alias("n"))
+    return folded.agg(
+        F.count_if("_kept").alias("output_rows"),
+        F.coalesce(F.sum(F.when(~F.col("_kept"), F.col("n"))), F.lit(0)).alias("excluded_null_rows"),
         F.sort_array(F.collect_set(S.CANAL)).alias("canales"),
     )

@@ -20,49 +20,49 @@ before the shuffle).  Everything after it is bounded by dates x channels x 24 ro
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.functions.columns import audit_time, event_date, hour_band, rating_pct, share_pct, unique
 
 _BAND = "es_franja"  # True: the whole band; False: one channel in the band
+_LEVEL = "nivel"
+_WHO = "quien"
 _M = "m"
 
 
 def band_counts(silver: DataFrame) -> DataFrame:
-    """Audience counts per band and per (band, channel) in one pass.
-
-    Each silver row stands once for its band (``es_franja`` true, ``canal`` NULL)
-    and once for its channel in the band.  The first aggregate keeps one row per
-    household at each level (map-side combine folds a household's minutes before
-    the shuffle, and a hot key arrives as at most one partial row per task); the
-    second counts those rows, i.e. distinct households, and takes the largest
-    universe.  Output: ``fecha, franja_horaria, es_franja, canal, m`` with ``m`` a
-    struct of ``audiencia`` and ``universo``.  Select levels by ``es_franja``, never
-    by a NULL channel.  Only hash aggregates on primitive keys: no object
-    aggregation, no sort.
+    """Audience counts per band and per (band, channel) from one scan.
+
+    The first aggregate folds the minutes of a household to one row per (band,
+    channel, household); it is the only one at event scale, and its map-side combine
+    comes before the shuffle.  Each folded row then stands once for its channel
+    (without the household, so channel counts combine to a few rows per task) and
+    once for its band (with the household, to count it once over all channels).
+    Output: ``fecha, franja_horaria, es_franja, canal, m`` with ``m`` a struct of
+    ``audiencia`` and ``universo``.  Select levels by ``es_franja``, never by a NULL
+    channel.  Only hash aggregates on primitive keys.
     """
-    levels = F.filter(
-        F.array(
-            F.struct(F.lit(True).alias(_BAND), F.lit(None).cast("string").alias(S.CANAL)),
-            F.struct(F.lit(False).alias(_BAND), F.col(S.CANAL).alias(S.CANAL)),
-        ),
-        lambda e: e[_BAND] | e[S.CANAL].isNotNull(),  # a NULL channel is no channel
+    folded = silver.groupBy(
+        event_date(S.TIMESTAMP).alias(S.FECHA), hour_band(S.TIMESTAMP).alias(S.FRANJA), F.col(S.CANAL), F.col(S.HOGAR)
+    ).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
+    none = F.lit(None).cast("string")
+    channel = F.struct(F.lit(False).alias(_BAND), F.col(S.CANAL).alias(_LEVEL), none.alias(_WHO))
+    band = F.struct(F.lit(True).alias(_BAND), none.alias(_LEVEL), F.col(S.HOGAR).alias(_WHO))
+    # a NULL channel is no channel: its rows stand for their band only
+    levels = F.when(F.col(S.CANAL).isNull(), F.array(band)).otherwise(F.array(channel, band))
+    rows = folded.select(S.FECHA, S.FRANJA, S.UNIVERSO, F.inline(levels))
+    households = rows.groupBy(S.FECHA, S.FRANJA, _BAND, _LEVEL, _WHO).agg(
+        F.count(F.lit(1)).alias("n"), F.max(S.UNIVERSO).alias(S.UNIVERSO)
     )
-    rows = silver.select(
-        event_date(S.TIMESTAMP).alias(S.FECHA),
-        hour_band(S.TIMESTAMP).alias(S.FRANJA),
-        S.HOGAR,
-        S.UNIVERSO,
-        F.inline(levels),
-    )
-    households = rows.groupBy(S.FECHA, S.FRANJA, _BAND, S.CANAL, S.HOGAR).agg(F.max(S.UNIVERSO).alias(S.UNIVERSO))
-    return households.groupBy(S.FECHA, S.FRANJA, _BAND, S.CANAL).agg(
-        F.struct(F.count(F.lit(1)).alias("audiencia"), F.max(S.UNIVERSO).alias("universo")).alias(_M)
+    audience = F.sum(F.when(F.col(_BAND), F.lit(1)).otherwise(F.col("n"))).cast("long")
+    return households.groupBy(S.FECHA, S.FRANJA, _BAND, F.col(_LEVEL).alias(S.CANAL)).agg(
+        F.struct(audience.alias("audiencia"), F.max(S.UNIVERSO).alias("universo")).alias(_M)
     )
 
 
@@ -131,17 +131,13 @@ def gold_from_counts(
     maps = counts.groupBy(S.FECHA, _BAND, S.CANAL).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(S.FRANJA), F.col(_M)))).alias("horas")
     )
-    no_map = F.lit(None).cast(maps.schema["horas"].dataType)
-
-    def entry(tipo: str, canal: Column, horas: Column) -> Column:
-        return F.struct(F.lit(tipo).alias("tipo"), canal.alias(S.CANAL), horas.alias("horas"))
-
-    band_entries = [entry("franja", F.lit(None).cast("string"), F.col("horas"))]
-    band_entries += [entry("lista", F.lit(c), no_map) for c in (listed or [])]
-    entries = F.when(F.col(_BAND), F.array(*band_entries)).otherwise(
-        F.array(entry("canal", F.col(S.CANAL), F.col("horas")))
-    )
-    rows = maps.select(S.FECHA, F.inline(entries))
+    # One constant array of names, whatever their number: the plan does not grow.
+    names = F.from_json(F.lit(json.dumps([None, *(listed or [])])), "array<string>")
+    entries = F.when(F.col(_BAND), names).otherwise(F.array(S.CANAL))
+    rows = maps.select(S.FECHA, _BAND, "horas", F.posexplode(entries).alias("pos", S.CANAL))
+    tipo = F.when(~F.col(_BAND), F.lit("canal")).when(F.col("pos") == 0, F.lit("franja")).otherwise(F.lit("lista"))
+    rows = rows.select(S.FECHA, S.CANAL, tipo.alias("tipo"), "horas")
+    rows = rows.withColumn("horas", F.when(F.col("tipo") != "lista", F.col("horas")))
     by_date = Window.partitionBy(S.FECHA)
     rows = rows.withColumn(
         "bandas", F.first(F.when(F.col("tipo") == "franja", F.col("horas")), ignorenulls=True).over(by_date)

@@ -18,7 +18,7 @@ from sintonia.functions.columns import (
     audit_time,
     INTEGER_EDGE_WS_PATTERN,
     INTEGER_TEXT_PATTERN,
-    iso_wall_clock,
+    iso_utc,
     is_blank,
 )
 
@@ -69,9 +69,9 @@ def universe_values(kind: Column, text: Column) -> tuple[Column, Column]:
 
 
 def timestamp_value(kind: Column, text: Column) -> Column:
-    """TIMESTAMP_NTZ of an ISO-8601 text (any offset is dropped: the wall clock is
-    kept, not converted), or of a timestamp already typed in the variant."""
-    return F.when(kind == "STRING", iso_wall_clock(text)).when(
+    """TIMESTAMP_NTZ in UTC of an ISO-8601 text, or of a timestamp already typed in
+    the variant."""
+    return F.when(kind == "STRING", iso_utc(text)).when(
         kind.isin(*_TIMESTAMP_KINDS), text.try_cast("timestamp_ntz")
     )
 
@@ -134,10 +134,12 @@ def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def accepted(judged: DataFrame, procesado_en: datetime | str | None = None) -> DataFrame:
-    """Valid rows in the bronze schema; ``procesado_en`` is the caller's run time."""
+    """Valid rows in the bronze schema; ``procesado_en`` is the caller's run time.
+    Lines without a landing folder count as landed on their own date."""
     audit = audit_time(procesado_en)
+    landed = F.col(S.FECHA_LANDING) if S.FECHA_LANDING in judged.columns else F.col(S.FECHA)
     return judged.filter(F.col(S.REASON).isNull()).select(
-        S.TIMESTAMP, S.CANAL, S.HOGAR, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA
+        S.TIMESTAMP, S.CANAL, S.HOGAR, S.UNIVERSO, audit.alias(S.PROCESADO_EN), S.FECHA, landed.alias(S.FECHA_LANDING)
     )
 
 

@@ -1,18 +1,19 @@
 """Stage runner: landing -> bronze -> silver -> gold over a date range.
 
 Each stage is one Spark job for the whole range (not a loop over dates) and ends
-in a written layer, which also cuts lineage for the next stage.  Run summaries come
-from ``Observation`` metrics gathered during the writes, so no stage scans its
-input a second time to count it.  ``start_stage`` resumes from a later stage.
-
-Written data is exact under task and executor loss (Spark's commit protocol).  The
-run summaries are accumulator-based: if a lost executor forces a stage to run
-again they may count some rows twice; ``layer_summary`` re-reads exact per-date
-counts from the committed layers.
+in a written layer, which also cuts lineage for the next stage.  ``start_stage``
+resumes from a later stage.
+
+A run's counts are read back from the committed layers (and the rejected ones are
+the landing lines less the accepted), so they are exact whatever was run again; only
+the reasons of rejects are gathered during the write (``Observation``) and may count
+some lines twice if a lost executor makes Spark repeat them.  ``run_summary`` has the
+exact counts by date.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from typing import Any
@@ -24,7 +25,6 @@ from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
 from sintonia.operators import audit, metrics, validate
 from sintonia.sources import landing, layers, sinks
-from sintonia.sources.storage import path_exists
 from sintonia.functions.columns import unique
 
 STAGES = ("bronze", "silver", "gold")
@@ -43,6 +43,8 @@ class PipelineConfig:
     canal: str | None = None
     start_stage: str = "bronze"
     quarantine_root: str | None = None
+    #: Fail when the layer (or landing) that the first stage reads does not exist.
+    fail_if_missing: bool = False
 
     @property
     def last(self) -> date:
@@ -60,30 +62,34 @@ def _in_range(cfg: PipelineConfig):
     return F.col(S.FECHA).between(F.lit(cfg.start), F.lit(cfg.last))
 
 
+def _landed_in_range(cfg: PipelineConfig):
+    return F.col(S.FECHA_LANDING).between(F.lit(cfg.start), F.lit(cfg.last))
+
+
+def _published(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Bronze rows that the landing folders of the range brought, whatever their date."""
+    return layers.read_bronze(spark, cfg.bronze_root).filter(_landed_in_range(cfg))
+
+
 def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
-    if not path_exists(spark, cfg.landing_root):
-        return {"accepted": 0, "rejected": 0, "out_of_range": 0, "rejected_reasons": {}}
-    lines = landing.landing_scan(spark, cfg.landing_root, cfg.start, cfg.last)
+    lines = landing.landing_scan(
+        spark, cfg.landing_root, cfg.start, cfg.last, fail_if_missing=cfg.fail_if_missing and cfg.start_stage == "bronze"
+    )
     judged = validate.judge(lines)
     obs = Observation("bronze")
     reasons = [F.count_if(F.col(S.REASON) == F.lit(r)).alias(r) for r in S.ALL_REASONS]
-    observed = judged.observe(
-        obs,
-        F.count_if(F.col(S.REASON).isNull()).alias("accepted"),
-        F.count_if(F.col(S.REASON).isNotNull()).alias("rejected"),
-        F.count_if(F.col(S.REASON).isNull() & ~_in_range(cfg)).alias("out_of_range"),
-        *reasons,
-    )
-    accepted = validate.accepted(observed, cfg.procesado_en)
-    # Rows whose own date lies outside the range are not published: under dynamic
-    # overwrite they alone would replace that other date's partition.
-    sinks.write_bronze(accepted.filter(_in_range(cfg)), cfg.bronze_root)
-    m = obs.get
+    observed = judged.observe(obs, *reasons)
+    # A landing folder replaces its own rows only: rows of another date (stragglers)
+    # are published under that date, beside what that date's own folder brought.
+    sinks.write_bronze(validate.accepted(observed, cfg.procesado_en), cfg.bronze_root)
+    counts = _published(spark, cfg).agg(
+        F.count(F.lit(1)).alias("accepted"), F.count_if(~_in_range(cfg)).alias("out_of_range")
+    ).first()
     summary = {
-        "accepted": m["accepted"],
-        "rejected": m["rejected"],
-        "out_of_range": m["out_of_range"],
-        "rejected_reasons": {r: m[r] for r in S.ALL_REASONS if m[r]},
+        "accepted": counts.accepted,
+        "rejected": lines.count() - counts.accepted,
+        "out_of_range": counts.out_of_range,
+        "rejected_reasons": {r: obs.get[r] for r in S.ALL_REASONS if obs.get[r]},
     }
     if cfg.quarantine_root:
         # A second pass over the landing lines, only when a quarantine is wanted.
@@ -92,49 +98,71 @@ def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     return summary
 
 
+def _written(layer: DataFrame, cfg: PipelineConfig) -> dict[str, Any]:
+    if cfg.canal is not None:
+        layer = layer.filter(F.col(S.CANAL) == F.lit(cfg.canal))
+    n = layer.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(S.CANAL).alias("channels")).first()
+    return {"output_rows": n.rows, "n_canales": n.channels}
+
+
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
-    if not path_exists(spark, cfg.bronze_root):
-        return {"output_rows": 0, "excluded_null_rows": 0, "canales": []}
-    bronze = layers.read_bronze(spark, cfg.bronze_root, start=cfg.start, end=cfg.last)
-    obs_in = Observation("silver_in")
-    silver = silver_ops.clean(
-        bronze, canal_filter=cfg.canal, procesado_en=cfg.procesado_en, cluster_for_write=True, observation=obs_in
-    )
-    obs_out = Observation("silver_out")
-    silver = silver.observe(
-        obs_out, F.count(F.lit(1)).alias("output_rows"), F.sort_array(F.collect_set(S.CANAL)).alias("canales")
+    bronze = layers.read_bronze(
+        spark, cfg.bronze_root, start=cfg.start, end=cfg.last, fail_if_missing=cfg.fail_if_missing and cfg.start_stage == "silver"
     )
+    silver = silver_ops.clean(bronze, canal_filter=cfg.canal, procesado_en=cfg.procesado_en, cluster_for_write=True)
     sinks.write_silver(silver, cfg.silver_root)
-    return {
-        "output_rows": obs_out.get["output_rows"],
-        "excluded_null_rows": obs_in.get["excluded_null_rows"],
-        "canales": list(obs_out.get["canales"]),
-    }
+    excluded = silver_ops.incomplete_rows(bronze).count()
+    written = layers.read_silver(spark, cfg.silver_root, start=cfg.start, end=cfg.last)
+    return {**_written(written, cfg), "excluded_null_rows": excluded}
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
-    if not path_exists(spark, cfg.silver_root):
-        return {"output_rows": 0, "canales": []}
     # Denominators need every channel of the date: the channel choice narrows the
     # report rows only, never this read.
-    silver = layers.read_silver(spark, cfg.silver_root, start=cfg.start, end=cfg.last)
+    silver = layers.read_silver(
+        spark, cfg.silver_root, start=cfg.start, end=cfg.last, fail_if_missing=cfg.fail_if_missing and cfg.start_stage == "gold"
+    )
     gold = metrics.gold_metrics(
         silver,
         canales=unique(cfg.canales) if cfg.canales is not None else None,
         canal_filter=cfg.canal,
         procesado_en=cfg.procesado_en,
     )
-    obs = Observation("gold")
-    gold = gold.observe(obs, F.count(F.lit(1)).alias("output_rows"), F.sort_array(F.collect_set(S.CANAL)).alias("canales"))
     sinks.write_gold(gold, cfg.gold_root)
-    return {"output_rows": obs.get["output_rows"], "canales": list(obs.get["canales"])}
+    return _written(layers.read_gold(spark, cfg.gold_root, start=cfg.start, end=cfg.last), cfg)
 
 
 def out_of_range(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """Valid landing records of the range's folders whose own date lies outside
-    the range: counted by ``run_bronze`` but never published (see there)."""
-    judged = validate.judge(landing.landing_scan(spark, cfg.landing_root, cfg.start, cfg.last))
-    return validate.accepted(judged, cfg.procesado_en).filter(~_in_range(cfg))
+    """Published records of the range's landing folders whose own date lies outside
+    the range: silver and gold of those dates are not rebuilt by this run."""
+    return _published(spark, cfg).filter(~_in_range(cfg))
+
+
+def run_summary(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Exact counts per date of the range, read from landing and layers: ``accepted``
+    and ``rejected`` by landing date, ``excluded_null_rows``, ``silver_rows`` and
+    ``gold_rows`` by the records' date."""
+    one = F.lit(1).cast("long")
+    counted = ("lines", "accepted", "excluded_null_rows", "silver_rows", "gold_rows")
+
+    def count(df: DataFrame, day: str, name: str) -> DataFrame:
+        zero = F.lit(0).cast("long")
+        return df.select(F.col(day).alias(S.FECHA), *[(one if c == name else zero).alias(c) for c in counted])
+
+    dates = {"start": cfg.start, "end": cfg.last}
+    parts = [
+        count(landing.landing_scan(spark, cfg.landing_root, cfg.start, cfg.last), S.FECHA_LANDING, "lines"),
+        count(_published(spark, cfg), S.FECHA_LANDING, "accepted"),
+        count(silver_ops.incomplete_rows(layers.read_bronze(spark, cfg.bronze_root, **dates)), S.FECHA, "excluded_null_rows"),
+        count(layers.read_silver(spark, cfg.silver_root, **dates), S.FECHA, "silver_rows"),
+        count(layers.read_gold(spark, cfg.gold_root, **dates), S.FECHA, "gold_rows"),
+    ]
+    rows = functools.reduce(DataFrame.unionAll, parts)
+    return (
+        rows.groupBy(S.FECHA)
+        .agg(*[F.sum(c).alias(c) for c in counted])
+        .select(S.FECHA, "accepted", (F.col("lines") - F.col("accepted")).alias("rejected"), *counted[2:])
+    )
 
 
 def layer_summary(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:

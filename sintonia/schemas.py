@@ -16,6 +16,7 @@ CANAL = "canal"
 HOGAR = "id_hogar_panelista"
 UNIVERSO = "universo_total"
 FECHA = "fecha"
+FECHA_LANDING = "fecha_landing"
 FRANJA = "franja_horaria"
 PROCESADO_EN = "procesado_en"
 REASON = "reason"
@@ -35,6 +36,7 @@ BRONZE = T.StructType(
         T.StructField(UNIVERSO, T.LongType()),
         T.StructField(PROCESADO_EN, T.TimestampNTZType()),
         T.StructField(FECHA, T.DateType()),
+        T.StructField(FECHA_LANDING, T.DateType()),
     ]
 )
 
@@ -64,11 +66,12 @@ GOLD = T.StructType(
 )
 
 # Column order of each layer as stored (partition columns are also data columns).
-BRONZE_COLUMNS = [TIMESTAMP, CANAL, HOGAR, UNIVERSO, PROCESADO_EN, FECHA]
+BRONZE_COLUMNS = [TIMESTAMP, CANAL, HOGAR, UNIVERSO, PROCESADO_EN, FECHA, FECHA_LANDING]
 SILVER_COLUMNS = [HOGAR, CANAL, TIMESTAMP, UNIVERSO, PROCESADO_EN, FECHA]
 GOLD_COLUMNS = [f.name for f in GOLD.fields]
 
-BRONZE_PARTITIONS = (FECHA,)
+# A landing folder replaces only the rows it brought, also those of other dates.
+BRONZE_PARTITIONS = (FECHA, FECHA_LANDING)
 SILVER_PARTITIONS = (FECHA, CANAL)
 GOLD_PARTITIONS = (FECHA, CANAL)
 

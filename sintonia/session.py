@@ -23,27 +23,16 @@ REQUIRED_CONF = {
     # A JSON object with a repeated key keeps the last value (as a JSON parser in
     # Python does) instead of failing to parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # HotSpot does not compile methods of more than 8000 bytes of bytecode; the
+    # validation stage would generate one.  Such a stage runs operator by operator,
+    # each in generated code that is split into smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
-# HotSpot does not JIT-compile methods over 8000 bytes of bytecode; the
-# validation stage generates one.  Either the JVM compiles huge methods (flag
-# below, set at JVM launch) or whole-stage codegen backs off for such stages.
-HUGE_METHODS_FLAG = "-XX:-DontCompileHugeMethods"
-
-
-def _compiles_huge_methods(spark: SparkSession) -> bool:
-    conf = spark.sparkContext.getConf()
-    local = (conf.get("spark.master", "") or "").startswith("local")
-    key = "spark.driver.extraJavaOptions" if local else "spark.executor.extraJavaOptions"
-    return HUGE_METHODS_FLAG in (conf.get(key, "") or "")
-
-
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    if not _compiles_huge_methods(spark):
-        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
@@ -56,7 +45,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("SINTONIA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.extraJavaOptions", HUGE_METHODS_FLAG)
         # Small local inputs: let AQE keep several tasks for CPU-heavy stages
         # instead of merging every shuffle below 1 MB into one task.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
@@ -75,13 +63,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is set (local tests)
-    create a scratch one."""
+    """The cluster's checkpoint folder.  Where none is set, a local session (one
+    machine, as in tests) gets a scratch one; a cluster session fails, since its
+    executors would write to folders the others cannot see."""
     existing = checkpoint_dir(spark)
     if existing:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(existing)
         return existing
+    master = spark.sparkContext.master or ""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sintonia-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 from sintonia import schemas as S
 from sintonia.functions.columns import is_blank
-from sintonia.sources.storage import path_exists, spread
+from sintonia.sources.storage import date_folders, path_exists
 
-LANDING_DATE = "fecha_landing"
+LANDING_DATE = S.FECHA_LANDING
 _LANDING_SCHEMA = T.StructType([T.StructField("value", T.StringType()), T.StructField(S.FECHA, T.DateType())])
 
 
@@ -30,17 +30,17 @@ def landing_scan(
     fail_if_missing: bool = False,
 ) -> DataFrame:
     """Non-blank lines of the landing folders in [start, end] (``end`` defaults to
-    ``start``) as ``value`` plus the folder's date as ``fecha_landing``.  The date
-    predicate prunes folders; a missing root is an empty input unless
-    ``fail_if_missing``."""
-    if not path_exists(spark, root):
-        if fail_if_missing:
+    ``start``) as ``value`` plus the folder's date as ``fecha_landing``.  Only the
+    folders in range are given to the reader, so no other is listed; a missing root
+    (or range) is an empty input unless ``fail_if_missing``.  No shuffle follows the
+    scan: its splits decide the parallelism."""
+    folders = [path for _, path in date_folders(spark, root, start, end)]
+    if not folders:
+        if fail_if_missing and not path_exists(spark, root):
             raise FileNotFoundError(root)
-        return spark.createDataFrame([], "value string, fecha_landing date")
-    lines = spark.read.schema(_LANDING_SCHEMA).text(root)
-    if start is not None:
-        lines = lines.filter(F.col(S.FECHA).between(F.lit(start).cast("date"), F.lit(end or start).cast("date")))
-    return spread(lines.filter(~is_blank("value")).select("value", F.col(S.FECHA).alias(LANDING_DATE)))
+        return spark.createDataFrame([], f"value string, {LANDING_DATE} date")
+    lines = spark.read.schema(_LANDING_SCHEMA).option("basePath", root).text(folders)
+    return lines.filter(~is_blank("value")).select("value", F.col(S.FECHA).alias(LANDING_DATE))
 
 
 def iso_text(ts: str | Column) -> Column:
@@ -58,9 +58,15 @@ def export_landing(events: DataFrame, root: str) -> None:
     replacing only the dates present."""
     fields = sorted([S.CANAL, S.HOGAR, S.TIMESTAMP, S.UNIVERSO])
     cols = [iso_text(S.TIMESTAMP).alias(S.TIMESTAMP) if f == S.TIMESTAMP else F.col(f) for f in fields]
-    out = events.select(F.col(S.TIMESTAMP).cast("date").alias(S.FECHA), F.to_json(F.struct(*cols)).alias("value"))
+    export_lines(events.select(F.col(S.TIMESTAMP).cast("date").alias(S.FECHA), F.to_json(F.struct(*cols)).alias("value")), root)
+
+
+def export_lines(lines: DataFrame, root: str) -> None:
+    """Write ready lines (``value``, ``fecha``) into their landing folders, replacing
+    only the dates present."""
     (
-        out.write.mode("overwrite")
+        lines.select(S.FECHA, "value")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(S.FECHA)
         .text(root)

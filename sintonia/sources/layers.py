@@ -1,8 +1,9 @@
 """Reads of the bronze, silver and gold layers.
 
 Always with the layer's explicit schema (partition values keep their text: channel
-``07`` stays ``"07"``), with the date range and channel as partition predicates
-(``PartitionFilters`` in the plan: untouched folders are never listed or read).
+``07`` stays ``"07"``).  With a date range, one shallow listing finds the ``fecha=``
+folders in it and only those are given to the reader: no other folder is listed or
+read.  The channel is a partition predicate (``PartitionFilters`` in the plan).
 A layer that does not exist yet is an empty table.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sintonia import schemas as S
-from sintonia.sources.storage import path_exists
+from sintonia.sources.storage import date_folders, path_exists
 
 
 def read_layer(
@@ -33,9 +34,14 @@ def read_layer(
         if fail_if_missing:
             raise FileNotFoundError(root)
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).parquet(root)
-    if start is not None:
-        df = df.filter(F.col(S.FECHA).between(F.lit(start).cast("date"), F.lit(end or start).cast("date")))
+    reader = spark.read.schema(schema)
+    if start is None:
+        df = reader.parquet(root)
+    else:
+        folders = [path for _, path in date_folders(spark, root, start, end)]
+        if not folders:
+            return spark.createDataFrame([], schema)
+        df = reader.option("basePath", root).parquet(*folders)
     if canal is not None:
         if S.CANAL not in columns:
             raise ValueError("layer has no canal column")

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
-from sintonia.sources.storage import spread
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type")
 
@@ -31,7 +30,7 @@ def _panel_columns(events: DataFrame) -> list[Column]:
         F.col("event_id"),
         F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias(S.TIMESTAMP),
         F.concat(F.lit("Canal_"), F.col("event_type")).alias(S.CANAL),
-        F.concat(F.lit("hogar-"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias(S.HOGAR),
+        F.format_string("hogar-%06d", F.col("user_id")).alias(S.HOGAR),
         (F.lit(100000) + (F.col("event_id") % 7) * 1000).cast("long").alias(S.UNIVERSO),
     ]
 
@@ -81,47 +80,54 @@ _ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def dirty_lines(events: DataFrame) -> DataFrame:
-    """Landing-shaped JSON lines (``value``) with invalid records mixed in.
-
-    ``event_id % 97`` = 0 / 1: timestamp null / ``"not-a-date"``; ``% 89 = 0``:
-    channel of blanks; ``% 83 = 0``: empty household; ``% 79`` = 0 / 1: universe
-    ``"0"`` / ``"abc"``.  Rows with ``event_id % 50 = 0`` also get a clean copy whose
-    universe (as JSON text) is 500 higher: a conflicting duplicate for silver.
-    Keys are written sorted, as the landing writer does.
+    """Landing-shaped JSON lines (``value``) with their landing date (``fecha``, the
+    event's own) and every class of invalid record mixed in.
+
+    By ``event_id``: ``% 97`` = 0 / 1 / 2: timestamp null / ``"not-a-date"`` / a number;
+    ``% 41`` = 0: timestamp with offset -05:00; ``% 89`` = 0 / 1: channel of blanks /
+    null; ``% 83`` = 0 / 1: empty household / household of blanks; ``% 79`` = 0 to 5:
+    universe ``"0"`` / ``"abc"`` / null / 1.5 / true / 0.5; ``% 73`` = 0: the line is cut
+    before its end.  Rows with ``event_id % 50 = 0`` also get a clean copy whose
+    universe (as JSON text) is 500 higher: a conflicting duplicate for silver.  Keys
+    are written sorted, as the landing writer does.
     """
-    # JSON rendering and the validation after it are CPU-heavy: use every core
-    # even when the table scans as a single split.
-    p = clean_panel(spread(events))
+    p = clean_panel(events)
     eid = F.col("event_id")
+    # digits, words and quoted digits only: each makes one JSON value
+    json_of = F.try_parse_json
     ts_text = F.date_format(S.TIMESTAMP, _ISO)
-    number = F.try_parse_json(F.col(S.UNIVERSO).cast("string"))
+    quoted = lambda text: json_of(F.concat(F.lit('"'), text, F.lit('"')))
     dirty = F.struct(
-        F.when(eid % 97 == 0, F.lit(None).cast("string"))
-        .when(eid % 97 == 1, F.lit("not-a-date"))
-        .otherwise(ts_text)
+        F.when(eid % 89 == 0, F.lit("   ")).when(eid % 89 == 1, F.lit(None)).otherwise(F.col(S.CANAL)).alias(S.CANAL),
+        F.when(eid % 83 == 0, F.lit("")).when(eid % 83 == 1, F.lit(" \t")).otherwise(F.col(S.HOGAR)).alias(S.HOGAR),
+        F.when(eid % 97 == 0, F.lit(None).cast("variant"))
+        .when(eid % 97 == 1, json_of(F.lit('"not-a-date"')))
+        .when(eid % 97 == 2, json_of(F.lit("20240101")))
+        .when(eid % 41 == 0, quoted(F.concat(ts_text, F.lit("-05:00"))))
+        .otherwise(quoted(ts_text))
         .alias(S.TIMESTAMP),
-        F.when(eid % 89 == 0, F.lit("   ")).otherwise(F.col(S.CANAL)).alias(S.CANAL),
-        F.when(eid % 83 == 0, F.lit("")).otherwise(F.col(S.HOGAR)).alias(S.HOGAR),
-        F.when(eid % 79 == 0, F.try_parse_json(F.lit('"0"')))
-        .when(eid % 79 == 1, F.try_parse_json(F.lit('"abc"')))
-        .otherwise(number)
+        F.when(eid % 79 == 0, json_of(F.lit('"0"')))
+        .when(eid % 79 == 1, json_of(F.lit('"abc"')))
+        .when(eid % 79 == 2, F.lit(None).cast("variant"))
+        .when(eid % 79 == 3, json_of(F.lit("1.5")))
+        .when(eid % 79 == 4, json_of(F.lit("true")))
+        .when(eid % 79 == 5, json_of(F.lit("0.5")))
+        .otherwise(json_of(F.col(S.UNIVERSO).cast("string")))
         .alias(S.UNIVERSO),
+        (eid % 73 == 0).alias("cut"),
     )
     copy = F.struct(
-        ts_text.alias(S.TIMESTAMP),
         F.col(S.CANAL).alias(S.CANAL),
         F.col(S.HOGAR).alias(S.HOGAR),
-        # digits only, so quoting them makes a valid JSON string
-        F.try_parse_json(F.concat(F.lit('"'), (F.col(S.UNIVERSO) + 500).cast("string"), F.lit('"'))).alias(S.UNIVERSO),
+        quoted(ts_text).alias(S.TIMESTAMP),
+        quoted((F.col(S.UNIVERSO) + 500).cast("string")).alias(S.UNIVERSO),
+        F.lit(False).alias("cut"),
     )
     # one pass over the events: each yields its (possibly dirty) record, plus the
     # conflicting copy when chosen
     records = F.when(eid % 50 == 0, F.array(dirty, copy)).otherwise(F.array(dirty))
-    return p.select(F.inline(records)).select(_json_line().alias("value"))
-
-
-def _json_line() -> Column:
-    return F.to_json(
-        F.struct(F.col(S.CANAL), F.col(S.HOGAR), F.col(S.TIMESTAMP), F.col(S.UNIVERSO)),
-        {"ignoreNullFields": "false"},
+    line = F.to_json(
+        F.struct(F.col(S.CANAL), F.col(S.HOGAR), F.col(S.TIMESTAMP), F.col(S.UNIVERSO)), {"ignoreNullFields": "false"}
     )
+    rows = p.select(F.col(S.TIMESTAMP).cast("date").alias(S.FECHA), F.inline(records))
+    return rows.select(F.when(F.col("cut"), F.substring(line, 1, 20)).otherwise(line).alias("value"), S.FECHA)

@@ -7,6 +7,7 @@ replaces nothing."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 
@@ -21,8 +22,11 @@ def _replace_partitions(df: DataFrame, root: str, partitions: tuple[str, ...]) -
 
 
 def write_bronze(bronze: DataFrame, root: str) -> None:
-    """No shuffle: each task writes the dates it holds (landing input is already
-    laid out by date, so tasks hold one date each and files stay large)."""
+    """No shuffle: each task writes the dates of its scan split, in scan order, so
+    there are about as many files as splits.  Rows without a landing date count as
+    landed on their own date."""
+    if S.FECHA_LANDING not in bronze.columns:
+        bronze = bronze.withColumn(S.FECHA_LANDING, F.col(S.FECHA))
     _replace_partitions(bronze.select(*S.BRONZE_COLUMNS), root, S.BRONZE_PARTITIONS)
 
 

@@ -1,31 +1,48 @@
 """Filesystem helpers through Hadoop's FileSystem API (works for HDFS, object
-stores and local paths alike, from the driver only for existence checks)."""
+stores and local paths alike, from the driver only: existence and one shallow
+listing)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from datetime import date
 
+from pyspark.sql import SparkSession
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+from sintonia import schemas as S
+
+_DATE_FOLDER = re.compile(rf"{S.FECHA}=(\d{{4}}-\d{{2}}-\d{{2}})$")
+
+
+def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def join(root: str, *parts: str) -> str:
-    return "/".join([root.rstrip("/"), *[p.strip("/") for p in parts]])
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _filesystem(spark, path)
+    return bool(fs.exists(hpath))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer tasks than the cluster has cores (one small
-    file, a single row group) over ``defaultParallelism`` tasks so the CPU-heavy
-    narrow work after it (JSON parsing, validation) runs in parallel.  Large inputs
-    already scan in many splits and are returned untouched: no shuffle is added
-    where the scan itself is parallel."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    # Hash on every column: deterministic on retry without the sort a round-robin
-    # repartition needs.
-    return df.repartition(cores, *df.columns)
+def delete_path(spark: SparkSession, path: str) -> None:
+    hpath, fs = _filesystem(spark, path)
+    fs.delete(hpath, True)
+
+
+def date_folders(
+    spark: SparkSession, root: str, start: date | str | None = None, end: date | str | None = None
+) -> list[tuple[date, str]]:
+    """(date, path) of the ``fecha=`` folders right under ``root``, in date order,
+    those in [start, end] only (``end`` defaults to ``start``; no start: all).  Lists
+    one level, never what the folders hold."""
+    hpath, fs = _filesystem(spark, root)
+    if not fs.exists(hpath):
+        return []
+    low, high = (str(d) if d is not None else None for d in (start, end if end is not None else start))
+    found = []
+    for status in fs.listStatus(hpath):
+        m = _DATE_FOLDER.search(status.getPath().getName())
+        if m and (low is None or low <= m[1] <= high):
+            found.append((date.fromisoformat(m[1]), status.getPath().toString()))
+    return sorted(found)

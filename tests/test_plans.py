@@ -13,7 +13,15 @@ from sintonia.sources import layers, sinks
 from tests.helpers import bronze_df, silver_df
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"range_prune", "rewrite_replaces_partition", "two_run_compare", "landing_roundtrip", "resume_from_silver"}
+WRITING = {
+    "range_prune",
+    "rewrite_replaces_partition",
+    "two_run_compare",
+    "landing_roundtrip",
+    "resume_from_silver",
+    "run_summary",
+    "report_bound_parameter",
+}
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF")
 
 
@@ -41,10 +49,10 @@ def test_gold_reads_silver_once_with_pruning(spark, tmp_path):
     counts = metrics.band_counts(layers.read_silver(spark, root, start="2026-08-02", end="2026-08-03"))
     plan = _physical(counts)
     assert plan.count("FileScan") == 1
-    assert "PartitionFilters: [isnotnull(fecha" in plan
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "procesado_en" not in read_schema and "universo_total" in read_schema
-    assert plan.count("Exchange") == 2  # household level, then the tiny count
+    assert plan.count("Exchange") == 3  # fold to household hours, the two levels, the tiny count
+    assert "lambdafunction" not in plan
     assert "partial_max" in plan  # map-side combine before the big shuffle
 
 
@@ -58,7 +66,16 @@ def test_gold_is_one_linear_plan(spark, tmp_path, kw):
     )
     plan = _physical(metrics.gold_metrics(layers.read_silver(spark, root), **kw))
     assert plan.count("FileScan") == 1 and "Join" not in plan and "InMemoryRelation" not in plan
-    assert plan.count("Exchange") == 4  # household level, band counts, hour maps, window by date
+    assert plan.count("Exchange") == 5  # household hours, levels, band counts, hour maps, window by date
+
+
+def test_gold_plan_does_not_grow_with_the_channel_list(spark):
+    from tests.helpers import two_channel_silver
+
+    silver = two_channel_silver(spark)
+    nodes = lambda n: len(metrics.gold_metrics(silver, canales=[f"C{k}" for k in range(n)])._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert nodes(10) == nodes(1500)
+    assert metrics.gold_metrics(silver, canales=[f"C{k}" for k in range(1500)]).count() == 1500 * 24
 
 
 def test_hot_channel_is_cut_across_tasks(spark):
@@ -81,15 +98,3 @@ def test_hot_channel_is_cut_across_tasks(spark):
         if r.canal == "HOT":
             per_task[r.p] = per_task.get(r.p, 0) + 1
     assert len(per_task) >= 4 and max(per_task.values()) < 4000 * 0.5
-
-
-def test_spread_only_touches_inputs_with_too_few_splits(spark, tmp_path):
-    from sintonia.sources.storage import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 10_000, numPartitions=cores * 2)
-    assert spread(many) is many  # already parallel: no shuffle added
-    one = spark.range(0, 10_000, numPartitions=1)
-    spread_one = spread(one)
-    assert "Exchange" in _physical(spread_one)
-    assert spread_one.rdd.getNumPartitions() == cores

@@ -103,7 +103,7 @@ def test_universe_overflowing_double_is_rejected(spark, lines):
         ("2026-08-01 10:00", None, datetime(2026, 8, 1, 10, 0)),
         ("2026-08-01", None, datetime(2026, 8, 1)),
         ("2026-08-01T10:05Z", None, datetime(2026, 8, 1, 10, 5)),
-        ("2026-08-01 10:00:00 +01", None, datetime(2026, 8, 1, 10, 0)),
+        ("2026-08-01 10:00:00 +01", None, datetime(2026, 8, 1, 9, 0)),
         ("2026-08-01T10:00:00.1234567", None, datetime(2026, 8, 1, 10, 0, 0, 123456)),
         ("2026-08-01T10", S.REASON_TS_PARSE, None),
         ("2026-08-01T10+02:00", S.REASON_TS_PARSE, None),
@@ -111,7 +111,10 @@ def test_universe_overflowing_double_is_rejected(spark, lines):
         ("2026-08-01t10:00:00", S.REASON_TS_PARSE, None),
         ("2026-02-30T10:00", S.REASON_TS_PARSE, None),
         ("2026-08-01T10:00:00.5", None, datetime(2026, 8, 1, 10, 0, 0, 500000)),
-        ("2026-08-01T10:00:00+02:00", None, datetime(2026, 8, 1, 10, 0)),
+        ("2026-08-01T10:00:00+02:00", None, datetime(2026, 8, 1, 8, 0)),
+        ("2026-08-01T23:30:00-05:00", None, datetime(2026, 8, 2, 4, 30)),
+        ("0000-01-01T00:00:00", S.REASON_TS_PARSE, None),
+        ("0001-01-01T00:00:00+05:00", S.REASON_TS_PARSE, None),
         ("10:00", S.REASON_TS_PARSE, None),
         ("2026", S.REASON_TS_PARSE, None),
         ("2026-13-01", S.REASON_TS_PARSE, None),
