@@ -27,6 +27,7 @@ _TIMESTAMP_KINDS = ("TIMESTAMP", "TIMESTAMP_NTZ")
 _LONG_LIMIT = 9.2233720368547758e18
 
 
+_BARE_NUMBER_WORD = rf'("{S.UNIVERSO}"\s*:\s*)(NaN|-?Infinity)\b'
 _RAW_STRUCT = "struct<" + ", ".join(f"{f}: variant" for f in S.RAW_FIELDS) + ">"
 
 
@@ -89,7 +90,11 @@ def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:
     field, its JSON type and its text; all rules then run on plain strings.
     """
     keep = [F.col(c) for c in raw.columns]
-    parsed = raw.select(*keep, F.try_parse_json(F.col(value_col)).alias("_v"))
+    # NaN and Infinity are no JSON, but writers emit them: as a universe they are text
+    # that is no integer.  Only a line that does not parse is looked at again.
+    line = F.col(value_col)
+    mended = F.regexp_replace(line, _BARE_NUMBER_WORD, '$1"$2"')
+    parsed = raw.select(*keep, F.coalesce(F.try_parse_json(line), F.try_parse_json(mended)).alias("_v"))
     # Only a JSON object extracts to the struct (absent keys become NULL fields),
     # so a NULL struct marks a line that is not an object.
     fields = parsed.select(*keep, F.try_variant_get(F.col("_v"), "$", _RAW_STRUCT).alias("_r"))
