@@ -25,6 +25,7 @@ from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
 from sintonia.operators import audit, metrics, validate
 from sintonia.sources import landing, layers, sinks
+from sintonia.sources.storage import landed_folders
 from sintonia.functions.columns import unique
 
 STAGES = ("bronze", "silver", "gold")
@@ -62,13 +63,12 @@ def _in_range(cfg: PipelineConfig):
     return F.col(S.FECHA).between(F.lit(cfg.start), F.lit(cfg.last))
 
 
-def _landed_in_range(cfg: PipelineConfig):
-    return F.col(S.FECHA_LANDING).between(F.lit(cfg.start), F.lit(cfg.last))
-
-
 def _published(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Bronze rows that the landing folders of the range brought, whatever their date."""
-    return layers.read_bronze(spark, cfg.bronze_root).filter(_landed_in_range(cfg))
+    folders = landed_folders(spark, cfg.bronze_root, cfg.start, cfg.last)
+    if not folders:
+        return spark.createDataFrame([], S.BRONZE)
+    return spark.read.schema(S.BRONZE).option("basePath", cfg.bronze_root).parquet(*folders)
 
 
 def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:

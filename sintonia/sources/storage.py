@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from sintonia import schemas as S
 
 _DATE_FOLDER = re.compile(rf"{S.FECHA}=(\d{{4}}-\d{{2}}-\d{{2}})$")
+_LANDING_FOLDER = re.compile(rf"{S.FECHA_LANDING}=(\d{{4}}-\d{{2}}-\d{{2}})$")
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -46,3 +47,12 @@ def date_folders(
         if m and (low is None or low <= m[1] <= high):
             found.append((date.fromisoformat(m[1]), status.getPath().toString()))
     return sorted(found)
+
+
+def landed_folders(spark: SparkSession, root: str, start: date | str, end: date | str) -> list[str]:
+    """Paths of the bronze folders that landing dates in [start, end] brought, under any
+    ``fecha=`` folder.  One shallow listing per date folder; no file is listed."""
+    hpath, fs = _filesystem(spark, f"{root.rstrip('/')}/{S.FECHA}=*/{S.FECHA_LANDING}=*")
+    found = [status.getPath() for status in fs.globStatus(hpath) or []]
+    names = [(p.toString(), _LANDING_FOLDER.search(p.getName())) for p in found]
+    return sorted(path for path, m in names if m and str(start) <= m[1] <= str(end))
