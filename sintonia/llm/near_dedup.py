@@ -46,8 +46,8 @@ class Forest:
     least_depth: int = 4
     #: Values of a tree's order at most.
     deepest: int = 16
-    region: int = 256
-    pivots: int = 8
+    region: int = 96
+    pivots: int = 6
     counters: int = 1024
     seed: int = 7
 
