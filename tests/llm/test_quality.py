@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import random
 import re
 from collections import Counter
@@ -38,6 +39,26 @@ def test_bands(docs):
     assert not got[101].kept  # characters at random
 
 
+def test_text_that_does_not_compress_is_rejected(docs, sample):
+    rng = random.Random(4)
+    noise = lambda n: "".join(" " if rng.random() < 0.12 else chr(rng.randint(33, 126)) for _ in range(n))
+    lines = lambda s: "\n".join(s[k : k + 76] for k in range(0, len(s), 76))
+    b64 = lambda n: lines(base64.b64encode(rng.randbytes(n)).decode())
+    long = Q.judge(sample).where("kept AND chunks >= 4").select("doc_id")
+    prose = sample.join(long, "doc_id").orderBy("doc_id").first().text
+    bad = [noise(n) for n in (600, 1000, 1500, 2000, 4000, 20_000)]
+    bad += [b64(n) for n in (3200, 6000, 80_000)]
+    bad += [lines(rng.randbytes(n).hex()) for n in (5000, 9000, 50_000)]
+    # noise in three quarters of every chunk, and in half of the chunks
+    bad += ["".join(noise(3072) + prose[k : k + 1024] for k in range(0, 4096, 1024))]
+    bad += ["".join(noise(4096) + prose[k : k + 4096] for k in (0, 4096))]
+    got = {r.doc_id: r for r in Q.judge(docs(list(enumerate(bad)))).collect()}
+    assert [k for k, r in got.items() if r.kept] == []
+    assert [k for k, r in got.items() if r.base_failed] == []  # by the bands, not the counts
+    # every document of prose stays: the limits reject none that the base rule takes
+    assert Q.judge(sample).where("NOT base_failed AND NOT kept").count() == 0
+
+
 def test_edge_rows(docs):
     rows = [(1, None), (2, ""), (None, "a b"), (4, "word " * 100_000), (4, "word " * 100_000), (5, "\n\n \t")]
     got = Q.judge(docs(rows)).collect()
