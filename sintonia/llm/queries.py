@@ -6,6 +6,7 @@ from __future__ import annotations
 import corpus_pipeline
 from sintonia.llm.budget_mix import op1_budget_mix
 from sintonia.llm.context_mix import op5_context_mixing
+from sintonia.llm.divergence import OP11_SQL, op11_dominance_skyband
 from sintonia.llm.exact_dedup import OP8_SQL, op8_heavy_hitter_dedup
 from sintonia.llm.license_scan import op4_license_automaton
 from sintonia.llm.line_dedup import OP3_SQL, op3_cuckoo_line_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_heavy_hitter_dedup": op8_heavy_hitter_dedup,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_linear_grouping": op10_linear_grouping,
+    "op11_dominance_skyband": op11_dominance_skyband,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -33,4 +35,5 @@ ORACLE = {
     "op3_cuckoo_line_dedup": OP3_SQL,
     "op7_zstd_archives": OP7_SQL,
     "op8_heavy_hitter_dedup": OP8_SQL,
+    "op11_dominance_skyband": OP11_SQL,
 }
