@@ -14,6 +14,7 @@ from sintonia.llm.near_dedup import op9_lsh_forest
 from sintonia.llm.packing import op10_linear_grouping
 from sintonia.llm.quality import op2_compression_bands
 from sintonia.llm.secret_ledger import op6_blob_ledger
+from sintonia.llm.token_arrow import op12_fixed_list_files
 from sintonia.llm.warc_zstd import OP7_SQL, op7_zstd_archives
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_lsh_forest": op9_lsh_forest,
     "op10_linear_grouping": op10_linear_grouping,
     "op11_dominance_skyband": op11_dominance_skyband,
+    "op12_fixed_list_files": op12_fixed_list_files,
     "pipeline": corpus_pipeline.run,
 }
 
