@@ -10,6 +10,7 @@ from sintonia.llm.divergence import OP11_SQL, op11_dominance_skyband
 from sintonia.llm.exact_dedup import OP8_SQL, op8_heavy_hitter_dedup
 from sintonia.llm.license_scan import op4_license_automaton
 from sintonia.llm.line_dedup import OP3_SQL, op3_cuckoo_line_dedup
+from sintonia.llm.mask_search import OP13_SQL, op13_mask_search
 from sintonia.llm.near_dedup import op9_lsh_forest
 from sintonia.llm.packing import op10_linear_grouping
 from sintonia.llm.quality import op2_compression_bands
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_linear_grouping": op10_linear_grouping,
     "op11_dominance_skyband": op11_dominance_skyband,
     "op12_fixed_list_files": op12_fixed_list_files,
+    "op13_mask_search": op13_mask_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -38,4 +40,5 @@ ORACLE = {
     "op7_zstd_archives": OP7_SQL,
     "op8_heavy_hitter_dedup": OP8_SQL,
     "op11_dominance_skyband": OP11_SQL,
+    "op13_mask_search": OP13_SQL,
 }
