@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 import random
 import zlib
 from pathlib import Path
@@ -110,19 +111,23 @@ def test_one_doc_id_in_most_rows(spark, docs, tmp_path):
 
 def test_words_give_the_librarys_ids():
     own, library, rng = A.encoder(LAYOUT.tokenizer), tokenizer(), random.Random(4)
-    assert own.by_word and own.kind.itemsize == 2
+    assert own.fast and own.kind.itemsize == 2
     wild = [chr(c) for c in range(1, 0x2FF)]
     tame = list("abcdeft'sremldv 19. ABCÉß\n\t")
     texts = ["".join(rng.choice(wild if rng.random() < 0.2 else tame) for _ in range(rng.randint(0, 50))) for _ in range(4000)]
+    texts += [t.replace("</w>", " ") for t in library.get_vocab()]  # every token as a text
     for text, ids in zip(texts, own.encode(texts)):
         assert np.frombuffer(ids, own.kind).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
-def test_word_cache_is_bounded():
-    own = A.WordEncoder(LAYOUT.tokenizer, kept_words=10)
-    texts = [" ".join("x" * k + "q" for k in range(i, i + 8)) for i in range(0, 60, 3)]
-    got = list(own.encode(texts))
-    assert len(own.words) <= 10 and got == [own._plain([t])[0] for t in texts]
+def test_other_tokenizers_go_through_the_library(tmp_path):
+    made = json.loads(Path(LAYOUT.tokenizer).read_text())
+    made["normalizer"]["normalizers"].pop()  # keeps case
+    (tmp_path / "t.json").write_text(json.dumps(made))
+    own = A.WordEncoder(str(tmp_path / "t.json"))
+    assert not own.fast
+    want = Tokenizer.from_file(str(tmp_path / "t.json")).encode("Some Words", add_special_tokens=False).ids
+    assert np.frombuffer(own.ids("Some Words"), own.kind).tolist() == want
 
 
 def test_damage_is_noticed(sample, tmp_path):
