@@ -30,6 +30,7 @@ ISO_TIMESTAMP_PATTERN = (
     r")?$"
 )
 _MINUTES_ONLY = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?= ?[Z+-])"
+_PLAIN_SHAPE = "0000-00-00T00:00:00"
 _SPACE_BEFORE_OFFSET = r" (?=(?:Z|[+-][\d:.]+)$)"
 
 
@@ -38,8 +39,10 @@ def col_(c: str | Column) -> Column:
 
 
 def is_blank(c: str | Column) -> Column:
-    """True when the text is empty or whitespace only (Unicode aware)."""
-    return col_(c).rlike(BLANK_PATTERN)
+    """True when the text is empty or whitespace only (Unicode aware).  A text that
+    begins with a printing ASCII character is told without the pattern."""
+    t = col_(c)
+    return F.when(F.ascii(t).between(0x21, 0x7E), F.lit(False)).otherwise(t.rlike(BLANK_PATTERN))
 
 
 def iso_utc(text: str | Column) -> Column:
@@ -48,10 +51,13 @@ def iso_utc(text: str | Column) -> Column:
     years 1 to 9999).  A text without an offset is taken as UTC, as the session zone
     is UTC (``session.REQUIRED_CONF``).  Fractions beyond microseconds are truncated."""
     t = col_(text)
+    # the common shape needs no pattern; the cast refuses year 0 only beyond it
+    plain = (F.translate(t, "123456789", "000000000") == F.lit(_PLAIN_SHAPE)) & ~t.startswith("0000")
     # the cast wants seconds before an offset, and no space there
     full = F.regexp_replace(F.regexp_replace(t, _MINUTES_ONLY, "$1:00"), _SPACE_BEFORE_OFFSET, "")
     utc = full.try_cast("timestamp").cast("timestamp_ntz")
-    return F.when(t.rlike(ISO_TIMESTAMP_PATTERN) & F.year(utc).between(1, 9999), utc)
+    other = F.when(t.rlike(ISO_TIMESTAMP_PATTERN), utc)
+    return F.when(plain, t.try_cast("timestamp_ntz")).when(F.year(other).between(1, 9999), other)
 
 
 def hour_band(ts: str | Column) -> Column:

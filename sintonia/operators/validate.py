@@ -23,7 +23,6 @@ from sintonia.functions.columns import (
 )
 
 _INTEGER_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT")
-_TIMESTAMP_KINDS = ("TIMESTAMP", "TIMESTAMP_NTZ")
 _LONG_LIMIT = 9.2233720368547758e18
 
 
@@ -48,33 +47,19 @@ def _nonblank_string(kind: Column, text: Column) -> Column:
     return (kind == "STRING") & ~is_blank(text)
 
 
-def universe_values(kind: Column, text: Column) -> tuple[Column, Column]:
-    """(checked value, stored value) of the universe from its JSON type and text,
-    both BIGINT or NULL when the value is not an integer.  The check truncates
-    (``int(1.9) == 1``); the store rounds half to even, like a double-to-bigint SQL
-    cast.  Values beyond BIGINT are not integers here (they cannot be stored)."""
+def universe_parts(kind: Column, text: Column) -> tuple[Column, Column]:
+    """The universe from its JSON type and text: its exact BIGINT value, or the DOUBLE
+    of a fractional number; both NULL when it is not an integer.  Values beyond BIGINT
+    are not integers here (they cannot be stored)."""
     as_double = text.try_cast("double")
-    finite = as_double.isNotNull() & (F.abs(as_double) < F.lit(_LONG_LIMIT))
     fractional = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
     digits = F.regexp_replace(F.regexp_replace(text, INTEGER_EDGE_WS_PATTERN, ""), "_", "")
-    from_text = F.when(text.rlike(INTEGER_TEXT_PATTERN), digits.try_cast("long"))
-    from_bool = F.when(text == F.lit("true"), F.lit(1)).otherwise(F.lit(0)).cast("long")
     exact = (
         F.when(kind.isin(*_INTEGER_KINDS), text.try_cast("long"))
-        .when(kind == "BOOLEAN", from_bool)
-        .when(kind == "STRING", from_text)
-    )
-    checked = F.when(fractional, F.when(finite, as_double.try_cast("long"))).otherwise(exact)
-    stored = F.when(fractional, F.when(finite, F.rint(as_double).try_cast("long"))).otherwise(exact)
-    return checked, stored
-
-
-def timestamp_value(kind: Column, text: Column) -> Column:
-    """TIMESTAMP_NTZ in UTC of an ISO-8601 text, or of a timestamp already typed in
-    the variant."""
-    return F.when(kind == "STRING", iso_utc(text)).when(
-        kind.isin(*_TIMESTAMP_KINDS), text.try_cast("timestamp_ntz")
+        .when(kind == "BOOLEAN", (text == F.lit("true")).cast("long"))
+        .when((kind == "STRING") & text.rlike(INTEGER_TEXT_PATTERN), digits.try_cast("long"))
     )
+    return exact, F.when(fractional & (F.abs(as_double) < F.lit(_LONG_LIMIT)), as_double)
 
 
 def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -114,8 +99,15 @@ def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
     typed = fields.select(*keep, F.inline(F.array(pairs)))
     (kt, tt), (kc, tc), (kh, th), (ku, tu) = ((F.col(f"_k{i}"), F.col(f"_t{i}")) for i in range(4))
-    checked_u, stored_u = universe_values(ku, tu)
-    ts_value = timestamp_value(kt, tt)
+    # Likewise the values that both the verdict and the row need: parsed once.
+    exact, fraction = universe_parts(ku, tu)
+    ts = F.when(kt == "STRING", iso_utc(tt))
+    typed = typed.select("*", F.inline(F.array(F.struct(exact.alias("_u"), fraction.alias("_f"), ts.alias("_ts")))))
+    ts_value = F.col("_ts")
+    # the check truncates (``int(1.9) == 1``); the store rounds half to even, like a
+    # double-to-bigint SQL cast
+    checked_u = F.coalesce(F.col("_u"), F.col("_f").try_cast("long"))
+    stored_u = F.coalesce(F.col("_u"), F.rint("_f").try_cast("long"))
     reason = F.when(~F.col("_obj"), F.lit(S.REASON_NOT_JSON_OBJECT))
     for name, (k, t) in zip(S.RAW_FIELDS, ((kt, tt), (kc, tc), (kh, th), (ku, tu))):
         reason = reason.when(_missing(k, t), F.lit(S.REASON_MISSING.format(field=name)))
@@ -124,7 +116,7 @@ def judge(raw: DataFrame, value_col: str = "value") -> DataFrame:
         .when(~_nonblank_string(kh, th), F.lit(S.REASON_HOGAR))
         .when(checked_u.isNull(), F.lit(S.REASON_UNIVERSO_INT))
         .when(checked_u <= 0, F.lit(S.REASON_UNIVERSO_POS))
-        .when(~kt.isin("STRING", *_TIMESTAMP_KINDS), F.lit(S.REASON_TS_TYPE))
+        .when(kt != "STRING", F.lit(S.REASON_TS_TYPE))
         .when(ts_value.isNull(), F.lit(S.REASON_TS_PARSE))
     )
     return typed.select(

@@ -23,10 +23,6 @@ REQUIRED_CONF = {
     # A JSON object with a repeated key keeps the last value (as a JSON parser in
     # Python does) instead of failing to parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # HotSpot does not compile methods of more than 8000 bytes of bytecode; the
-    # validation stage would generate one.  Such a stage runs operator by operator,
-    # each in generated code that is split into smaller methods.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

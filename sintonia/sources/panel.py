@@ -26,11 +26,12 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _panel_columns(events: DataFrame) -> list[Column]:
+    user = F.col("user_id")
     return [
         F.col("event_id"),
         F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias(S.TIMESTAMP),
         F.concat(F.lit("Canal_"), F.col("event_type")).alias(S.CANAL),
-        F.format_string("hogar-%06d", F.col("user_id")).alias(S.HOGAR),
+        F.concat(F.lit("hogar-"), F.when(user < 1_000_000, F.lpad(user.cast("string"), 6, "0")).otherwise(user.cast("string"))).alias(S.HOGAR),
         (F.lit(100000) + (F.col("event_id") % 7) * 1000).cast("long").alias(S.UNIVERSO),
     ]
 
@@ -93,41 +94,42 @@ def dirty_lines(events: DataFrame) -> DataFrame:
     """
     p = clean_panel(events)
     eid = F.col("event_id")
-    # digits, words and quoted digits only: each makes one JSON value
-    json_of = F.try_parse_json
-    ts_text = F.date_format(S.TIMESTAMP, _ISO)
-    quoted = lambda text: json_of(F.concat(F.lit('"'), text, F.lit('"')))
+    quoted = lambda text: F.concat(F.lit('"'), text, F.lit('"'))
+    # the two fields whose JSON type varies are written as JSON text
+    stamp, clean_universe = quoted(F.date_format(S.TIMESTAMP, _ISO)), F.col(S.UNIVERSO).cast("string")
     dirty = F.struct(
         F.when(eid % 89 == 0, F.lit("   ")).when(eid % 89 == 1, F.lit(None)).otherwise(F.col(S.CANAL)).alias(S.CANAL),
         F.when(eid % 83 == 0, F.lit("")).when(eid % 83 == 1, F.lit(" \t")).otherwise(F.col(S.HOGAR)).alias(S.HOGAR),
-        F.when(eid % 97 == 0, F.lit(None).cast("variant"))
-        .when(eid % 97 == 1, json_of(F.lit('"not-a-date"')))
-        .when(eid % 97 == 2, json_of(F.lit("20240101")))
-        .when(eid % 41 == 0, quoted(F.concat(ts_text, F.lit("-05:00"))))
-        .otherwise(quoted(ts_text))
+        F.when(eid % 97 == 0, F.lit("null"))
+        .when(eid % 97 == 1, F.lit('"not-a-date"'))
+        .when(eid % 97 == 2, F.lit("20240101"))
+        .when(eid % 41 == 0, F.concat(F.substring(stamp, 1, 20), F.lit('-05:00"')))
+        .otherwise(stamp)
         .alias(S.TIMESTAMP),
-        F.when(eid % 79 == 0, json_of(F.lit('"0"')))
-        .when(eid % 79 == 1, json_of(F.lit('"abc"')))
-        .when(eid % 79 == 2, F.lit(None).cast("variant"))
-        .when(eid % 79 == 3, json_of(F.lit("1.5")))
-        .when(eid % 79 == 4, json_of(F.lit("true")))
-        .when(eid % 79 == 5, json_of(F.lit("0.5")))
-        .otherwise(json_of(F.col(S.UNIVERSO).cast("string")))
+        F.when(eid % 79 == 0, F.lit('"0"'))
+        .when(eid % 79 == 1, F.lit('"abc"'))
+        .when(eid % 79 == 2, F.lit("null"))
+        .when(eid % 79 == 3, F.lit("1.5"))
+        .when(eid % 79 == 4, F.lit("true"))
+        .when(eid % 79 == 5, F.lit("0.5"))
+        .otherwise(clean_universe)
         .alias(S.UNIVERSO),
         (eid % 73 == 0).alias("cut"),
     )
     copy = F.struct(
         F.col(S.CANAL).alias(S.CANAL),
         F.col(S.HOGAR).alias(S.HOGAR),
-        quoted(ts_text).alias(S.TIMESTAMP),
+        stamp.alias(S.TIMESTAMP),
         quoted((F.col(S.UNIVERSO) + 500).cast("string")).alias(S.UNIVERSO),
         F.lit(False).alias("cut"),
     )
     # one pass over the events: each yields its (possibly dirty) record, plus the
     # conflicting copy when chosen
     records = F.when(eid % 50 == 0, F.array(dirty, copy)).otherwise(F.array(dirty))
-    line = F.to_json(
-        F.struct(F.col(S.CANAL), F.col(S.HOGAR), F.col(S.TIMESTAMP), F.col(S.UNIVERSO)), {"ignoreNullFields": "false"}
-    )
     rows = p.select(F.col(S.TIMESTAMP).cast("date").alias(S.FECHA), F.inline(records))
+    texts = F.to_json(F.struct(F.col(S.CANAL), F.col(S.HOGAR)), {"ignoreNullFields": "false"})
+    line = F.concat(
+        F.rtrim(texts, F.lit("}")),
+        F.lit(f',"{S.TIMESTAMP}":'), F.col(S.TIMESTAMP), F.lit(f',"{S.UNIVERSO}":'), F.col(S.UNIVERSO), F.lit("}"),
+    )
     return rows.select(F.when(F.col("cut"), F.substring(line, 1, 20)).otherwise(line).alias("value"), S.FECHA)

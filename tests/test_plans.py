@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -41,6 +42,15 @@ def test_validation_adds_no_shuffle(spark, lines):
     assert "Exchange" not in plan
 
 
+def test_validation_stage_is_small_enough_to_be_compiled(spark, lines):
+    """HotSpot compiles no method of over 8000 bytes of bytecode."""
+    df = validate.accepted(validate.judge(lines([])))
+    codegen = spark._jvm.org.apache.spark.sql.execution.debug.package
+    text = codegen.codegenString(df._jdf.queryExecution().executedPlan())
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_gold_reads_silver_once_with_pruning(spark, tmp_path):
     rows = [(f"h{i % 9}", f"C{i % 3}", datetime(2026, 8, 1 + i % 4, i % 24, i % 60), 10) for i in range(400)]
     s = silver_df(spark, rows)
