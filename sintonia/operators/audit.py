@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sintonia import schemas as S
+from sintonia.sources.layers import footer_counts
 from sintonia.sources.storage import path_exists
 
 _SLICES = 4
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
 def content_columns(df: DataFrame, exclude: Sequence[str] = S.AUDIT_COLUMNS) -> list[str]:
@@ -79,18 +81,23 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str] = S.GOLD_PARTITI
 def inventory(
     spark: SparkSession, root: str, schema: T.StructType, partitions: Sequence[str] = S.GOLD_PARTITIONS
 ) -> DataFrame:
-    """Files and rows per partition of a written layer (proves that a rerun
-    replaced files instead of adding them)."""
+    """Files, bytes and rows per partition of a written layer (proves that a rerun
+    replaced files instead of adding them).  Files and bytes come from the listing, rows
+    from the footers: no row is read."""
+    keys = [schema[p] for p in partitions]
+    sizes = [T.StructField(n, T.LongType()) for n in ("n_files", "n_bytes", "n_rows")]
     if not path_exists(spark, root):
-        return spark.createDataFrame(
-            [], T.StructType([schema[p] for p in partitions] + [T.StructField("n_files", T.LongType()), T.StructField("n_rows", T.LongType())])
-        )
-    df = spark.read.schema(schema).parquet(root)
-    return (
-        df.select(*partitions, F.col("_metadata.file_path").alias("_file"))
+        return spark.createDataFrame([], T.StructType([*keys, *sizes]))
+    listed = T.StructType([*T.StructType.fromDDL(_LISTING).fields, *keys])
+    files = (
+        spark.read.format("binaryFile")
+        .schema(listed)
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
         .groupBy(*partitions)
-        .agg(F.count_distinct("_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
     )
+    return files.join(footer_counts(spark, root, schema, partitions), list(partitions))
 
 
 def row_count(df: DataFrame) -> int:

@@ -1,61 +1,45 @@
 """Report queries over the gold layer: presets, free SQL, the preset catalogue.
 
-Presets are functions from gold to a report; free SQL runs against a temp view named
-``gold`` with named parameters (``:canal``) bound by Spark, never interpolated.
-Rounding to two places uses the scaled form (``functions.round2``); leader ties are
-broken by channel name.
+Presets are SQL texts; they and free SQL run against a temp view named ``gold``, with
+named parameters (``:canal``) bound by Spark, never interpolated.  Rounding to two
+places uses the scaled form; leader ties are broken by channel name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
-from sintonia.functions.columns import round2
-
-_BAND_KEYS = (S.FECHA, S.FRANJA)
-
-
-def rating_share(gold: DataFrame) -> DataFrame:
-    """Rating and share of every channel in every band."""
-    return gold.select(*_BAND_KEYS, S.CANAL, "rating_pct", "share_pct").orderBy(*_BAND_KEYS, S.CANAL)
-
-
-def resumen_canal(gold: DataFrame) -> DataFrame:
-    """Mean rating, mean share and added audience of each channel and day, best first."""
-    days = gold.groupBy(S.FECHA, S.CANAL).agg(
-        round2(F.avg("rating_pct")).alias("rating_prom"),
-        round2(F.avg("share_pct")).alias("share_prom"),
-        F.sum("audiencia_canal").alias("audiencia_acumulada_dia"),
-    )
-    return days.orderBy(S.FECHA, F.desc("rating_prom"), S.CANAL)
-
-
-def top_franja(gold: DataFrame) -> DataFrame:
-    """The leader of each band.  An aggregate, so every task hands on one candidate per
-    band: the least of (negated rating, channel)."""
-    place = F.struct((-F.col("rating_pct")).alias("minus_rating"), S.CANAL, "rating_pct", "share_pct")
-    leaders = gold.groupBy(*_BAND_KEYS).agg(F.min(place).alias("lead"))
-    return leaders.select(*_BAND_KEYS, "lead.canal", "lead.rating_pct", "lead.share_pct").orderBy(*_BAND_KEYS)
-
-
-def cobertura(gold: DataFrame) -> DataFrame:
-    """The bands nobody watched."""
-    bands = gold.groupBy(*_BAND_KEYS).agg(F.sum("audiencia_total_franja").alias("audiencia_total"))
-    return bands.where(F.col("audiencia_total") == 0).orderBy(*_BAND_KEYS)
-
-
-def share_check(gold: DataFrame) -> DataFrame:
-    """Sum of the shares of each band (over 100 where households changed channel)."""
-    return gold.groupBy(*_BAND_KEYS).agg(round2(F.sum("share_pct")).alias("suma_share_pct")).orderBy(*_BAND_KEYS)
-
-
-PRESETS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    f.__name__: f for f in (rating_share, resumen_canal, top_franja, cobertura, share_check)
+#: Rounding to two places on the scaled double, as ``functions.round2``.
+_ROUND2 = "round({} * 100D, 0) / 100D"
+
+#: Preset reports as SQL over the view ``gold``: what ``catalogue`` lists is what runs, to
+#: be copied and edited as free SQL.
+PRESETS: dict[str, str] = {
+    # rating and share of every channel in every band
+    "rating_share": "SELECT fecha, franja_horaria, canal, rating_pct, share_pct FROM gold ORDER BY 1, 2, 3",
+    # mean rating, mean share and added audience of each channel and day, best first
+    "resumen_canal": f"""SELECT fecha, canal, {_ROUND2.format("avg(rating_pct)")} AS rating_prom,
+       {_ROUND2.format("avg(share_pct)")} AS share_prom, sum(audiencia_canal) AS audiencia_acumulada_dia
+FROM gold GROUP BY fecha, canal ORDER BY fecha, rating_prom DESC, canal""",
+    # the leader of each band: every task hands on one candidate per band, the least of
+    # (negated rating, channel)
+    "top_franja": """SELECT fecha, franja_horaria, first_place.canal, first_place.rating_pct, first_place.share_pct
+FROM (SELECT fecha, franja_horaria,
+             min(named_struct('below', -rating_pct, 'canal', canal, 'rating_pct', rating_pct, 'share_pct', share_pct)) AS first_place
+      FROM gold GROUP BY fecha, franja_horaria)
+ORDER BY fecha, franja_horaria""",
+    # the bands nobody watched
+    "cobertura": """SELECT * FROM (SELECT fecha, franja_horaria, sum(audiencia_total_franja) AS audiencia_total
+               FROM gold GROUP BY fecha, franja_horaria)
+WHERE audiencia_total = 0 ORDER BY fecha, franja_horaria""",
+    # sum of the shares of each band (over 100 where households changed channel)
+    "share_check": f"""SELECT fecha, franja_horaria, {_ROUND2.format("sum(share_pct)")} AS suma_share_pct
+FROM gold GROUP BY fecha, franja_horaria ORDER BY fecha, franja_horaria""",
 }
 
 DEFAULT_PRESET = "rating_share"
@@ -67,13 +51,12 @@ def preset(gold: DataFrame, name: str = DEFAULT_PRESET) -> DataFrame:
     """Run one preset report over ``gold``."""
     if name not in PRESETS:
         raise KeyError(f"unknown preset {name!r}; known: {sorted(PRESETS)}")
-    return PRESETS[name](gold)
+    return query(gold.sparkSession, PRESETS[name].replace("FROM gold", "FROM {gold}"), gold=gold)
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
-    """The preset catalogue as a (name, description) DataFrame, sorted by name."""
-    rows = [(name, " ".join(PRESETS[name].__doc__.split())) for name in sorted(PRESETS)]
-    return spark.createDataFrame(rows, "name string, description string")
+    """The preset catalogue as a (name, sql) DataFrame, sorted by name."""
+    return spark.createDataFrame(sorted(PRESETS.items()), "name string, sql string")
 
 
 def register_gold(gold: DataFrame, view: str = GOLD_VIEW) -> None:

@@ -141,8 +141,30 @@ def accepted(judged: DataFrame, procesado_en: datetime | str | None = None) -> D
 
 
 def rejected(judged: DataFrame, value_col: str = "value") -> DataFrame:
-    """Quarantine: the raw text of every invalid record and its reason."""
-    return judged.filter(F.col(S.REASON).isNotNull()).select(value_col, S.REASON)
+    """Quarantine: the raw text of every invalid record, its reason and, for lines of a
+    landing scan, its position."""
+    position = [c for c in S.POSITION if c in judged.columns]
+    return judged.filter(F.col(S.REASON).isNotNull()).select(value_col, S.REASON, *position)
+
+
+def in_input_order(rejects: DataFrame) -> DataFrame:
+    """Rejects in the order of their lines, landing folder by landing folder."""
+    return rejects.orderBy(F.col(S.FECHA_LANDING), *S.POSITION)
+
+
+def outcomes(judged: DataFrame, procesado_en: datetime | str | None = None) -> DataFrame:
+    """Every line of a landing scan for one write of both outcomes (``resultado``): valid
+    rows with the bronze columns, under their own date; invalid ones with their text,
+    reason and position, under the landing date."""
+    ok = F.col(S.REASON).isNull()
+    return judged.select(
+        *[F.when(ok, F.col(c)).alias(c) for c in (S.TIMESTAMP, S.CANAL, S.HOGAR, S.UNIVERSO)],
+        *[F.when(~ok, F.col(c)).alias(c) for c in ("value", S.REASON, *S.POSITION)],
+        audit_time(procesado_en).alias(S.PROCESADO_EN),
+        F.when(ok, F.lit(S.ACEPTADO)).otherwise(F.lit(S.RECHAZADO)).alias(S.RESULTADO),
+        F.when(ok, F.col(S.FECHA)).otherwise(F.col(S.FECHA_LANDING)).alias(S.FECHA),
+        S.FECHA_LANDING,
+    )
 
 
 def ingest_summary(judged: DataFrame) -> DataFrame:

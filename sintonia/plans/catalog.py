@@ -10,17 +10,18 @@ Column names are aliased identically on both sides.
 from __future__ import annotations
 
 import dataclasses
+import functools
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
 from sintonia.operators import audit, metrics, reports, validate
-from sintonia.plans.runner import PipelineConfig, run_pipeline, run_summary
+from sintonia.plans.runner import PipelineConfig, layer_roots, run_bronze, run_pipeline, run_summary
 from sintonia.session import ensure_checkpoint_dir
 from sintonia.sources import landing, layers, panel, sinks
 from sintonia.sources.storage import date_folders, delete_path
@@ -214,15 +215,14 @@ RANGE = ("2024-01-10", "2024-01-12")
 
 
 def q_layer_counts(spark, sf_dir):
-    """Rows of each layer from one validated pass: bronze rows fold to silver keys that
-    carry their count, silver keys give gold's dates (24 bands for each channel)."""
-    folded = (
-        dirty_bronze(spark, sf_dir).groupBy(S.FECHA, S.CANAL, S.HOGAR, S.TIMESTAMP).agg(F.count(F.lit(1)).alias("bronze"))
-    )
-    days = folded.groupBy(S.FECHA).agg(F.sum("bronze").alias("bronze"), F.count(F.lit(1)).alias("silver"))
-    gold = F.lit(len(LISTED) * S.FRANJAS_POR_DIA) * F.count(F.lit(1))
-    totals = days.agg(F.sum("bronze").alias("bronze"), F.sum("silver").alias("silver"), gold.cast("long").alias("gold"))
-    return totals.unpivot([], ["bronze", "silver", "gold"], "layer", "n_rows")
+    """Rows of each layer that a run over dirty lines committed, from file footers."""
+    cfg = _config(spark, _dirty_landing(spark, sf_dir))
+    run_pipeline(spark, cfg)
+    one = [
+        layers.footer_counts(spark, root, schema, keys).agg(F.sum("n_rows").alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
+        for name, root, schema, keys in layer_roots(cfg)
+    ]
+    return _kept(functools.reduce(DataFrame.unionAll, one), *_roots(cfg))
 
 
 def _write_sparse_gold(spark: SparkSession, sf_dir: str, root: str, **kw) -> None:
@@ -321,11 +321,74 @@ def q_resume_from_silver(spark, sf_dir):
 def q_run_summary(spark, sf_dir):
     """Counts per date of a whole run over dirty landing lines.  A line dated late in
     the day with an offset lands on its own date and is published under the next."""
+    cfg = _config(spark, _dirty_landing(spark, sf_dir))
+    run_pipeline(spark, cfg)
+    return _kept(run_summary(spark, cfg), *_roots(cfg))
+
+
+def _dirty_landing(spark, sf_dir) -> str:
+    """Dirty lines in landing folders, files and lines in the order of the table."""
     raw = _scratch(spark, "raw")
-    landing.export_lines(panel.dirty_lines(_events(spark, sf_dir)), raw)
+    lines = panel.dirty_lines(_events(spark, sf_dir))
+    landing.export_lines(lines.repartitionByRange(S.FECHA, "orden").sortWithinPartitions(S.FECHA, "orden"), raw)
+    return raw
+
+
+def q_rejects_in_order(spark, sf_dir):
+    """Rejected lines of a bronze run, with the place of each among those of its folder."""
+    cfg = _config(spark, _dirty_landing(spark, sf_dir))
+    run_bronze(spark, cfg)
+    place = F.row_number().over(Window.partitionBy(S.FECHA_LANDING).orderBy(*S.POSITION))
+    lines = layers.read_rejects(spark, cfg.bronze_root, start=cfg.start, end=cfg.last)
+    return _kept(lines.select(S.FECHA_LANDING, place.alias("place"), "value", S.REASON), *_roots(cfg))
+
+
+def q_straggler_rebuild(spark, sf_dir):
+    """A third of the households arrive late: all their events, of every date, land in the
+    folder after the last date.  The run of that folder alone must bring the gold of
+    every date up to date."""
+    events = panel.clean_panel(_events(spark, sf_dir))
+    late = F.substring(S.HOGAR, -1, 1).isin("0", "3", "6", "9")
+    raw = _scratch(spark, "raw")
+    landing.export_landing(events.filter(~late).drop("event_id"), raw)
     cfg = _config(spark, raw)
     run_pipeline(spark, cfg)
-    return _kept(run_summary(spark, cfg), *_roots(cfg))
+    after = cfg.last + timedelta(days=1)
+    lines = validate.records_to_lines(events.filter(late).select(S.TIMESTAMP, S.CANAL, S.HOGAR, S.UNIVERSO))
+    landing.export_lines(lines.select(F.lit(after).alias(S.FECHA), "value"), raw)
+    run_pipeline(spark, dataclasses.replace(cfg, start=after, end=after))
+    return _kept(layers.read_gold(spark, cfg.gold_root).select(*_GOLD_OUT), *_roots(cfg))
+
+
+def q_absent_layer(spark, sf_dir):
+    """Silver rows per date beside those of a gold layer that was never written."""
+    gold = layers.read_gold(spark, _scratch(spark, "gold"), start=RANGE[0], end=RANGE[1])
+    n = lambda df, name: df.groupBy(S.FECHA).agg(F.count(F.lit(1)).alias(name))
+    both = n(dirty_silver(spark, sf_dir), "n_silver").join(n(gold, "n_gold"), S.FECHA, "left")
+    return both.select(S.FECHA, "n_silver", F.coalesce("n_gold", F.lit(0)).cast("long").alias("n_gold"))
+
+
+def q_memory_batch(spark, sf_dir):
+    """Typed records of a caller (nulls among them) through the same validator."""
+    records = panel.nullable_panel(_events(spark, sf_dir)).drop("event_id")
+    s = validate.ingest_summary(validate.judge(validate.records_to_lines(records)))
+    return s.select(F.coalesce(F.col(S.REASON), F.lit("accepted")).alias("outcome"), F.col("n"))
+
+
+def q_preset_catalogue(spark, sf_dir):
+    """Every preset of the catalogue with the rows its listed SQL gives."""
+    gold = sparse_gold(spark, sf_dir)
+    counts = [
+        reports.preset(gold, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
+        for name in sorted(reports.PRESETS)
+    ]
+    return reports.catalogue(spark).join(functools.reduce(DataFrame.unionAll, counts), "name")
+
+
+def q_report_order(spark, sf_dir):
+    """The daily summary with the place at which each row comes out."""
+    report = reports.preset(dirty_gold(spark, sf_dir), "resumen_canal").withColumn("at", F.monotonically_increasing_id())
+    return report.select(S.FECHA, S.CANAL, F.row_number().over(Window.orderBy("at")).alias("place"))
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -362,6 +425,12 @@ QUERIES: dict[str, QueryFn] = {
     "landing_roundtrip": q_landing_roundtrip,
     "resume_from_silver": q_resume_from_silver,
     "run_summary": q_run_summary,
+    "rejects_in_order": q_rejects_in_order,
+    "straggler_rebuild": q_straggler_rebuild,
+    "absent_layer": q_absent_layer,
+    "memory_batch": q_memory_batch,
+    "preset_catalogue": q_preset_catalogue,
+    "report_order": q_report_order,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -396,10 +465,190 @@ lines AS (
            t + CASE WHEN event_id % 41 = 0 THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END AS utc,
            CASE event_id % 79 WHEN 0 THEN '"0"' WHEN 1 THEN '"abc"' WHEN 2 THEN NULL WHEN 3 THEN '1.5'
                 WHEN 4 THEN 'true' WHEN 5 THEN '0.5' ELSE u::VARCHAR END AS uj,
-           CASE event_id % 79 WHEN 0 THEN 0 WHEN 3 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 1 THEN NULL ELSE u END AS u
+           CASE event_id % 79 WHEN 0 THEN 0 WHEN 3 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 1 THEN NULL ELSE u END AS u,
+           event_id * 2 AS orden
     FROM texts
     UNION ALL
-    SELECT t::DATE, FALSE, c, h, '"' || iso || '"', t, '"' || (u + 500)::VARCHAR || '"', u + 500 FROM texts WHERE event_id % 50 = 0
+    SELECT t::DATE, FALSE, c, h, '"' || iso || '"', t, '"' || (u + 500)::VARCHAR || '"', u + 500, event_id * 2 + 1
+    FROM texts WHERE event_id % 50 = 0
+),
+judged AS (
+    SELECT *, CASE
+        WHEN cut THEN 'line is not a JSON object'
+        WHEN tj IS NULL THEN 'missing required field: timestamp'
+        WHEN c IS NULL THEN 'missing required field: canal'
+        WHEN h = '' THEN 'missing required field: id_hogar_panelista'
+        WHEN uj IS NULL THEN 'missing required field: universo_total'
+        WHEN c = '   ' THEN 'canal must be a non-empty string'
+        WHEN h = ' ' || chr(9) THEN 'id_hogar_panelista must be a non-empty string'
+        WHEN u IS NULL THEN 'universo_total must be an integer'
+        WHEN u <= 0 THEN 'universo_total must be a positive integer'
+        WHEN tj[1] <> '"' THEN 'timestamp must be a datetime or ISO-8601 string'
+        WHEN tj = '"not-a-date"' THEN 'timestamp is not a parseable ISO-8601 datetime' END AS reason
+    FROM lines
+),
+bronze AS (SELECT utc AS t, c, h, u, landed FROM judged WHERE reason IS NULL)"""
+)
+
+_SPARSE = (
+    _PANEL
+    + """,
+bronze AS (
+    SELECT t + CASE WHEN hour(t) BETWEEN 2 AND 3 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END AS t, c, h, u FROM panel
+)"""
+)
+_CLEAN = _PANEL + ",\nbronze AS (SELECT t, c, h, u FROM panel)"
+_NULLABLE = (
+    _PANEL
+    + """,
+bronze AS (
+    SELECT t, CASE WHEN event_id % 53 <> 0 THEN c END AS c, h, CASE WHEN event_id % 59 <> 0 THEN u END AS u FROM panel
+)"""
+)
+
+_SILVER = """,
+silver AS (SELECT DISTINCT ON (h, c, t) h, c, t, u FROM bronze WHERE c IS NOT NULL AND u IS NOT NULL ORDER BY h, c, t, u DESC)"""
+_SILVER_ROWS = 'SELECT h AS id_hogar_panelista, c AS canal, t AS "timestamp", u AS universo_total, t::DATE AS fecha FROM silver'
+
+# Audience of a channel in a band, and of the whole band (``every``), from one grouping.
+_LEVELS = """,
+watched AS (SELECT t::DATE AS d, hour(t) AS hr, c, h, max(u) AS u FROM silver GROUP BY ALL),
+levels AS (
+    SELECT d, hr, c, grouping(c) = 1 AS every, count(DISTINCT h) AS homes, max(u) AS u
+    FROM watched GROUP BY GROUPING SETS ((d, hr, c), (d, hr))
+)"""
+
+
+def _gold(channels: list[str] | None, only: str | None = None, factor: int = 1) -> str:
+    """The report: every hour of every date for each name, with the audience of the
+    name and of the band beside it."""
+    if channels is None:
+        names = "SELECT DISTINCT d, c AS name FROM watched"
+    else:
+        names = f"SELECT DISTINCT d, unnest({_list(channels)}) AS name FROM watched"
+    chosen = f"WHERE name = '{only}'" if only else ""
+    return f"""{_LEVELS},
+frame AS (SELECT d, name, unnest(range(24)) AS hr FROM ({names}) {chosen}),
+met AS (
+    SELECT f.d, f.name, f.hr, coalesce(max(l.homes) FILTER (WHERE NOT l.every), 0) AS own,
+           coalesce(max(l.homes) FILTER (WHERE l.every), 0) AS everyone,
+           coalesce(max(l.u) FILTER (WHERE l.every), 0) * {factor} AS u
+    FROM frame f LEFT JOIN levels l ON l.d = f.d AND l.hr = f.hr AND (l.every OR l.c = f.name)
+    GROUP BY ALL
+),
+gold AS (
+    SELECT d AS fecha, name AS canal, hr AS franja_horaria, own AS audiencia_canal,
+           everyone AS audiencia_total_franja, u AS universo_total,
+           if(u > 0, own::DOUBLE * 100 / u, 0) AS rating_pct,
+           if(everyone > 0, own::DOUBLE * 100 / everyone, NULL) AS share_pct
+    FROM met
+)"""
+
+
+_GOLD_COLS = "fecha, canal, franja_horaria, audiencia_canal, audiencia_total_franja, universo_total, rating_pct, share_pct"
+
+
+def _with(*parts: str) -> str:
+    return "WITH " + "".join(parts).lstrip(",\n ") + "\n"
+
+
+_GOLD_DIRTY = _with(_DIRTY, _SILVER, _gold(LISTED))
+_GOLD_SPARSE = _with(_SPARSE, _SILVER, _gold(LISTED))
+_SLICES = ", ".join(f"sum(CAST('0x' || substr(m, {8 * i + 1}, 8) AS BIGINT))::VARCHAR" for i in range(4))
+
+_REJECTED = (
+    _with(_DIRTY)
+    + """, rejected AS (
+    SELECT landed, orden, if(cut, substr(v, 1, 20), v) AS value, reason
+    FROM (SELECT *, '{"canal":' || coalesce(to_json(c)::VARCHAR, 'null') || ',"id_hogar_panelista":' || to_json(h)
+                 || ',"timestamp":' || coalesce(tj, 'null') || ',"universo_total":' || coalesce(uj, 'null') || '}' AS v FROM judged)
+    WHERE reason IS NOT NULL
+)
+"""
+)
+_SQL_TEXTS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in sorted(reports.PRESETS.items()))
+
+ORACLE: dict[str, str] = {
+    "validate_reasons": _with(_DIRTY) + "SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n FROM judged GROUP BY 1",
+    "bronze_accepted": _with(_DIRTY)
+    + 'SELECT t AS "timestamp", c AS canal, h AS id_hogar_panelista, u AS universo_total, t::DATE AS fecha FROM bronze',
+    "bronze_rejected": _REJECTED + "SELECT value, reason FROM rejected",
+    "bronze_by_date": q_bronze_by_date,
+    "silver_dedup": q_silver_dedup,
+    "silver_conflict_keys": q_silver_conflict_keys,
+    "silver_channel_filter": q_silver_channel_filter,
+    "silver_summary": q_silver_summary,
+    "band_universe": q_band_universe,
+    "band_audience": q_band_audience,
+    "channel_audience": q_channel_audience,
+    "report_grid": q_report_grid,
+    "gold_rating_share": q_gold_rating_share,
+    "gold_dark_channel": q_gold_dark_channel,
+    "gold_unlisted_channel": q_gold_unlisted_channel,
+    "gold_channel_filter": q_gold_channel_filter,
+    "gold_default_channels": q_gold_default_channels,
+    "gold_summary": q_gold_summary,
+    "report_rating_share": q_report_rating_share,
+    "report_resumen_canal": q_report_resumen_canal,
+    "report_top_franja": q_report_top_franja,
+    "report_cobertura": q_report_cobertura,
+    "report_share_check": q_report_share_check,
+    "report_max_rating": q_report_max_rating,
+    "report_bound_parameter": q_report_bound_parameter,
+    "layer_counts": q_layer_counts,
+    "range_prune": q_range_prune,
+    "rewrite_replaces_partition": q_rewrite_replaces_partition,
+    "content_digest": q_content_digest,
+    "two_run_compare": q_two_run_compare,
+    "landing_roundtrip": q_landing_roundtrip,
+    "resume_from_silver": q_resume_from_silver,
+    "run_summary": q_run_summary,
+    "rejects_in_order": q_rejects_in_order,
+    "straggler_rebuild": q_straggler_rebuild,
+    "absent_layer": q_absent_layer,
+    "memory_batch": q_memory_batch,
+    "preset_catalogue": q_preset_catalogue,
+    "report_order": q_report_order,
+}
+
+# ---------------------------------------------------------------- DuckDB side
+#
+# Written from the definitions, over the raw table: households of a band first, both
+# levels from one grouping, the report's frame from dates, hours and names, one join.
+
+
+def _list(values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_PANEL = """
+panel AS (
+    SELECT event_id, date_trunc('minute', ts)::TIMESTAMP AS t, 'Canal_' || event_type AS c,
+           printf('hogar-%06d', user_id) AS h, (100000 + event_id % 7 * 1000)::BIGINT AS u
+    FROM events
+)"""
+
+# One row per landing line: its text parts as JSON, the values a valid line stands for.
+_DIRTY = (
+    _PANEL
+    + """,
+texts AS (SELECT *, strftime(t, '%Y-%m-%dT%H:%M:%S') AS iso FROM panel),
+lines AS (
+    SELECT t::DATE AS landed, event_id % 73 = 0 AS cut,
+           CASE event_id % 89 WHEN 0 THEN '   ' WHEN 1 THEN NULL ELSE c END AS c,
+           CASE event_id % 83 WHEN 0 THEN '' WHEN 1 THEN ' ' || chr(9) ELSE h END AS h,
+           CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 97 = 1 THEN '"not-a-date"'
+                WHEN event_id % 97 = 2 THEN '20240101' WHEN event_id % 41 = 0 THEN '"' || iso || '-05:00"'
+                ELSE '"' || iso || '"' END AS tj,
+           t + CASE WHEN event_id % 41 = 0 THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END AS utc,
+           CASE event_id % 79 WHEN 0 THEN '"0"' WHEN 1 THEN '"abc"' WHEN 2 THEN NULL WHEN 3 THEN '1.5'
+                WHEN 4 THEN 'true' WHEN 5 THEN '0.5' ELSE u::VARCHAR END AS uj,
+           CASE event_id % 79 WHEN 0 THEN 0 WHEN 3 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 1 THEN NULL ELSE u END AS u,
+           event_id * 2 AS orden
+    FROM texts
+    UNION ALL
+    SELECT t::DATE, FALSE, c, h, '"' || iso || '"', t, '"' || (u + 500)::VARCHAR || '"', u + 500, event_id * 2 + 1
+    FROM texts WHERE event_id % 50 = 0
 ),
 judged AS (
     SELECT *, CASE
@@ -568,6 +817,29 @@ FROM silver GROUP BY t::DATE, c""",
     "landing_roundtrip": _with(_PANEL)
     + 'SELECT t AS "timestamp", c AS canal, h AS id_hogar_panelista, u AS universo_total, t::DATE AS fecha FROM panel',
     "resume_from_silver": _with(_CLEAN, _SILVER, _gold(LISTED)) + f"SELECT {_GOLD_COLS} FROM gold",
+    "rejects_in_order": _REJECTED
+    + """
+SELECT landed AS fecha_landing, row_number() OVER (PARTITION BY landed ORDER BY orden)::INT AS place, value, reason FROM rejected""",
+    "straggler_rebuild": _with(_CLEAN, _SILVER, _gold(LISTED)) + f"SELECT {_GOLD_COLS} FROM gold",
+    "absent_layer": _with(_DIRTY, _SILVER) + "SELECT t::DATE AS fecha, count(*) AS n_silver, 0::BIGINT AS n_gold FROM silver GROUP BY 1",
+    "memory_batch": _with(_NULLABLE)
+    + """
+SELECT CASE WHEN c IS NULL THEN 'missing required field: canal' WHEN u IS NULL THEN 'missing required field: universo_total'
+       ELSE 'accepted' END AS outcome, count(*) AS n
+FROM bronze GROUP BY 1""",
+    "preset_catalogue": _GOLD_SPARSE
+    + f"""
+SELECT name, sql, CASE name
+         WHEN 'rating_share' THEN (SELECT count(*) FROM gold)
+         WHEN 'resumen_canal' THEN (SELECT count(*) FROM (SELECT DISTINCT fecha, canal FROM gold))
+         WHEN 'cobertura' THEN (SELECT count(*) FROM (SELECT DISTINCT d, hr FROM frame ANTI JOIN watched USING (d, hr)))
+         ELSE (SELECT count(*) FROM (SELECT DISTINCT fecha, franja_horaria FROM gold)) END AS n_rows
+FROM (VALUES {_SQL_TEXTS}) texts(name, sql)""",
+    "report_order": _GOLD_DIRTY
+    + """
+SELECT d AS fecha, name AS canal,
+       row_number() OVER (ORDER BY d, round(sum(if(u > 0, own * 100.0::DOUBLE / u, 0)) / 24, 2) DESC, name)::INT AS place
+FROM met GROUP BY d, name""",
     "run_summary": _with(_DIRTY, _SILVER)
     + f"""
 , days AS (SELECT DISTINCT landed AS fecha FROM lines)

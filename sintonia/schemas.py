@@ -21,6 +21,15 @@ FRANJA = "franja_horaria"
 PROCESADO_EN = "procesado_en"
 REASON = "reason"
 
+# Where a landing line stands: its file, the block of the file a task read, and the
+# line's place within that task's input, blank lines counted.  Sorting by these three
+# gives the order of input.
+ARCHIVO, BLOQUE, LINEA = POSITION = ("archivo", "bloque", "linea")
+
+# Bronze keeps both outcomes of validation, committed by one write.
+RESULTADO = "resultado"
+ACEPTADO, RECHAZADO = "aceptado", "rechazado"
+
 AUDIT_COLUMNS = (PROCESADO_EN,)
 NATURAL_KEY = (HOGAR, CANAL, TIMESTAMP)
 FRANJAS_POR_DIA = 24
@@ -65,6 +74,32 @@ GOLD = T.StructType(
     ]
 )
 
+OUTCOMES = T.StructType([*BRONZE.fields, T.StructField(RESULTADO, T.StringType())])
+
+REJECTS = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField(REASON, T.StringType()),
+        T.StructField(ARCHIVO, T.StringType()),
+        T.StructField(BLOQUE, T.LongType()),
+        T.StructField(LINEA, T.LongType()),
+        T.StructField(PROCESADO_EN, T.TimestampNTZType()),
+        T.StructField(FECHA, T.DateType()),
+        T.StructField(FECHA_LANDING, T.DateType()),
+    ]
+)
+
+# What each landing folder brought: rows per outcome and date (0: brought by an earlier
+# run of the folder, not by the last).
+MANIFEST = T.StructType(
+    [
+        T.StructField(RESULTADO, T.StringType()),
+        T.StructField(FECHA, T.DateType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField(FECHA_LANDING, T.DateType()),
+    ]
+)
+
 # Column order of each layer as stored (partition columns are also data columns).
 BRONZE_COLUMNS = [TIMESTAMP, CANAL, HOGAR, UNIVERSO, PROCESADO_EN, FECHA, FECHA_LANDING]
 SILVER_COLUMNS = [HOGAR, CANAL, TIMESTAMP, UNIVERSO, PROCESADO_EN, FECHA]
@@ -72,6 +107,7 @@ GOLD_COLUMNS = [f.name for f in GOLD.fields]
 
 # A landing folder replaces only the rows it brought, also those of other dates.
 BRONZE_PARTITIONS = (FECHA, FECHA_LANDING)
+OUTCOME_PARTITIONS = (RESULTADO, FECHA, FECHA_LANDING)
 SILVER_PARTITIONS = (FECHA, CANAL)
 GOLD_PARTITIONS = (FECHA, CANAL)
 

@@ -23,6 +23,8 @@ REQUIRED_CONF = {
     # A JSON object with a repeated key keeps the last value (as a JSON parser in
     # Python does) instead of failing to parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Counts by partition come from file footers (``sources.layers.footer_counts``).
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

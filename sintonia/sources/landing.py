@@ -19,6 +19,7 @@ from sintonia.sources.storage import date_folders, path_exists
 
 LANDING_DATE = S.FECHA_LANDING
 _LANDING_SCHEMA = T.StructType([T.StructField("value", T.StringType()), T.StructField(S.FECHA, T.DateType())])
+_SCANNED = f"value string, {S.ARCHIVO} string, {S.BLOQUE} long, {S.LINEA} long, {LANDING_DATE} date"
 
 
 def landing_scan(
@@ -30,17 +31,24 @@ def landing_scan(
     fail_if_missing: bool = False,
 ) -> DataFrame:
     """Non-blank lines of the landing folders in [start, end] (``end`` defaults to
-    ``start``) as ``value`` plus the folder's date as ``fecha_landing``.  Only the
-    folders in range are given to the reader, so no other is listed; a missing root
+    ``start``) as ``value``, their position (``schemas.POSITION``) and the folder's date
+    as ``fecha_landing``.  Only the folders in range are given to the reader, so no other is listed; a missing root
     (or range) is an empty input unless ``fail_if_missing``.  No shuffle follows the
     scan: its splits decide the parallelism."""
     folders = [path for _, path in date_folders(spark, root, start, end)]
     if not folders:
         if fail_if_missing and not path_exists(spark, root):
             raise FileNotFoundError(root)
-        return spark.createDataFrame([], f"value string, {LANDING_DATE} date")
+        return spark.createDataFrame([], _SCANNED)
     lines = spark.read.schema(_LANDING_SCHEMA).option("basePath", root).text(folders)
-    return lines.filter(~is_blank("value")).select("value", F.col(S.FECHA).alias(LANDING_DATE))
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias(S.ARCHIVO),
+        F.col("_metadata.file_block_start").alias(S.BLOQUE),
+        # the lower 33 bits count the rows of a task
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(S.LINEA),
+        F.col(S.FECHA).alias(LANDING_DATE),
+    ).filter(~is_blank("value"))
 
 
 def iso_text(ts: str | Column) -> Column:

@@ -82,7 +82,7 @@ _ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 def dirty_lines(events: DataFrame) -> DataFrame:
     """Landing-shaped JSON lines (``value``) with their landing date (``fecha``, the
-    event's own) and every class of invalid record mixed in.
+    event's own), their order (``orden``) and every class of invalid record mixed in.
 
     By ``event_id``: ``% 97`` = 0 / 1 / 2: timestamp null / ``"not-a-date"`` / a number;
     ``% 41`` = 0: timestamp with offset -05:00; ``% 89`` = 0 / 1: channel of blanks /
@@ -115,6 +115,7 @@ def dirty_lines(events: DataFrame) -> DataFrame:
         .otherwise(clean_universe)
         .alias(S.UNIVERSO),
         (eid % 73 == 0).alias("cut"),
+        (eid * 2).alias("orden"),
     )
     copy = F.struct(
         F.col(S.CANAL).alias(S.CANAL),
@@ -122,6 +123,7 @@ def dirty_lines(events: DataFrame) -> DataFrame:
         stamp.alias(S.TIMESTAMP),
         quoted((F.col(S.UNIVERSO) + 500).cast("string")).alias(S.UNIVERSO),
         F.lit(False).alias("cut"),
+        (eid * 2 + 1).alias("orden"),
     )
     # one pass over the events: each yields its (possibly dirty) record, plus the
     # conflicting copy when chosen
@@ -132,4 +134,4 @@ def dirty_lines(events: DataFrame) -> DataFrame:
         F.rtrim(texts, F.lit("}")),
         F.lit(f',"{S.TIMESTAMP}":'), F.col(S.TIMESTAMP), F.lit(f',"{S.UNIVERSO}":'), F.col(S.UNIVERSO), F.lit("}"),
     )
-    return rows.select(F.when(F.col("cut"), F.substring(line, 1, 20)).otherwise(line).alias("value"), S.FECHA)
+    return rows.select(F.when(F.col("cut"), F.substring(line, 1, 20)).otherwise(line).alias("value"), S.FECHA, "orden")

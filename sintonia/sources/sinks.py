@@ -21,13 +21,19 @@ def _replace_partitions(df: DataFrame, root: str, partitions: tuple[str, ...]) -
     )
 
 
+def write_outcomes(outcomes: DataFrame, root: str) -> None:
+    """Both outcomes of validation (``validate.outcomes``) by one write, committed
+    together.  No shuffle: each task writes the dates of its scan split, so there are
+    about as many files as splits."""
+    _replace_partitions(outcomes, root, S.OUTCOME_PARTITIONS)
+
+
 def write_bronze(bronze: DataFrame, root: str) -> None:
-    """No shuffle: each task writes the dates of its scan split, in scan order, so
-    there are about as many files as splits.  Rows without a landing date count as
-    landed on their own date."""
+    """Valid rows alone, as ``write_outcomes`` lays them out.  Rows without a landing
+    date count as landed on their own date."""
     if S.FECHA_LANDING not in bronze.columns:
         bronze = bronze.withColumn(S.FECHA_LANDING, F.col(S.FECHA))
-    _replace_partitions(bronze.select(*S.BRONZE_COLUMNS), root, S.BRONZE_PARTITIONS)
+    _replace_partitions(bronze.select(*S.BRONZE_COLUMNS), f"{root.rstrip('/')}/{S.RESULTADO}={S.ACEPTADO}", S.BRONZE_PARTITIONS)
 
 
 def write_silver(silver: DataFrame, root: str) -> None:
@@ -46,6 +52,8 @@ def write_gold(gold: DataFrame, root: str) -> None:
     _replace_partitions(gold.select(*S.GOLD_COLUMNS).repartition(n, S.FECHA, S.CANAL), root, S.GOLD_PARTITIONS)
 
 
-def write_quarantine(rejected: DataFrame, root: str) -> None:
-    """Rejected raw lines with their reason, by landing date."""
-    _replace_partitions(rejected, root, ("fecha_landing",))
+def write_manifest(manifest: DataFrame, root: str) -> None:
+    """What the landing folders of a run brought, replacing what they brought before;
+    one small file each."""
+    one = manifest.repartition(S.FECHA_LANDING).select(*[f.name for f in S.MANIFEST.fields])
+    _replace_partitions(one, root, (S.FECHA_LANDING,))

@@ -11,10 +11,6 @@ from pyspark.sql import SparkSession
 
 from sintonia import schemas as S
 
-_DATE_FOLDER = re.compile(rf"{S.FECHA}=(\d{{4}}-\d{{2}}-\d{{2}})$")
-_LANDING_FOLDER = re.compile(rf"{S.FECHA_LANDING}=(\d{{4}}-\d{{2}}-\d{{2}})$")
-
-
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -32,7 +28,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def date_folders(
-    spark: SparkSession, root: str, start: date | str | None = None, end: date | str | None = None
+    spark: SparkSession, root: str, start: date | str | None = None, end: date | str | None = None, column: str = S.FECHA
 ) -> list[tuple[date, str]]:
     """(date, path) of the ``fecha=`` folders right under ``root``, in date order,
     those in [start, end] only (``end`` defaults to ``start``; no start: all).  Lists
@@ -43,16 +39,7 @@ def date_folders(
     low, high = (str(d) if d is not None else None for d in (start, end if end is not None else start))
     found = []
     for status in fs.listStatus(hpath):
-        m = _DATE_FOLDER.search(status.getPath().getName())
+        m = re.fullmatch(rf"{column}=(\d{{4}}-\d{{2}}-\d{{2}})", status.getPath().getName())
         if m and (low is None or low <= m[1] <= high):
             found.append((date.fromisoformat(m[1]), status.getPath().toString()))
     return sorted(found)
-
-
-def landed_folders(spark: SparkSession, root: str, start: date | str, end: date | str) -> list[str]:
-    """Paths of the bronze folders that landing dates in [start, end] brought, under any
-    ``fecha=`` folder.  One shallow listing per date folder; no file is listed."""
-    hpath, fs = _filesystem(spark, f"{root.rstrip('/')}/{S.FECHA}=*/{S.FECHA_LANDING}=*")
-    found = [status.getPath() for status in fs.globStatus(hpath) or []]
-    names = [(p.toString(), _LANDING_FOLDER.search(p.getName())) for p in found]
-    return sorted(path for path, m in names if m and str(start) <= m[1] <= str(end))

@@ -22,6 +22,9 @@ WRITING = {
     "resume_from_silver",
     "run_summary",
     "report_bound_parameter",
+    "layer_counts",
+    "rejects_in_order",
+    "straggler_rebuild",
 }
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF")
 

@@ -59,8 +59,8 @@ def test_free_sql_with_parameters(spark, gold):
 
 
 def test_catalogue_and_unknown_preset(spark, gold):
-    names = [r.name for r in reports.catalogue(spark).collect()]
-    assert names == sorted(reports.PRESETS)
+    listed = reports.catalogue(spark).collect()
+    assert [r.name for r in listed] == sorted(reports.PRESETS)
     with pytest.raises(KeyError):
         reports.preset(gold, "nope")
 

@@ -9,7 +9,16 @@ import pytest
 
 from sintonia import schemas as S
 from sintonia.operators import audit, metrics, validate
-from sintonia.plans.runner import PipelineConfig, layer_summary, out_of_range, run_pipeline, run_summary
+from sintonia.plans.runner import (
+    PipelineConfig,
+    affected_dates,
+    layer_summary,
+    out_of_range,
+    rejects,
+    run_bronze,
+    run_pipeline,
+    run_summary,
+)
 from sintonia.sources import landing, layers, sinks
 from tests.helpers import silver_df, two_channel_silver
 
@@ -130,7 +139,7 @@ def _cfg(tmp_path, **kw):
 def _layer_state(spark, cfg):
     out = {}
     for name, root, schema, parts in (
-        ("bronze", cfg.bronze_root, S.BRONZE, S.BRONZE_PARTITIONS),
+        ("bronze", layers.outcome_root(cfg.bronze_root, S.ACEPTADO), S.BRONZE, S.BRONZE_PARTITIONS),
         ("silver", cfg.silver_root, S.SILVER, S.SILVER_PARTITIONS),
         ("gold", cfg.gold_root, S.GOLD, S.GOLD_PARTITIONS),
     ):
@@ -183,13 +192,17 @@ def test_stragglers_are_published_and_survive_reruns(spark, tmp_path):
     day1, day2 = _cfg(tmp_path), _cfg(tmp_path, start=date(2026, 8, 2))
     r = run_pipeline(spark, day1)
     assert r.bronze["accepted"] == 4 and r.bronze["out_of_range"] == 0
-    assert not (tmp_path / "bronze" / "fecha=2026-08-02").exists()
+    assert not (tmp_path / "bronze" / "resultado=aceptado" / "fecha=2026-08-02").exists()
     # a straggler inside the landing folder of 08-01 but dated 08-02
     straggler = tmp_path / "raw" / "fecha=2026-08-01" / "late.txt"
     straggler.write_text(json.dumps({"canal": "C1", "id_hogar_panelista": "h8", "timestamp": "2026-08-02T00:10:00", "universo_total": 1}) + "\n\n")
     r = run_pipeline(spark, day1)
     assert r.bronze["accepted"] == 5 and r.bronze["out_of_range"] == 1
     assert [x.id_hogar_panelista for x in out_of_range(spark, day1).collect()] == ["h8"]
+    # its own date is rebuilt by the same run
+    assert affected_dates(spark, day1) == [date(2026, 8, 2)]
+    late = layers.read_gold(spark, day1.gold_root, start="2026-08-02", canal="C1").filter("franja_horaria = 0").collect()
+    assert [(x.audiencia_canal, x.universo_total) for x in late] == [(1, 1)]
     # day 2, run alone and again, keeps it: its own folder replaces its own rows only
     for _ in range(2):
         assert run_pipeline(spark, day2).bronze["accepted"] == 1
@@ -241,17 +254,90 @@ def test_households_of_seven_digits_stay_apart(spark):
     assert [r.audiencia_canal for r in metrics.channel_audience(metrics.band_counts(silver)).collect()] == [2]
 
 
-def test_pipeline_reports_rejects_and_quarantine(spark, tmp_path):
-    raw = tmp_path / "raw" / "fecha=2026-08-01"
-    raw.mkdir(parents=True)
-    good = {"canal": "C1", "id_hogar_panelista": "h1", "timestamp": "2026-08-01T10:00:00", "universo_total": 5}
-    (raw / "events.jsonl").write_text("\n".join([json.dumps(good), json.dumps({**good, "canal": ""}), "{broken", ""]) + "\n")
-    cfg = _cfg(tmp_path, quarantine_root=str(tmp_path / "quarantine"))
+GOOD = {"canal": "C1", "id_hogar_panelista": "h1", "timestamp": "2026-08-01T10:00:00", "universo_total": 5}
+
+
+def _land(tmp_path, day, name, lines):
+    folder = tmp_path / "raw" / f"fecha={day}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("".join((x if isinstance(x, str) else json.dumps(x)) + "\n" for x in lines))
+
+
+def test_rejects_are_committed_with_the_accepted_rows_and_keep_their_order(spark, tmp_path):
+    _land(tmp_path, "2026-08-01", "a.jsonl", [GOOD, {**GOOD, "canal": ""}, "", "{broken", GOOD])
+    _land(tmp_path, "2026-08-01", "b.jsonl", ["  ", {**GOOD, "universo_total": "x"}, {**GOOD, "canal": ""}])
+    cfg = _cfg(tmp_path)
+    r = run_pipeline(spark, cfg)
+    assert r.bronze["accepted"] == 2 and r.bronze["rejected"] == 4 and r.bronze["out_of_range"] == 0
+    canal, broken, universe = "missing required field: canal", S.REASON_NOT_JSON_OBJECT, S.REASON_UNIVERSO_INT
+    assert r.bronze["rejected_reasons"] == {broken: 1, canal: 2, universe: 1}
+    got = rejects(spark, cfg).collect()
+    assert [x.reason for x in got] == [canal, broken, universe, canal]
+    assert [x.archivo.rsplit("/")[-1] for x in got] == ["a.jsonl"] * 2 + ["b.jsonl"] * 2 and got[1].value == "{broken"
+
+
+def test_line_order_survives_blocks_and_tasks(spark, tmp_path):
+    for f in ("p", "q"):
+        _land(tmp_path, "2026-08-01", f"{f}.jsonl", [f"bad {f} {k:04d} " + "x" * (k % 37) for k in range(3000)])
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        cfg = _cfg(tmp_path)
+        run_bronze(spark, cfg)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    got = rejects(spark, cfg).collect()
+    assert [x.value.split()[1:3] for x in got] == [[f, f"{k:04d}"] for f in ("p", "q") for k in range(3000)]
+    assert len({(x.archivo, x.bloque) for x in got}) > 4
+
+
+def test_bronze_reads_the_landing_once(spark, tmp_path):
+    _land(tmp_path, "2026-08-01", "a.jsonl", [GOOD, "{broken"])
+    out = validate.outcomes(validate.judge(landing.landing_scan(spark, str(tmp_path / "raw"), "2026-08-01")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+
+
+def test_a_rerun_drops_what_its_folder_no_longer_brings(spark, tmp_path):
+    late = {**GOOD, "timestamp": "2026-07-20T10:00:00", "id_hogar_panelista": "late"}
+    _land(tmp_path, "2026-08-01", "a.jsonl", [GOOD, late, "{broken"])
+    _land(tmp_path, "2026-07-20", "a.jsonl", [{**late, "id_hogar_panelista": "early"}])
+    cfg = _cfg(tmp_path)
+    run_pipeline(spark, _cfg(tmp_path, start=date(2026, 7, 20)))
+    run_pipeline(spark, cfg)
+    july = lambda: layers.read_gold(spark, cfg.gold_root, start="2026-07-20", canal="C1").filter("franja_horaria = 10").collect()[0]
+    assert july().audiencia_canal == 2
+    _land(tmp_path, "2026-08-01", "a.jsonl", [GOOD])
     r = run_pipeline(spark, cfg)
-    assert r.bronze["accepted"] == 1 and r.bronze["rejected"] == 2
-    assert r.bronze["rejected_reasons"] == {S.REASON_NOT_JSON_OBJECT: 1, "missing required field: canal": 1}
-    q = spark.read.parquet(str(tmp_path / "quarantine")).collect()
-    assert sorted(x.reason for x in q) == sorted(r.bronze["rejected_reasons"])
+    assert r.bronze == {"accepted": 1, "rejected": 0, "out_of_range": 0, "rejected_reasons": {}}
+    assert july().audiencia_canal == 1 and out_of_range(spark, cfg).count() == 0
+    assert [x.id_hogar_panelista for x in layers.read_bronze(spark, cfg.bronze_root, start="2026-07-20").collect()] == ["early"]
+
+
+def test_stragglers_can_be_left_to_their_own_run(spark, tmp_path):
+    _land(tmp_path, "2026-08-01", "a.jsonl", [GOOD, {**GOOD, "timestamp": "2026-08-03T01:00:00"}])
+    cfg = _cfg(tmp_path, rebuild_stragglers=False)
+    assert run_pipeline(spark, cfg).bronze["out_of_range"] == 1
+    assert layers.read_gold(spark, cfg.gold_root, start="2026-08-03").count() == 0
+    assert run_pipeline(spark, _cfg(tmp_path, start=date(2026, 8, 3))).silver["output_rows"] == 1
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    s = silver_df(spark, [("h1", f"C{d % 3}", datetime(2026, 8, d, 10), 10) for d in range(1, 10)])
+    sinks.write_gold(metrics.gold_metrics(s), root)
+    counts = layers.footer_counts(spark, root, S.GOLD, S.GOLD_PARTITIONS, not_null=["share_pct", "rating_pct"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(share_pct), COUNT(rating_pct)]" in plan
+    assert {(r.n_rows, r.n_share_pct, r.n_rating_pct) for r in counts.collect()} == {(24, 1, 24)}
+    inv = audit.inventory(spark, root, S.GOLD)
+    plan = inv._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<length:bigint>" in plan
+    sizes = {p: sum(f.stat().st_size for f in p.glob("*.parquet")) for p in (tmp_path / "gold").glob("*/*") if p.is_dir()}
+    assert sorted(r.n_bytes for r in inv.collect()) == sorted(sizes.values()) and {(r.n_files, r.n_rows) for r in inv.collect()} == {(1, 24)}
+    # the choice of reader is not left behind
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert audit.inventory(spark, str(tmp_path / "none"), S.GOLD).collect() == []
 
 
 def test_channel_names_with_path_characters_round_trip(spark, tmp_path):

@@ -27,32 +27,23 @@ def _with(**kw):
     return r
 
 
-def test_three_valid_events_are_accepted(spark, lines):
-    records = [
-        GOOD,
-        _with(canal="Canal2", id_hogar_panelista="hogar-0002"),
-        _with(timestamp="2026-08-01T10:01:00"),
-    ]
-    j = validate.judge(lines(records))
-    acc = validate.accepted(j, "2026-08-06 12:00:00")
-    assert acc.count() == 3
-    rows = sorted((r.canal, r.id_hogar_panelista, r.universo_total) for r in acc.collect())
-    assert rows == [("Canal1", "hogar-0001", 100000), ("Canal1", "hogar-0001", 100000), ("Canal2", "hogar-0002", 100000)]
-    assert validate.rejected(j).count() == 0
-
-
-def test_invalid_rows_are_rejected_without_stopping_the_batch(spark, lines):
-    records = [GOOD, _with(canal=""), _with(timestamp=None)]
-    j = validate.judge(lines(records))
-    assert validate.accepted(j).count() == 1
-    rej = validate.rejected(j).collect()
-    assert sorted(r[S.REASON] for r in rej) == ["missing required field: canal", "missing required field: timestamp"]
-
-
-def test_events_take_their_own_date(spark, lines):
-    records = [_with(timestamp="2026-08-01T23:59:00"), _with(timestamp="2026-08-02T00:01:00")]
-    acc = validate.accepted(validate.judge(lines(records)))
-    assert sorted(str(r.fecha) for r in acc.collect()) == ["2026-08-01", "2026-08-02"]
+def test_one_bad_field_each_leaves_the_rest_of_the_batch(spark, lines):
+    spoiled = [_with(**{f: None}) for f in S.RAW_FIELDS] + [_with(universo_total=-3), _with(canal="\u2003")]
+    j = validate.judge(lines([r for bad in spoiled for r in (bad, _with(id_hogar_panelista=f"beside {id(bad)}"))]))
+    assert validate.accepted(j).count() == validate.rejected(j).count() == len(spoiled)
+
+
+def test_every_row_goes_to_exactly_one_outcome(spark, lines):
+    records = [_with(timestamp=f"2027-03-{d:02d}T{h:02d}:59:30", canal="x" * (d % 3)) for d in (1, 15, 31) for h in (0, 23)] + ["[]", "nope"]
+    j = validate.judge(lines(records)).selectExpr("*", "date'2027-04-01' AS fecha_landing", "'f' AS archivo", "0L AS bloque", "1L AS linea")
+    out = validate.outcomes(j).collect()
+    assert len(out) == len(records)
+    for r in out:
+        ok = r.resultado == S.ACEPTADO
+        assert ok == (r.reason is None) == (r.value is None) == (r.timestamp is not None)
+        # valid rows under their own date, rejects under that of their folder
+        assert str(r.fecha) == (str(r.timestamp)[:10] if ok else "2027-04-01")
+    assert sum(r.resultado == S.ACEPTADO for r in out) == 4  # the 15th has an empty channel
 
 
 def test_empty_batch(spark, lines):
