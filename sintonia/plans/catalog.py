@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
-from sintonia.operators import audit, metrics, reports, validate
+from sintonia.operators import audit, bitmaps, metrics, reports, validate
 from sintonia.plans.runner import PipelineConfig, layer_roots, run_bronze, run_pipeline, run_summary
 from sintonia.session import ensure_checkpoint_dir
 from sintonia.sources import landing, layers, panel, sinks
@@ -385,6 +385,30 @@ def q_preset_catalogue(spark, sf_dir):
     return reports.catalogue(spark).join(functools.reduce(DataFrame.unionAll, counts), "name")
 
 
+def _bitmap_gold(spark: SparkSession, root: str) -> DataFrame:
+    return metrics.gold_from_counts(bitmaps.counts(bitmaps.read_bitmaps(spark, root)), canales=LISTED)
+
+
+def q_bitmap_audience(spark, sf_dir):
+    """Gold of all channels from stored household bitmaps."""
+    root = _scratch(spark, "bitmaps")
+    bitmaps.refresh(spark, dirty_silver(spark, sf_dir), root)
+    return _kept(_bitmap_gold(spark, root).select(*_GOLD_OUT), root)
+
+
+def q_bitmap_channel_rerun(spark, sf_dir):
+    """One channel's silver is replaced: it also gets another channel's events, with twice
+    the universe.  Only its partitions are read again; the gold of all channels follows
+    from the merged bitmaps."""
+    silver_root, root = _scratch(spark, "silver"), _scratch(spark, "bitmaps")
+    sinks.write_silver(silver_ops.clean(dirty_bronze(spark, sf_dir), cluster_for_write=True), silver_root)
+    bitmaps.refresh(spark, layers.read_silver(spark, silver_root), root)
+    more = layers.read_silver(spark, silver_root).filter(F.col(S.CANAL).isin(FILTERED, UNLISTED)).withColumn(S.CANAL, F.lit(FILTERED))
+    sinks.write_silver(silver_ops.clean(_doubled(more), cluster_for_write=True), silver_root)
+    bitmaps.refresh(spark, layers.read_silver(spark, silver_root, canal=FILTERED), root)
+    return _kept(_bitmap_gold(spark, root).select(*_GOLD_OUT), silver_root, root)
+
+
 def q_report_order(spark, sf_dir):
     """The daily summary with the place at which each row comes out."""
     report = reports.preset(dirty_gold(spark, sf_dir), "resumen_canal").withColumn("at", F.monotonically_increasing_id())
@@ -431,6 +455,8 @@ QUERIES: dict[str, QueryFn] = {
     "memory_batch": q_memory_batch,
     "preset_catalogue": q_preset_catalogue,
     "report_order": q_report_order,
+    "bitmap_audience": q_bitmap_audience,
+    "bitmap_channel_rerun": q_bitmap_channel_rerun,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -609,6 +635,8 @@ ORACLE: dict[str, str] = {
     "memory_batch": q_memory_batch,
     "preset_catalogue": q_preset_catalogue,
     "report_order": q_report_order,
+    "bitmap_audience": q_bitmap_audience,
+    "bitmap_channel_rerun": q_bitmap_channel_rerun,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -840,6 +868,14 @@ FROM (VALUES {_SQL_TEXTS}) texts(name, sql)""",
 SELECT d AS fecha, name AS canal,
        row_number() OVER (ORDER BY d, round(sum(if(u > 0, own * 100.0::DOUBLE / u, 0)) / 24, 2) DESC, name)::INT AS place
 FROM met GROUP BY d, name""",
+    "bitmap_audience": _GOLD_DIRTY + f"SELECT {_GOLD_COLS} FROM gold",
+    "bitmap_channel_rerun": _with(_DIRTY, _SILVER.replace("silver AS", "first AS"))
+    + f""", silver AS (
+    SELECT * FROM first WHERE c <> '{FILTERED}'
+    UNION ALL SELECT DISTINCT ON (h, t) h, '{FILTERED}', t, 2 * u FROM first WHERE c IN ('{FILTERED}', '{UNLISTED}') ORDER BY h, t, u DESC
+)"""
+    + _gold(LISTED)
+    + f"\nSELECT {_GOLD_COLS} FROM gold",
     "run_summary": _with(_DIRTY, _SILVER)
     + f"""
 , days AS (SELECT DISTINCT landed AS fecha FROM lines)

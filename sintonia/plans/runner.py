@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.operators import clean as silver_ops
-from sintonia.operators import audit, metrics, validate
+from sintonia.operators import audit, bitmaps, metrics, validate
 from sintonia.sources import landing, layers, sinks
 from sintonia.sources.storage import date_folders, delete_path
 from sintonia.functions.columns import unique
@@ -46,6 +46,9 @@ class PipelineConfig:
     canales: list[str] | None = None
     canal: str | None = None
     start_stage: str = "bronze"
+    #: Keep household bitmaps here, and make gold from them: a run for one channel then
+    #: reads that channel's silver only, not the other channels' for the denominators.
+    bitmap_root: str | None = None
     #: Also rebuild dates outside the range that its landing folders brought rows of.
     rebuild_stragglers: bool = True
     #: Fail when the layer (or landing) that the first stage reads does not exist.
@@ -179,13 +182,23 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
+    days = _dates(spark, cfg)
     # Denominators need every channel of the date: the channel choice narrows the
-    # report rows only, never this read.
+    # report rows only, never this read, unless bitmaps hold the other channels.
     silver = layers.read_silver(
-        spark, cfg.silver_root, **_dates(spark, cfg), fail_if_missing=cfg.fail_if_missing and cfg.start_stage == "gold"
+        spark,
+        cfg.silver_root,
+        **days,
+        canal=cfg.canal if cfg.bitmap_root else None,
+        fail_if_missing=cfg.fail_if_missing and cfg.start_stage == "gold",
     )
-    gold = metrics.gold_metrics(
-        silver,
+    if cfg.bitmap_root:
+        bitmaps.refresh(spark, silver, cfg.bitmap_root)
+        counts = bitmaps.counts(bitmaps.read_bitmaps(spark, cfg.bitmap_root, **days))
+    else:
+        counts = metrics.band_counts(silver)
+    gold = metrics.gold_from_counts(
+        counts,
         canales=unique(cfg.canales) if cfg.canales is not None else None,
         canal_filter=cfg.canal,
         procesado_en=cfg.procesado_en,

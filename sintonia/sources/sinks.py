@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sintonia import schemas as S
 
 
-def _replace_partitions(df: DataFrame, root: str, partitions: tuple[str, ...]) -> None:
+def replace_partitions(df: DataFrame, root: str, partitions: tuple[str, ...]) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -25,7 +25,7 @@ def write_outcomes(outcomes: DataFrame, root: str) -> None:
     """Both outcomes of validation (``validate.outcomes``) by one write, committed
     together.  No shuffle: each task writes the dates of its scan split, so there are
     about as many files as splits."""
-    _replace_partitions(outcomes, root, S.OUTCOME_PARTITIONS)
+    replace_partitions(outcomes, root, S.OUTCOME_PARTITIONS)
 
 
 def write_bronze(bronze: DataFrame, root: str) -> None:
@@ -33,14 +33,14 @@ def write_bronze(bronze: DataFrame, root: str) -> None:
     date count as landed on their own date."""
     if S.FECHA_LANDING not in bronze.columns:
         bronze = bronze.withColumn(S.FECHA_LANDING, F.col(S.FECHA))
-    _replace_partitions(bronze.select(*S.BRONZE_COLUMNS), f"{root.rstrip('/')}/{S.RESULTADO}={S.ACEPTADO}", S.BRONZE_PARTITIONS)
+    replace_partitions(bronze.select(*S.BRONZE_COLUMNS), f"{root.rstrip('/')}/{S.RESULTADO}={S.ACEPTADO}", S.BRONZE_PARTITIONS)
 
 
 def write_silver(silver: DataFrame, root: str) -> None:
     """Expects ``clean(..., cluster_for_write=True)``: its rebalance already groups
     rows by (fecha, canal), so this writes few files per partition, with hot
     partitions split over several tasks by AQE."""
-    _replace_partitions(silver.select(*S.SILVER_COLUMNS), root, S.SILVER_PARTITIONS)
+    replace_partitions(silver.select(*S.SILVER_COLUMNS), root, S.SILVER_PARTITIONS)
 
 
 def write_gold(gold: DataFrame, root: str) -> None:
@@ -49,11 +49,11 @@ def write_gold(gold: DataFrame, root: str) -> None:
     does not merge these few bytes into one task that would then create every
     partition's file in sequence (the cost here is per file, not per byte)."""
     n = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    _replace_partitions(gold.select(*S.GOLD_COLUMNS).repartition(n, S.FECHA, S.CANAL), root, S.GOLD_PARTITIONS)
+    replace_partitions(gold.select(*S.GOLD_COLUMNS).repartition(n, S.FECHA, S.CANAL), root, S.GOLD_PARTITIONS)
 
 
 def write_manifest(manifest: DataFrame, root: str) -> None:
     """What the landing folders of a run brought, replacing what they brought before;
     one small file each."""
     one = manifest.repartition(S.FECHA_LANDING).select(*[f.name for f in S.MANIFEST.fields])
-    _replace_partitions(one, root, (S.FECHA_LANDING,))
+    replace_partitions(one, root, (S.FECHA_LANDING,))

@@ -25,6 +25,8 @@ WRITING = {
     "layer_counts",
     "rejects_in_order",
     "straggler_rebuild",
+    "bitmap_audience",
+    "bitmap_channel_rerun",
 }
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF")
 
