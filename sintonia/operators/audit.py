@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sintonia import schemas as S
 from sintonia.sources.layers import footer_counts
-from sintonia.sources.storage import path_exists
+from sintonia.sources.storage import partition_folder, path_exists
 
 _SLICES = 4
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -78,6 +78,45 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str] = S.GOLD_PARTITI
     return compare(a, b, keys).filter(~F.col("same"))
 
 
+def differing_rows(
+    spark: SparkSession,
+    root_a: str,
+    root_b: str,
+    schema: T.StructType = S.SILVER,
+    partitions: Sequence[str] = S.SILVER_PARTITIONS,
+    key: str = S.HOGAR,
+    buckets: int = 1024,
+) -> DataFrame:
+    """The rows in which two written layers differ, with how often each has them
+    (``n_a``, ``n_b``): by digests of partitions, then of buckets of ``key`` within the
+    partitions that differ, then of rows within the buckets that differ.
+
+    Only folders of differing partitions (one row each, collected) are read after the
+    first step, and only rows of differing buckets are shuffled whole."""
+    layer = {root: spark.read.schema(schema).parquet(root) for root in (root_a, root_b)}
+    texts = F.array(*[F.col(p).cast("string") for p in partitions]).alias("p")
+    found = differences(*[partition_digests(layer[r], partitions) for r in (root_a, root_b)], partitions).select(texts).collect()
+    cols = [c for c in schema.names if c not in S.AUDIT_COLUMNS]
+    if not found:
+        return layer[root_a].select(*cols, F.lit(0).cast("long").alias("n_a"), F.lit(0).cast("long").alias("n_b")).limit(0)
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("_bucket")
+    sides = []
+    for root in (root_a, root_b):
+        folders = [f for f in (partition_folder(root, partitions, r.p) for r in found) if path_exists(spark, f)]
+        chosen = spark.read.schema(schema).option("basePath", root).parquet(*folders) if folders else layer[root].limit(0)
+        sides.append(chosen.select(*cols, bucket))
+    keys = [*partitions, "_bucket"]
+    parted = differences(*[partition_digests(side, keys, exclude=("_bucket",)) for side in sides], keys).select(*keys)
+    tagged = [
+        side.select(*keys, *[c for c in cols if c not in partitions], F.lit(a).alias("n_a"), F.lit(1 - a).alias("n_b"))
+        for side, a in zip(sides, (1, 0))
+    ]
+    same_null = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in keys]
+    rows = tagged[0].unionAll(tagged[1]).alias("x").join(parted.alias("y"), same_null, "left_semi")
+    sums = [F.sum(n).cast("long").alias(n) for n in ("n_a", "n_b")]
+    return rows.groupBy(*cols).agg(*sums).filter("n_a <> n_b")
+
+
 def inventory(
     spark: SparkSession, root: str, schema: T.StructType, partitions: Sequence[str] = S.GOLD_PARTITIONS
 ) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,7 +88,7 @@ def channel_audience(counts: DataFrame) -> DataFrame:
 def gold_metrics(
     silver: DataFrame,
     *,
-    canales: Sequence[str] | None = None,
+    canales: Sequence[str] | DataFrame | None = None,
     canal_filter: str | None = None,
     procesado_en: datetime | str | None = None,
 ) -> DataFrame:
@@ -97,15 +97,24 @@ def gold_metrics(
     ``canales`` is the definitive channel list (a listed channel without events
     still gets 24 zero rows; repeated names count once).  When omitted, each date
     reports the channels present in its own data.  Dates are those present in the
-    data.
+    data.  A DataFrame of ``canal, fecha`` (see ``calendar``) lists channels date by date.
     """
     return gold_from_counts(band_counts(silver), canales=canales, canal_filter=canal_filter, procesado_en=procesado_en)
 
 
+def calendar(channels: DataFrame, start: date, end: date) -> DataFrame:
+    """The channel dimension ``canal, desde, hasta`` (first and last date on the air,
+    both inclusive, null: open) as ``canal, fecha`` for dates [start, end]."""
+    first = F.greatest(F.coalesce("desde", F.lit(start)), F.lit(start))
+    last = F.least(F.coalesce("hasta", F.lit(end)), F.lit(end))
+    days = channels.select(S.CANAL, first.alias("_a"), last.alias("_z")).filter("_a <= _z")
+    return days.select(S.CANAL, F.explode(F.sequence("_a", "_z")).alias(S.FECHA)).distinct()
+
+
 def gold_from_counts(
     counts: DataFrame,
     *,
-    canales: Sequence[str] | None = None,
+    canales: Sequence[str] | DataFrame | None = None,
     canal_filter: str | None = None,
     procesado_en: datetime | str | None = None,
 ) -> DataFrame:
@@ -119,9 +128,15 @@ def gold_from_counts(
     4. one aggregate per (fecha, canal) merges a listed row with the channel's
        own counts (the window's partitioning by date already satisfies it);
     5. ``explode(sequence(0, 23))`` gives the 24 bands.
+
+    Channels listed by a DataFrame join as rows of their date before the window; those of
+    dates without data get no band map and fall out.
     """
     listed = None
-    if canales is not None:
+    table = canales if isinstance(canales, DataFrame) else None
+    if table is not None:
+        canales = [None]
+    elif canales is not None:
         listed = unique(canales)
         if canal_filter is not None:
             listed = [c for c in listed if c == canal_filter]
@@ -138,14 +153,17 @@ def gold_from_counts(
     tipo = F.when(~F.col(_BAND), F.lit("canal")).when(F.col("pos") == 0, F.lit("franja")).otherwise(F.lit("lista"))
     rows = rows.select(S.FECHA, S.CANAL, tipo.alias("tipo"), "horas")
     rows = rows.withColumn("horas", F.when(F.col("tipo") != "lista", F.col("horas")))
+    if table is not None:
+        none = F.lit(None).cast(rows.schema["horas"].dataType).alias("horas")
+        rows = rows.unionAll(table.select(S.FECHA, S.CANAL, F.lit("lista").alias("tipo"), none))
     by_date = Window.partitionBy(S.FECHA)
     rows = rows.withColumn(
         "bandas", F.first(F.when(F.col("tipo") == "franja", F.col("horas")), ignorenulls=True).over(by_date)
-    ).filter(F.col("tipo") != "franja")
+    ).filter((F.col("tipo") != "franja") & F.col("bandas").isNotNull())
     keys = rows.groupBy(S.FECHA, S.CANAL).agg(
         F.first(F.when(F.col("tipo") == "canal", F.col("horas")), ignorenulls=True).alias("horas"),
         F.first("bandas").alias("bandas"),
-        F.max(F.col("tipo") == ("lista" if listed is not None else "canal")).alias("_en_informe"),
+        F.max(F.col("tipo") == ("lista" if canales is not None else "canal")).alias("_en_informe"),
     )
     keys = keys.filter(F.col("_en_informe"))
     if canal_filter is not None:

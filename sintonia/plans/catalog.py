@@ -24,6 +24,7 @@ from sintonia.operators import audit, bitmaps, metrics, reports, validate
 from sintonia.plans.runner import PipelineConfig, layer_roots, run_bronze, run_pipeline, run_summary
 from sintonia.session import ensure_checkpoint_dir
 from sintonia.sources import landing, layers, panel, sinks
+from sintonia.sources.compaction import compact
 from sintonia.sources.storage import date_folders, delete_path
 
 CHANNELS = ["Canal_click", "Canal_error", "Canal_purchase", "Canal_signup", "Canal_view"]
@@ -409,6 +410,64 @@ def q_bitmap_channel_rerun(spark, sf_dir):
     return _kept(_bitmap_gold(spark, root).select(*_GOLD_OUT), silver_root, root)
 
 
+def q_gold_channel_calendar(spark, sf_dir):
+    """Gold for channels that begin and end: each is on the air from some days after its
+    first event to some days before its last; one has no events and no end."""
+    panel_rows = panel.sparse_panel(_events(spark, sf_dir))
+    days = F.length(S.CANAL)
+    day = F.col(S.TIMESTAMP).cast("date")
+    aired = panel_rows.groupBy(S.CANAL).agg(F.min(day).alias("a"), F.max(day).alias("z")).select(
+        S.CANAL, F.date_add("a", days - 8).alias("desde"), F.date_sub("z", days - 8).alias("hasta")
+    )
+    span = panel_rows.agg(F.min(day).alias("a"), F.max(day).alias("z")).first()
+    dark = spark.createDataFrame([("Canal_dark", span.a + timedelta(days=5), None)], aired.schema)
+    listed = metrics.calendar(aired.unionAll(dark), span.a, span.z)
+    return metrics.gold_metrics(sparse_silver(spark, sf_dir), canales=listed).select(*_GOLD_OUT)
+
+
+def q_compacted_bronze(spark, sf_dir):
+    """Bronze after many small deliveries (landing files by the dozen) and a compaction:
+    files and rows of every partition."""
+    raw = _scratch(spark, "raw")
+    landing.export_lines(panel.dirty_lines(_events(spark, sf_dir)).repartition(24, "orden"), raw)
+    cfg = _config(spark, raw)
+    run_bronze(spark, cfg)
+    root = layers.outcome_root(cfg.bronze_root, S.ACEPTADO)
+    compact(spark, root, S.BRONZE, S.BRONZE_PARTITIONS)
+    held = audit.inventory(spark, root, S.BRONZE, S.BRONZE_PARTITIONS).select(*S.BRONZE_PARTITIONS, "n_files")
+    rows = layers.read_bronze(spark, cfg.bronze_root).groupBy(*S.BRONZE_PARTITIONS).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(S.UNIVERSO).alias("suma_universo")
+    )
+    return _kept(held.join(rows, list(S.BRONZE_PARTITIONS)), *_roots(cfg))
+
+
+def q_run_row_differences(spark, sf_dir):
+    """The rows in which two runs differ: the second has other universes for one channel
+    on some dates and lacks another channel's first week."""
+    silver = silver_ops.clean(dirty_bronze(spark, sf_dir), cluster_for_write=True)
+    early = F.dayofmonth(S.FECHA) <= 7
+    changed = (F.col(S.CANAL) == FILTERED) & (F.dayofmonth(S.FECHA) % 5 == 0)
+    second = silver.filter(~((F.col(S.CANAL) == UNLISTED) & early)).withColumn(
+        S.UNIVERSO, F.when(changed & (F.col(S.UNIVERSO) % 2000 == 0), F.col(S.UNIVERSO) + 1).otherwise(F.col(S.UNIVERSO))
+    )
+    roots = []
+    for run in (silver, second):
+        roots.append(_scratch(spark, "silver"))
+        sinks.write_silver(run, roots[-1])
+    return _kept(audit.differing_rows(spark, *roots).select(*_SILVER_OUT, "n_a", "n_b"), *roots)
+
+
+def q_catalog_range(spark, sf_dir):
+    """A range and channel of the gold layer read through the catalog's partitions."""
+    root, name = _scratch(spark, "gold"), f"gold_{uuid.uuid4().hex}"
+    _write_sparse_gold(spark, sf_dir, root)
+    gold = layers.gold_table(spark, root, name)
+    chosen = gold.filter(F.col(S.FECHA).between(*RANGE) & (F.col(S.CANAL) == FILTERED)).select(*_GOLD_OUT)
+    result = _kept(chosen, root)
+    spark.sql(f"DROP TABLE {name}")
+    return result
+
+
 def q_report_order(spark, sf_dir):
     """The daily summary with the place at which each row comes out."""
     report = reports.preset(dirty_gold(spark, sf_dir), "resumen_canal").withColumn("at", F.monotonically_increasing_id())
@@ -455,6 +514,10 @@ QUERIES: dict[str, QueryFn] = {
     "memory_batch": q_memory_batch,
     "preset_catalogue": q_preset_catalogue,
     "report_order": q_report_order,
+    "gold_channel_calendar": q_gold_channel_calendar,
+    "compacted_bronze": q_compacted_bronze,
+    "run_row_differences": q_run_row_differences,
+    "catalog_range": q_catalog_range,
     "bitmap_audience": q_bitmap_audience,
     "bitmap_channel_rerun": q_bitmap_channel_rerun,
 }
@@ -635,6 +698,10 @@ ORACLE: dict[str, str] = {
     "memory_batch": q_memory_batch,
     "preset_catalogue": q_preset_catalogue,
     "report_order": q_report_order,
+    "gold_channel_calendar": q_gold_channel_calendar,
+    "compacted_bronze": q_compacted_bronze,
+    "run_row_differences": q_run_row_differences,
+    "catalog_range": q_catalog_range,
     "bitmap_audience": q_bitmap_audience,
     "bitmap_channel_rerun": q_bitmap_channel_rerun,
 }
@@ -868,6 +935,25 @@ FROM (VALUES {_SQL_TEXTS}) texts(name, sql)""",
 SELECT d AS fecha, name AS canal,
        row_number() OVER (ORDER BY d, round(sum(if(u > 0, own * 100.0::DOUBLE / u, 0)) / 24, 2) DESC, name)::INT AS place
 FROM met GROUP BY d, name""",
+    "gold_channel_calendar": _with(_SPARSE, _SILVER, _gold([*CHANNELS, "Canal_dark"]))
+    + f""", aired AS (
+    SELECT c, min(t)::DATE + (length(c) - 8)::INT AS first, max(t)::DATE - (length(c) - 8)::INT AS last FROM bronze GROUP BY c
+    UNION ALL SELECT 'Canal_dark', min(t)::DATE + 5, max(t)::DATE FROM bronze
+)
+SELECT {_GOLD_COLS} FROM gold SEMI JOIN aired ON canal = c AND fecha >= first AND fecha <= last""",
+    "compacted_bronze": _with(_DIRTY)
+    + """
+SELECT t::DATE AS fecha, landed AS fecha_landing, 1::BIGINT AS n_files, count(*) AS n_rows, sum(u)::BIGINT AS suma_universo
+FROM bronze GROUP BY ALL""",
+    "run_row_differences": _with(_DIRTY, _SILVER)
+    + f""", rows AS (
+    SELECT h AS id_hogar_panelista, c AS canal, t AS "timestamp", u AS universo_total, t::DATE AS fecha,
+           c = '{FILTERED}' AND day(t) % 5 = 0 AND u % 2000 = 0 AS up FROM silver
+)
+SELECT * EXCLUDE up, 1::BIGINT AS n_a, 0::BIGINT AS n_b FROM rows WHERE up OR (canal = '{UNLISTED}' AND day(fecha) <= 7)
+UNION ALL SELECT * EXCLUDE up REPLACE (universo_total + 1 AS universo_total), 0, 1 FROM rows WHERE up""",
+    "catalog_range": _GOLD_SPARSE
+    + f"SELECT {_GOLD_COLS} FROM gold WHERE canal = '{FILTERED}' AND fecha BETWEEN '{RANGE[0]}' AND '{RANGE[1]}'",
     "bitmap_audience": _GOLD_DIRTY + f"SELECT {_GOLD_COLS} FROM gold",
     "bitmap_channel_rerun": _with(_DIRTY, _SILVER.replace("silver AS", "first AS"))
     + f""", silver AS (

@@ -43,7 +43,9 @@ class PipelineConfig:
     start: date
     procesado_en: datetime  # audit time, captured once by the caller
     end: date | None = None
-    canales: list[str] | None = None
+    #: The channels to report: names, or a table ``canal, desde, hasta`` of the dates each
+    #: is on the air (``metrics.calendar``).
+    canales: list[str] | DataFrame | None = None
     canal: str | None = None
     start_stage: str = "bronze"
     #: Keep household bitmaps here, and make gold from them: a run for one channel then
@@ -181,6 +183,12 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     return {**written, "excluded_null_rows": _excluded(spark, cfg, days)}
 
 
+def _channels(cfg: PipelineConfig, dates: list[date]) -> list[str] | DataFrame | None:
+    if isinstance(cfg.canales, DataFrame):
+        return metrics.calendar(cfg.canales, min([cfg.start, *dates]), max([cfg.last, *dates]))
+    return cfg.canales if cfg.canales is None else unique(cfg.canales)
+
+
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     days = _dates(spark, cfg)
     # Denominators need every channel of the date: the channel choice narrows the
@@ -199,7 +207,7 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
         counts = metrics.band_counts(silver)
     gold = metrics.gold_from_counts(
         counts,
-        canales=unique(cfg.canales) if cfg.canales is not None else None,
+        canales=_channels(cfg, days["dates"]),
         canal_filter=cfg.canal,
         procesado_en=cfg.procesado_en,
     )

@@ -125,3 +125,14 @@ def gold_view(spark: SparkSession, root: str, view: str = "gold", **kw) -> DataF
     df = read_gold(spark, root, **kw)
     df.createOrReplaceTempView(view)
     return df
+
+
+def gold_table(spark: SparkSession, root: str, name: str = "gold_layer") -> DataFrame:
+    """Gold as a partitioned catalog table over ``root``: its partitions are recovered
+    once, and a query's range and channel then pick them in the catalog, with no listing
+    of the other folders.  Register it again after a run has made new partitions."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.GOLD.fields)
+    keys = ", ".join(S.GOLD_PARTITIONS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({keys}) LOCATION '{root}'")
+    spark.catalog.recoverPartitions(name)
+    return spark.table(name).select(*S.GOLD_COLUMNS)

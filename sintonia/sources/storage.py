@@ -5,6 +5,7 @@ listing)."""
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -27,6 +28,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+#: Fixed value: characters that are escaped in the names of partition folders.
+_ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def partition_folder(root: str, partitions: Sequence[str], values: Sequence[str]) -> str:
+    """Path of a partition by the texts of its values."""
+    escape = lambda v: "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 0x20 else c for c in v)
+    return "/".join([root.rstrip("/"), *[f"{k}={escape(v)}" for k, v in zip(partitions, values)]])
+
+
 def date_folders(
     spark: SparkSession, root: str, start: date | str | None = None, end: date | str | None = None, column: str = S.FECHA
 ) -> list[tuple[date, str]]:

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 
@@ -116,3 +116,21 @@ def test_band_counts_match_distinct_counts(spark):
     assert band == {k: len(v) for k, v in exp_band.items()}
     assert chan == {k: len(v) for k, v in exp_chan.items()}
     assert uni == exp_uni
+
+
+def test_channels_on_the_air_by_date(spark):
+    d = lambda day: datetime(2027, 3, day, 10)
+    silver = silver_df(spark, [("h1", "A", d(1), 10), ("h1", "A", d(2), 10), ("h2", "B", d(2), 10), ("h3", "A", d(4), 10)])
+    table = spark.createDataFrame(
+        [("A", None, date(2027, 3, 2)), ("A", date(2027, 3, 2), date(2027, 3, 2)), ("B", date(2027, 3, 4), None), ("Z", date(2027, 3, 3), date(2027, 3, 3)), ("Y", date(2027, 3, 9), date(2027, 3, 1))],
+        "canal string, desde date, hasta date",
+    )
+    gold = metrics.gold_metrics(silver, canales=metrics.calendar(table, date(2027, 3, 1), date(2027, 3, 31)))
+    rows = {(r.fecha.day, r.canal): r for r in gold.filter("franja_horaria = 10").collect()}
+    # B not yet on the air on the 2nd still counts in the denominator; no data on the 3rd
+    assert set(rows) == {(1, "A"), (2, "A"), (4, "B")} and gold.count() == 3 * 24
+    assert rows[2, "A"].audiencia_total_franja == 2 and rows[4, "B"].audiencia_canal == 0 and rows[4, "B"].audiencia_total_franja == 1
+    plan = gold._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    only = metrics.gold_metrics(silver, canales=metrics.calendar(table, date(2027, 3, 1), date(2027, 3, 31)), canal_filter="A")
+    assert only.count() == 2 * 24

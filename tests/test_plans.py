@@ -27,6 +27,9 @@ WRITING = {
     "straggler_rebuild",
     "bitmap_audience",
     "bitmap_channel_rerun",
+    "compacted_bronze",
+    "run_row_differences",
+    "catalog_range",
 }
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF")
 

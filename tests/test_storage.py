@@ -6,6 +6,7 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from sintonia import schemas as S
 from sintonia.operators import audit, metrics, validate
@@ -367,3 +368,37 @@ def test_pipeline_on_a_range_without_landing_data_writes_nothing(spark, tmp_path
     r = run_pipeline(spark, _cfg(tmp_path))
     assert r.bronze["accepted"] == 0 and r.silver["output_rows"] == 0 and r.gold["output_rows"] == 0
     assert not (tmp_path / "gold").exists() or not _files(tmp_path / "gold")
+
+
+def test_differing_rows_of_two_runs(spark, tmp_path):
+    day = lambda d, h, m=0: datetime(2026, 8, d, h, m)
+    same = [(f"h{k}", f"C{k % 3}", day(1 + k % 4, k % 24, k % 60), 10) for k in range(200)]
+    a = [*same, ("only-a", "C1", day(2, 5), 10), ("other", "C1", day(2, 6), 10), ("gone", "OLD", day(3, 1), 10)]
+    b = [*same, ("other", "C1", day(2, 6), 11), ("only-b", "C0", day(4, 5), 10)]
+    roots = [str(tmp_path / n) for n in "ab"]
+    for rows, root in zip((a, b), roots):
+        df = silver_df(spark, rows).withColumn("procesado_en", F.current_timestamp().cast("timestamp_ntz")).withColumn("fecha", F.to_date("timestamp"))
+        sinks.write_silver(df.repartition(3), root)
+    found = audit.differing_rows(spark, *roots, buckets=8)
+    got = {(r.id_hogar_panelista, r.canal, r.universo_total, r.n_a, r.n_b) for r in found.collect()}
+    assert got == {("only-a", "C1", 10, 1, 0), ("other", "C1", 10, 1, 0), ("other", "C1", 11, 0, 1), ("only-b", "C0", 10, 0, 1), ("gone", "OLD", 10, 1, 0)}
+    # equal partitions are not read again
+    read = {tuple(f.split("/")[-3:-1]) for f in found.inputFiles()}
+    assert read == {("fecha=2026-08-02", "canal=C1"), ("fecha=2026-08-04", "canal=C0"), ("fecha=2026-08-03", "canal=OLD")}
+    assert audit.differing_rows(spark, roots[0], roots[0]).collect() == []
+
+
+def test_catalog_table_picks_partitions_without_listing(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    s = silver_df(spark, [("h1", c, datetime(2026, 8, d, 10), 10) for d in range(1, 9) for c in ("A", "07")])
+    sinks.write_gold(metrics.gold_metrics(s), root)
+    gold = layers.gold_table(spark, root, "gold_prueba")
+    try:
+        chosen = gold.filter("fecha BETWEEN '2026-08-03' AND '2026-08-04' AND canal = '07'")
+        plan = chosen._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryFileIndex(2 paths)" in plan and "PartitionFilters" in plan
+        assert chosen.count() == 48 and {r.canal for r in chosen.collect()} == {"07"}
+        assert spark.sql("SELECT count(*) AS n FROM gold_prueba WHERE canal = 'A'").first().n == 8 * 24
+    finally:
+        spark.sql("DROP TABLE gold_prueba")
+    assert layers.read_gold(spark, root).count() == 16 * 24  # the files stay
