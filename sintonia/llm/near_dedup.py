@@ -12,8 +12,15 @@ classes in one task, a larger one region by region, each with the cluster's best
 connected classes added as pivots.  Links never leave a task pair by pair: a task gives
 each class the smallest one it is connected to, and those meet in connected components.
 
-A prefix that very many classes share (Misra-Gries, verified) is dealt out by a longer
-prefix at once, so no task sorts a whole hot region.
+Depth parts classes that are alike, so what shares an overfull region (``region`` classes
+agree in ``least_depth`` values: templates, common passages, large groups of copies) is
+then compared without it.  A region whose classes are all connected by now is done.  In
+the others, every class outside the region's largest component is compared on full
+sets with every class of the region, in blocks of bounded size.  So a pair that shares
+a prefix of ``least_depth`` values in any tree is found whatever else shares it.
+
+A prefix that more than ``heavy`` classes share is dealt out by a longer prefix at once,
+and then by class, so no task sorts a whole hot region.
 
 Defined results: null or empty texts have the empty set and stand alone; a null doc_id
 is never a group's smallest id (a group of null ids only has the component null);
@@ -33,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sintonia.llm.common import components, discard, fresh, heavy_keys, runs, table, written
+from sintonia.llm.common import components, discard, fresh, runs, table, written
 
 
 @dataclass(frozen=True)
@@ -48,7 +55,11 @@ class Forest:
     deepest: int = 16
     region: int = 96
     pivots: int = 6
-    counters: int = 1024
+    #: Rows of one prefix that a task may sort.
+    heavy: int = 4096
+    #: Shingles on either side of a block of an overfull region.
+    block: int = 200_000
+    salts: int = 16
     seed: int = 7
 
     @property
@@ -57,10 +68,10 @@ class Forest:
 
     @property
     def floor(self) -> float:
-        """Share of equal minima below which a pair at the threshold falls once in
-        some thousands (3.5 standard deviations)."""
+        """Share of equal minima below which a pair at the threshold falls once in a
+        million (5 standard deviations)."""
         t = self.percent / 100
-        return t - 3.5 * (t * (1 - t) / self.values) ** 0.5
+        return t - 5 * (t * (1 - t) / self.values) ** 0.5
 
 
 # ---- shingles ---------------------------------------------------------------
@@ -176,36 +187,55 @@ def split_regions(order: np.ndarray, depth: int, how: Forest) -> Iterator[tuple[
                 yield depth + at, np.concatenate([rows[:1], rows[at : at + how.region - 1]])
 
 
-def _members(base: DataFrame, how: Forest) -> DataFrame:
-    """``region, cid``: the classes of each region of every tree."""
+def _prefix_key(depth: int) -> Column:
+    return F.xxhash64("tree", F.lit(depth), F.expr(f"substring(prefix, 1, {2 * depth})"))
+
+
+def _orders(base: DataFrame, how: Forest) -> DataFrame:
+    """``cid, tree, prefix, key``: each class's values in the order of each tree, and the
+    region of its first ``least_depth``."""
     size = 2 * how.start_values
     # the signature twice over, so that a tree's order may run past its end
     rows = base.select("cid", F.explode(F.sequence(F.lit(0), F.lit(how.trees - 1))).alias("tree"), F.concat("sig", "sig").alias("sig")).selectExpr(
         "cid", "tree", f"substring(sig, tree * {size} + 1, {2 * how.deepest}) AS prefix"
     )
-    rows = written(rows, "orders")
+    return written(rows.withColumn("key", _prefix_key(how.least_depth)), "orders")
+
 
-    def key(depth: int) -> Column:
-        return F.xxhash64("tree", F.lit(depth), F.expr(f"substring(prefix, 1, {2 * depth})"))
+def _crowded(orders: DataFrame, how: Forest) -> DataFrame:
+    """``key, cid`` of the overfull regions."""
+    sizes = written(orders.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > how.region), "overfull")
+    return written(orders.join(sizes, "key").select("key", "cid", "n"), "crowded")
 
-    plain = rows.withColumns({"key": key(how.least_depth), "depth": F.lit(how.least_depth)})
-    for depth in (2 * how.least_depth, how.deepest):
-        heavy = written(heavy_keys(plain.select("key"), "key", how.counters, how.region).select("key", F.lit(True).alias("hot")), "heavy")
-        plain = plain.join(F.broadcast(heavy), "key", "left").select(
+
+def _members(orders: DataFrame, crowded: DataFrame, how: Forest) -> DataFrame:
+    """``region, cid``: the classes of each region of every tree."""
+    plain = orders.withColumn("depth", F.lit(how.least_depth))
+    heavy = crowded.where(F.col("n") > how.heavy).groupBy("key").agg(F.first("n").alias("n"))
+    for depth in (2 * how.least_depth, how.deepest, None):
+        heavy = written(heavy, "heavy")
+        if not heavy.head(1):
+            break
+        longer = F.xxhash64("key", F.pmod(F.xxhash64("cid"), F.ceil(F.col("n") / how.heavy))) if depth is None else _prefix_key(depth)
+        plain = plain.join(heavy, "key", "left").select(
             "cid",
             "tree",
             "prefix",
-            F.when(F.col("hot"), key(depth)).otherwise(F.col("key")).alias("key"),
-            F.when(F.col("hot"), depth).otherwise(F.col("depth")).alias("depth"),
+            F.when(F.col("n").isNotNull(), longer).otherwise(F.col("key")).alias("key"),
+            F.when(F.col("n").isNotNull(), F.lit(depth or how.deepest)).otherwise(F.col("depth")).alias("depth"),
         )
+        if depth is not None:
+            dealt = plain.where(F.col("depth") == depth)
+            heavy = dealt.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > how.heavy)
 
     def run(batches):
         for group in runs(_sharing(batches), "key"):
-            order = np.frombuffer(b"".join(group.column("prefix").to_pylist()), "<u2").reshape(group.num_rows, -1)
-            cids = group.column("cid").to_numpy()
+            by = np.argsort(group.column("cid").to_numpy())
+            cids = group.column("cid").to_numpy()[by]
+            order = np.frombuffer(b"".join(group.column("prefix").to_pylist()), "<u2").reshape(group.num_rows, -1)[by]
             start, seed = group.column("depth")[0].as_py(), group.column("key")[0].as_py() & (2**64 - 1)
             for depth, part in split_regions(order, start, how):
-                part = part[np.argsort(cids[part])]
+                part = np.sort(part)
                 name = order[part[-1], : min(depth, how.deepest)].tobytes() + depth.to_bytes(8, "little")
                 region = xxhash.xxh3_64_intdigest(name, seed) - 2**63
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), region)), pa.array(cids[part])], names=["region", "cid"])
@@ -318,8 +348,11 @@ def _units(clusters: DataFrame, members: DataFrame, how: Forest) -> DataFrame:
     )
     # the best connected classes of each large cluster go with each of its regions
     degrees = clusters.groupBy(F.col("b").alias("cid")).agg(F.sum("degree").alias("degree")).join(large, "cid")
-    best = Window.partitionBy("root").orderBy(F.col("degree").desc(), "cid")
-    pivots = written(degrees.withColumn("k", F.row_number().over(best)).where(F.col("k") <= how.pivots).select("root", F.col("cid").alias("pivot")), "pivots")
+    pivots = degrees.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(how.salts)))
+    for keys in (("root", "salt"), ("root",)):  # the best of each salt first
+        best = Window.partitionBy(*keys).orderBy(F.col("degree").desc(), "cid")
+        pivots = pivots.withColumn("k", F.row_number().over(best)).where(F.col("k") <= how.pivots)
+    pivots = written(pivots.select("root", F.col("cid").alias("pivot")), "pivots")
     added = parts.select("unit", "root").distinct().join(pivots, "root").select("unit", F.col("pivot").alias("cid"))
     return small.unionAll(parts.select("unit", "cid").unionAll(added).distinct())
 
@@ -359,6 +392,80 @@ def _links(units: DataFrame, sets: DataFrame, how: Forest) -> DataFrame:
     return whole.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
 
 
+def crossed(asked: list[np.ndarray], others: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarray:
+    """Which of ``asked`` (rows) and ``others`` (columns) are linked: intersections by
+    products of 0/1 matrices over the shingles that both sides have."""
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s]), np.array([len(x) for x in s], np.int64)) for s in (asked, others)]
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    placed = []
+    for flat, owner, _ in sides:
+        at = np.searchsorted(common, flat)
+        hit = at < len(common)
+        hit[hit] = common[at[hit]] == flat[hit]
+        order = np.argsort(at[hit], kind="stable")
+        placed.append((at[hit][order], owner[hit][order]))
+    both = np.zeros((len(asked), len(others)), np.float64)
+    for start in range(0, len(common), columns):
+        blocks = []
+        for (at, owner), side in zip(placed, (asked, others)):
+            a, b = np.searchsorted(at, [start, start + columns])
+            blocks.append(np.zeros((len(side), columns), np.float32))
+            blocks[-1][owner[a:b], at[a:b] - start] = 1
+        both += blocks[0] @ blocks[1].T
+    both = np.rint(both).astype(np.int64)
+    return 100 * both >= percent * (sides[0][2][:, None] + sides[1][2][None, :] - both)
+
+
+def _across(found: DataFrame, crowded: DataFrame, sets: DataFrame, how: Forest) -> DataFrame:
+    """``node, root`` with the links that overfull regions hold between components.
+
+    In a region, the classes outside its largest component are asked about all of its
+    classes.  Both are dealt into blocks of about ``block`` shingles, and every pair of
+    blocks is a unit of its own; with one component there is nothing to ask."""
+    size = sets.select("cid", (F.length("shingles") / 8).cast("long").alias("shingled"))
+    roots = found.select(F.col("node").alias("cid"), "root")
+    placed = written(
+        crowded.join(size, "cid").join(roots, "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"), "shingled"), "placed"
+    )
+    parts = placed.groupBy("key", "root").agg(F.sum("shingled").alias("s"))
+    blocks = lambda s: F.ceil(s / F.lit(how.block))
+    mixed = parts.groupBy("key").agg(F.sum("s").alias("s"), F.max(F.struct("s", "root")).alias("most"), F.count("*").alias("n")).where("n > 1")
+    mixed = written(mixed.select("key", F.col("most.root").alias("main"), blocks(F.col("s") - F.col("most.s")).alias("rows"), blocks(F.col("s")).alias("cols")), "mixed")
+    if not mixed.head(1):
+        return found
+    rows = placed.join(mixed, "key")
+    mine = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).alias(n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(n)
+    asked = rows.where("root <> main").select("key", mine("rows"), every("cols"), "cid", "root", F.lit(True).alias("asked"))
+    others = rows.select("key", every("rows"), mine("cols"), "cid", "root", F.lit(False).alias("asked"))
+    units = asked.unionAll(others).select(F.xxhash64("key", "rows", "cols").alias("unit"), "cid", "root", "asked")
+
+    def run(batches):
+        for group in runs(batches, "unit"):
+            asks = group.column("asked").to_numpy().astype(bool)
+            if not asks.any() or asks.all():
+                continue
+            own = [np.frombuffer(b, np.uint64) for b in group.column("shingles").to_pylist()]
+            root = group.column("root").to_numpy()
+            near = crossed([own[k] for k in np.flatnonzero(asks)], [own[k] for k in np.flatnonzero(~asks)], how.percent)
+            a, b = (root[side][at] for side, at in zip((asks, ~asks), np.nonzero(near)))
+            names, number = np.unique(np.concatenate([a, b]), return_inverse=True)
+            joint = np.zeros((len(names), len(names)), bool)
+            joint[number[: len(a)], number[len(a) :]] = joint[number[len(a) :], number[: len(a)]] = True
+            np.fill_diagonal(joint, False)
+            pairs = list(_stars_of(joint, names))
+            if pairs:
+                a, b = zip(*pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    whole = units.join(sets, "cid").select("unit", "root", "asked", "shingles")
+    links = whole.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
+    joined = written(components(links).select(F.col("node").alias("root"), F.col("root").alias("top")), "across")
+    # a component of one class has no row yet
+    alone = joined.join(found.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+    return found.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionAll(alone)
+
+
 def groups(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id``
     (smallest doc_id reachable), ``kept`` (whether that is its own)."""
@@ -369,12 +476,16 @@ def groups(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
         "classes",
     )
     base = written(signed.join(classes, signed["rid"] == classes["cid"]).select("cid", "sig"), "base")
-    members = _members(base, how)
+    orders = _orders(base, how)
+    crowded = _crowded(orders, how)
+    members = _members(orders, crowded, how)
     clusters = _clusters(base, members, how)
     units = written(_units(clusters, members, how), "units")
-    sets = _sets(docs, signed, units.select("cid").distinct(), how)
-    found = written(components(_links(units, sets, how)), "components")
-    discard(base)
+    sets = _sets(docs, signed, units.select("cid").unionAll(crowded.select("cid")).distinct(), how)
+    near = written(components(_links(units, sets, how)), "components")
+    found = written(_across(near, crowded, sets, how), "found")
+    for done in (base, orders, crowded, members, clusters, units, sets):
+        discard(done)
     named = found.join(classes, found["node"] == classes["cid"]).select("root", "set_hash", "first")
     least = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     inside = named.join(least, "root").select("set_hash", "component_id")

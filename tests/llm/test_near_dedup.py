@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -67,7 +68,7 @@ def got(df):
 def test_components_match_brute_force(docs):
     for percent in (80, 85):
         rows = rows_of(percent)
-        how = N.Forest(percent=percent, region=16, pivots=4, counters=64)
+        how = N.Forest(percent=percent, region=16, pivots=4, heavy=40, block=2000)
         out = N.groups(docs(rows), how)
         assert got(out) == sorted(brute(rows, percent), key=str)
         assert all(r.kept == (r.doc_id == r.component_id) for r in out.collect())
@@ -96,10 +97,58 @@ def test_hot_prefix_is_dealt_deeper(docs):
     # 400 near copies of one text: far more than a region, and a heavy key
     rng = random.Random(9)
     rows = list(enumerate(family(rng, words(rng, 200), 400, 2)))
-    out = N.groups(docs(rows), N.Forest(percent=85, region=32, counters=16))
+    out = N.groups(docs(rows), N.Forest(percent=85, region=32, heavy=64))
     assert {r.component_id for r in out.collect()} == {c for _, _, c in brute(rows, 85)}
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_template_pages_keep_their_copies(docs, percent):
+    """1,500 pages that share most of their words, so that any two are alike to 0.75, and
+    of each a copy just over the threshold: all regions are overfull."""
+    rng = random.Random(percent)
+    length, own = 400, 53
+    template = words(rng, length - own)
+    rows = []
+    for k in range(1500):
+        page = template + words(rng, own)
+        copy = list(page)
+        at = length - own // 2
+        # replaced words at the end of a page take as many shingles as there are, less four before
+        while True:
+            changed = copy[: at + 1] + words(rng, length - at - 1)
+            a, b = shingles(" ".join(page)), shingles(" ".join(changed))
+            if 100 * len(a & b) >= percent * len(a | b):
+                break
+            at += 1
+        rows += [(2 * k, " ".join(page)), (2 * k + 1, " ".join(changed))]
+    a, b = shingles(rows[0][1]), shingles(rows[2][1])
+    assert 0.74 < len(a & b) / len(a | b) < 0.77
+    found = {r.doc_id: r.component_id for r in N.groups(docs(rows), N.Forest(percent=percent)).collect()}
+    lost = sum(found[2 * k + 1] != found[2 * k] for k in range(1500))
+    assert lost == 0 and len(set(found.values())) == 1500
+
+
+def test_a_component_reached_through_an_overfull_region(docs):
+    # two large groups of copies and single texts, all in the same regions
+    rng = random.Random(11)
+    base = words(rng, 300)
+    other = base[:255] + words(rng, 45)
+    rows = list(enumerate(family(rng, base, 90, 3) + family(rng, other, 90, 3) + [" ".join(base[:k] + words(rng, 300 - k)) for k in range(200, 290, 3)]))
+    for block in (1000, 10**6):
+        out = N.groups(docs(rows), N.Forest(percent=80, region=16, heavy=60, block=block))
+        assert got(out) == sorted(brute(rows, 80), key=str)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1), min_size=1, max_size=6), st.lists(st.sets(st.integers(0, 30), min_size=1), min_size=1, max_size=6))
+def test_crossed(asked, others):
+    sides = [[np.array(sorted(s), np.uint64) for s in side] for side in (asked, others)]
+    near = N.crossed(*sides, 60, columns=4)
+    for a, x in enumerate(asked):
+        for b, y in enumerate(others):
+            assert near[a, b] == (100 * len(x & y) >= 60 * len(x | y))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 30), min_size=1), min_size=2, max_size=9), st.integers(1, 9))
 def test_overlaps(sets, columns):
