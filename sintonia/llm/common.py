@@ -105,17 +105,3 @@ def runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             held.append(batch.slice(start, end - start))
     if held:
         yield pa.Table.from_batches(held)
-
-
-def heavy_keys(rows: DataFrame, key: str, counters: int, least: int) -> DataFrame:
-    """Keys (longs) of more than ``rows / counters`` and more than ``least`` rows, with
-    their exact count: a Misra-Gries pass, then an exact count of what it found, so
-    fewer than ``counters`` rows whatever the input."""
-    found = rows.stat.freqItems([key], 1.0 / counters).select(F.explode(f"{key}_freqItems").alias(key))
-    total = rows.count()
-    return (
-        rows.join(F.broadcast(found), key, "left_semi")
-        .groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .where((F.col("n") * counters > F.lit(total)) & (F.col("n") > least))
-    )

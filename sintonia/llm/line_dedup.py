@@ -6,12 +6,11 @@ or deleting documents adds or subtracts their counts; keys that cross ``min_docs
 go into or out of their shard's filter.  A shard whose filter is full is rebuilt
 larger from the counts.
 
-Rewriting asks the filters first.  They may say yes to a rare key by mistake; since
-``refs`` is exact, those keys are known beforehand (every rare key is probed once)
-and listed as exceptions, so the answer is exact without moving a text.  Filters and
-exceptions are broadcast only if their measured size is within ``broadcast_bytes``;
-otherwise lines meet the counts in a join with salted hot keys.  Both ways give the
-same rows.
+Rewriting asks the filters first.  They may say yes by mistake, to a rare key or to one
+the state has never seen, so every yes is confirmed by the counts: the keys that are
+shared, sorted, go with the filters.  Both are broadcast only if their measured size is
+within ``broadcast_bytes``; otherwise lines meet the counts in a join with salted hot
+keys.  Both ways give the same rows for any documents.
 
 Defined results: a null or empty text is one empty line; keys shorter than
 ``min_chars`` code points are never dropped; every row counts as a document, also a
@@ -156,7 +155,7 @@ def _filled(keys: list[int]) -> Cuckoo:
 class Probe:
     """All shards' filters side by side, asked for many keys at once."""
 
-    def __init__(self, filters: list[tuple[int, bytes]], shards: int, exceptions: np.ndarray):
+    def __init__(self, filters: list[tuple[int, bytes]], shards: int, shared: np.ndarray):
         self.start = np.zeros(shards, np.int64)
         self.mask = np.full(shards, -1, np.int64)
         cells, at = [], 0
@@ -166,7 +165,10 @@ class Probe:
             cells.append(part)
             at += len(part)
         self.cells = np.concatenate(cells) if cells else np.zeros((1, SLOTS), np.uint16)
-        self.exceptions = {(int(a), int(b)) for a, b in exceptions}
+        order = np.lexsort((shared[:, 1], shared[:, 0]))
+        self.hi, self.lo = shared[order, 0], shared[order, 1]
+        #: Most keys with the same upper half.
+        self.alike = int(np.unique(self.hi, return_counts=True)[1].max(initial=1))
 
     def maybe(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
         shard = _shard_of(lo, len(self.start))
@@ -181,12 +183,17 @@ class Probe:
         return there & (same(first) | same(second))
 
     def hot(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-        found = self.maybe(hi, lo)
-        if self.exceptions:
-            for k in np.flatnonzero(found):
-                if (int(hi[k]), int(lo[k])) in self.exceptions:
-                    found[k] = False
-        return found
+        """Which keys the filters know and the counts confirm."""
+        out = self.maybe(hi, lo)
+        asked = np.flatnonzero(out)
+        at, known = np.searchsorted(self.hi, hi[asked]), np.zeros(len(asked), bool)
+        for k in range(self.alike):
+            there = at + k < len(self.hi)
+            place = np.where(there, at + k, 0)
+            if len(self.hi):
+                known |= there & (self.hi[place] == hi[asked]) & (self.lo[place] == lo[asked])
+        out[asked] = known
+        return out
 
 
 def _shard_of(lo: np.ndarray, shards: int) -> np.ndarray:
@@ -274,27 +281,13 @@ def delete(state: LineState, docs: DataFrame) -> LineState:
 
 
 def _probe(state: LineState) -> Probe | None:
-    """The filters and their exceptions, or None if larger than the limit."""
-    limit, shards = state.rules.broadcast_bytes, state.shards
-    size = state.filters.agg(F.coalesce(F.sum(F.length("cells")), F.lit(0))).first()[0]
-    if size > limit:
+    """The filters and the shared keys, or None if larger than the limit."""
+    shared = state.refs.where(F.col("n") >= state.rules.min_docs).select("hi", "lo")
+    size = state.filters.agg(F.coalesce(F.sum(F.length("cells")), F.lit(0))).first()[0] + 16 * shared.count()
+    if size > state.rules.broadcast_bytes:
         return None
-    bare = Probe([(r.shard, bytes(r.cells)) for r in state.filters.collect()], shards, np.zeros((0, 2), np.int64))
-    sent = state.refs.sparkSession.sparkContext.broadcast(bare)
-
-    def wrong(batches):
-        for batch in batches:
-            hi, lo = (np.asarray(c).astype(np.int64) for c in batch.columns)
-            found = sent.value.maybe(hi, lo)
-            yield pa.RecordBatch.from_arrays([pa.array(hi[found]), pa.array(lo[found])], names=["hi", "lo"])
-
-    rare = state.refs.where(F.col("n") < state.rules.min_docs).select("hi", "lo")
-    mistaken = written(rare.mapInArrow(wrong, "hi long, lo long"), "exceptions")
-    if size + 128 * mistaken.count() > limit:
-        return None
-    listed = [(r.hi, r.lo) for r in mistaken.collect()]
-    bare.exceptions = set(listed)
-    return bare
+    keys = np.array([(r.hi, r.lo) for r in shared.toLocalIterator()], np.int64).reshape(-1, 2)
+    return Probe([(r.shard, bytes(r.cells)) for r in state.filters.collect()], state.shards, keys)
 
 
 _RESULT = "n_lines long, n_dropped long, text string"
@@ -379,8 +372,10 @@ def _rewrite_by_join(state: LineState, docs: DataFrame, schema: str, names: list
 
 
 def op3_cuckoo_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """All documents are inserted, delivered a second time, and the second delivery is
+    deleted again: what is left must be what one insertion gives."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = rewrite(insert(None, docs), docs)
+    kept = rewrite(delete(insert(insert(None, docs), docs), docs), docs)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 

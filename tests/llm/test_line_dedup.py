@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 from dataclasses import replace
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -74,17 +75,39 @@ def test_insert_and_delete_are_reversible(docs):
     assert got(L.rewrite(back, docs(first))) == brute(first, 3)
 
 
-def test_false_positives_are_exceptions(docs):
-    """A filter that knows two rare keys by mistake still gives exact answers."""
+def test_a_mistaken_filter_is_corrected_by_the_counts(docs):
     df = docs(ROWS)
     state = L.insert(None, df)
     wrong = state.refs.where("n = 9 OR n = 1").select("hi", "lo", F.lit(1).alias("step"))
     broken = replace(state, filters=L._update(state, wrong))
     probe = L._probe(broken)
-    assert len(probe.exceptions) >= wrong.count()
+    both = np.array(wrong.select("hi", "lo").collect(), np.int64)
+    assert probe.maybe(both[:, 0], both[:, 1]).all() and not probe.hot(both[:, 0], both[:, 1]).any()
     assert got(L.rewrite(broken, df)) == brute(ROWS)
 
 
+def test_both_ways_agree_on_documents_the_state_has_not_seen(docs):
+    """Many shared lines fill the filters; unseen lines in great number meet them."""
+    rules = L.Rules(min_docs=3, shards=2)
+    shared = [f"shared {k}" for k in range(4000)]
+    state = L.insert(None, docs([(d, "\n".join(shared)) for d in range(3)]), rules)
+    new = [(100 + d, "\n".join([f"unseen {d} {k}" for k in range(20_000)] + shared[d::500])) for d in range(10)]
+    known = set(map(key, shared))
+    want = sorted(((k, t.count("\n") + 1, sum(key(x) in known for x in t.split("\n")), "\n".join(x for x in t.split("\n") if key(x) not in known)) for k, t in new), key=str)
+    unseen = L._pairs(b"".join(L._digest(x.encode()) for _, t in new for x in t.split("\n") if key(x) not in known)).astype(np.int64)
+    assert L._probe(state).maybe(unseen[:, 0], unseen[:, 1]).any()  # filters alone would drop some
+    assert got(L.rewrite(state, docs(new))) == want
+    assert got(L.rewrite(replace(state, rules=replace(rules, broadcast_bytes=0)), docs(new))) == want
+
+
+def test_keys_alike_in_their_upper_half():
+    shared = np.array([(5, 1), (5, 2), (7, 1)], np.int64)
+    made = L._filled([5, 5, 7])
+    probe = L.Probe([(0, made.cells.tobytes())], 1, shared)
+    asked = np.array([(5, 1), (5, 2), (5, 3), (7, 1), (7, 2), (8, 1)], np.int64)
+    assert probe.hot(asked[:, 0], asked[:, 1]).tolist() == [True, True, False, True, False, False]
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(-(2**63), 2**63 - 1), unique=True, max_size=300))
 def test_cuckoo_never_loses_a_key(keys):
