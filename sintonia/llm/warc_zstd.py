@@ -1,15 +1,15 @@
 """WARC archives in Zstandard frames: writer and reader.
 
 An archive is a leading skippable frame that holds the dictionary, then one frame per
-record.  Each task trains the dictionary of its archive on the first records it meets
-(``sample_bytes`` at most) and then streams the rest.  The frames go out through
-Spark's text writer, whose commit makes retried tasks safe on any file system; its line
-separator is an empty skippable frame, so the file stays a valid sequence of frames.
+record.  A task trains the dictionary of each archive on the first records it puts there
+(``sample_bytes`` at most) and closes the archive at ``archive_bytes``; a record is never
+cut.  Archives go out through Spark's text writer, a row and a file each, whose commit
+makes retried tasks safe on any file system; its line separator is an empty skippable
+frame, so the file stays a valid sequence of frames.
 
-The reader takes archives whole (one is at most what one task wrote, a split of the
-input), loads the dictionary from the leading frame, decodes frame by frame and checks
-declared sizes, required headers, block length, trailer and payload digest; what fails
-is told in ``error``.
+The reader takes archives whole, loads the dictionary from the leading frame, decodes
+frame by frame and checks declared sizes, required headers, block length, trailer and
+payload digest; what fails is told in ``error``.
 
 Defined results: a null payload is empty; a null url gives no target header; of records
 with equal payloads the largest page_id is the response (a null page_id counts as
@@ -109,23 +109,40 @@ def dictionary(samples: list[bytes], size: int) -> zstandard.ZstdCompressionDict
         return zstandard.ZstdCompressionDict(b"".join(samples)[:size], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def archive_frames(records: Iterator[bytes], sample_bytes: int, dict_bytes: int, level: int) -> Iterator[bytes]:
-    first, held = [], 0
-    for r in records:
-        first.append(r)
-        held += len(r)
-        if held >= sample_bytes:
-            break
-    if not first:
-        return
-    made = dictionary([r[:65536] for r in first], dict_bytes)
-    raw = made.as_bytes()
-    yield struct.pack("<II", DICT_MAGIC, len(raw)) + raw
-    zip_ = zstandard.ZstdCompressor(level=level, dict_data=made, write_checksum=True, write_content_size=True)
-    while first:
-        yield zip_.compress(first.pop(0))
-    for r in records:
-        yield zip_.compress(r)
+def archives(
+    records: Iterator[bytes], info: bytes, *, sample_bytes: int, dict_bytes: int, level: int, archive_bytes: int
+) -> Iterator[bytes]:
+    """Whole archives of the records, each begun by ``info`` and closed once it holds
+    ``archive_bytes``."""
+    ended = False
+    while not ended:
+        first, held = [], 0
+        for r in records:
+            first.append(r)
+            held += len(r)
+            if held >= min(sample_bytes, archive_bytes):
+                break
+        else:
+            ended = True
+        if not first:
+            return
+        made = dictionary([r[:65536] for r in first], dict_bytes)
+        raw = made.as_bytes()
+        zip_ = zstandard.ZstdCompressor(level=level, dict_data=made, write_checksum=True, write_content_size=True)
+        frames = [struct.pack("<II", DICT_MAGIC, len(raw)) + raw, zip_.compress(info)]
+        size = sum(map(len, frames))
+        first.reverse()
+        while first or not ended:
+            if first:
+                r = first.pop()
+            else:
+                r = next(records, None) if size < archive_bytes else None
+                if r is None:
+                    ended = size < archive_bytes
+                    break
+            frames.append(zip_.compress(r))
+            size += len(frames[-1])
+        yield b"".join(frames)
 
 
 def read_frames(data: bytes, step: int = 65536) -> Iterator[tuple[bytes | None, str | None]]:
@@ -177,8 +194,9 @@ def write_archives(
     sample_bytes: int = 2 << 20,
     dict_bytes: int = 32 << 10,
     level: int = 3,
+    archive_bytes: int = 64 << 20,
 ) -> None:
-    """Archives of ``pages(page_id, url, html)`` under ``root``, one per task.
+    """Archives of ``pages(page_id, url, html)`` under ``root``.
 
     Groups of equal payloads are found on digests alone.  Only digests of more than
     one page are joined back (by a broadcast if Spark measures them small, else by a
@@ -198,28 +216,22 @@ def write_archives(
         F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last").cast("string")).alias("refers_to"),
     )
 
+    info = record("warcinfo", "urn:archive:info", date, [("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
+
     def records(batches):
-        for k, batch in enumerate(b for b in batches if b.num_rows):
-            if k == 0:
-                yield record("warcinfo", "urn:archive:info", date, [("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
+        for batch in batches:
             for page_id, url, html, digest, refers_to in zip(*batch.columns):
                 yield page_record(
                     page_id.as_py(), url.as_py(), html.as_py().encode(), base64.b32encode(digest.as_py()).decode(), refers_to.as_py(), date
                 )
 
     def run(batches):
-        held, size = [], 0
-        for frame in archive_frames(records(batches), sample_bytes, dict_bytes, level):
-            held.append(frame)
-            size += len(frame)
-            if size > 4 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["frame"])
-                held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["frame"])
+        sizes = dict(sample_bytes=sample_bytes, dict_bytes=dict_bytes, level=level, archive_bytes=archive_bytes)
+        for archive in archives(records(batches), info, **sizes):
+            yield pa.RecordBatch.from_arrays([pa.array([archive], pa.binary())], names=["archive"])
 
-    frames = joined.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    frames.write.option("lineSep", EMPTY_FRAME).option("compression", "none").option("maxRecordsPerFile", 0).text(root)
+    whole = joined.mapInArrow(run, "archive binary").select(F.col("archive").cast("string").alias("value"))
+    whole.write.option("lineSep", EMPTY_FRAME).option("compression", "none").option("maxRecordsPerFile", 1).text(root)
 
 
 READ = "page_id string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary, error string"

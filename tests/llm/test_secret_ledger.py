@@ -67,6 +67,7 @@ def test_query_digest(spark):
     for r in rows:
         spans = brute(docs[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(joined(spans).encode()).hexdigest()
+        assert r.scans == 1  # of two deliveries
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[3] == k for s in spans) for k in S.BASE_KINDS]
 
 
@@ -75,7 +76,7 @@ def test_only_unseen_pairs_are_scanned(spark, docs):
     first, second = docs(TRICKY[:4]), docs(TRICKY)
     assert ledger.unseen(first).count() == 3  # null and empty are one blob
     ledger.update(first)
-    assert ledger.unseen(first).count() == 0
+    assert ledger.unseen(first) is None
     assert ledger.unseen(second).count() == 3
     ledger.update(second)
     assert ledger.scans().count() == 6
