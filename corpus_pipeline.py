@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sintonia.llm import budget_mix, exact_dedup, near_dedup, packing, quality
-from sintonia.llm.common import table, written
+from sintonia.llm.common import discard, table, written
 
 #: SQL cannot express the compression, forest, knapsack and tokenizer stages; the tests
 #: hold each stage against a brute-force version.
@@ -57,7 +57,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)  # its successor is on disk
+        before = docs
     return docs
