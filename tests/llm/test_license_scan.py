@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -79,3 +80,72 @@ def test_matching_statistics(notices, text):
     assert [(e, n) for e, n, _ in pieces] == want
     for e, n, state in pieces:
         assert sorted(set(auto.ends[state])) == sorted(inside(text[e - n + 1 : e + 1]))
+
+
+WHOLE = [(label, text) for label, text in S.NOTICES if len(text) > 700]
+
+
+@pytest.mark.parametrize("label,text", WHOLE, ids=[label for label, _ in WHOLE])
+def test_a_whole_licence_is_one_span(label, text):
+    scanner = S.Scanner()
+    n = len(S.words_of(text.encode()))
+    got = scanner.scan(f"Project notes, twelve words long or so, come first. {text.upper()} And after.".encode())
+    assert label in got["labels"].split(",") and got["score"] == 1.0
+    assert any(s["label"] == label and s["last"] - s["first"] == n - 1 for s in got["spans"])
+    # half of it, or its words shuffled, is not the licence
+    words = text.split()
+    half = scanner.scan(" ".join(words[: len(words) // 2]).encode())
+    assert not any(s["label"] == label and s["last"] - s["first"] > 0.6 * n for s in half["spans"])
+    random.Random(1).shuffle(words)
+    assert not scanner.scan(" ".join(words).encode())["spans"]
+
+
+def _longest_ends(words, notices, least):
+    """(last word, length) wherever the longest piece of a notice that ends there ends."""
+    out = []
+    for end in range(len(words)):
+        for length in range(end + 1, 0, -1):
+            piece = words[end - length + 1 : end + 1]
+            if any(piece == t[k : k + length] for t in notices for k in range(len(t) - length + 1)):
+                if length >= least:
+                    out.append((end, length, piece))
+                break
+    # a piece counts where it cannot be made longer
+    return [(e, n, p) for e, n, p in out if not any(e2 == e + 1 and n2 == n + 1 for e2, n2, _ in out)]
+
+
+def _best_cover(spans, gap, at=0, last=None):
+    """Most words that a chain of the placed pieces can cover, by trying all."""
+    best = 0
+    for k in range(at, len(spans)):
+        a, b, ta, tb = spans[k]
+        gain = b - a + 1
+        if last is not None:
+            pb, ptb = last
+            shift = max(0, pb + 1 - a, ptb + 1 - ta)
+            if not (pb < b and ptb < tb and a - pb <= gap + 1 and ta - ptb <= gap + 1 and shift <= b - a):
+                continue
+            gain -= shift
+        best = max(best, gain + _best_cover(spans, gap, k + 1, (b, tb)))
+    return best
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), max_size=14), st.lists(st.lists(st.sampled_from("abcd"), min_size=3, max_size=7), min_size=1, max_size=2))
+def test_chains_cover_what_brute_force_covers(words, notices):
+    limits = S.Limits(min_match=2, max_gap=2)
+    words, texts = [w.encode() for w in words], [[w.encode() for w in t] for t in notices]
+    automaton = S.Automaton(texts)
+    pieces = automaton.pieces(words, limits.min_match)
+    assert [(e, n) for e, n, _ in pieces] == [(e, n) for e, n, _ in _longest_ends(words, texts, limits.min_match)]
+    got = {}
+    for notice, _, _, share in S.chains(pieces, automaton, [len(t) for t in texts], limits):
+        got[notice] = max(got.get(notice, 0.0), share)
+    for k, t in enumerate(texts):
+        spans = [
+            (e - n + 1, e, p, p + n - 1)
+            for e, n, piece in _longest_ends(words, texts, limits.min_match)
+            for p in range(len(t) - n + 1)
+            if t[p : p + n] == piece
+        ]
+        assert got.get(k, 0.0) == min(1.0, _best_cover(spans, limits.max_gap) / len(t))
