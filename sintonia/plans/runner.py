@@ -145,9 +145,8 @@ def _dates(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     return {"start": cfg.start, "end": cfg.last, "dates": affected_dates(spark, cfg)}
 
 
-def _written(spark: SparkSession, cfg: PipelineConfig, root: str, schema, partitions) -> dict[str, Any]:
+def _written(spark: SparkSession, cfg: PipelineConfig, days: dict[str, Any], root: str, schema, partitions) -> dict[str, Any]:
     """Rows and channels of the layer's dates of this run, from file footers."""
-    days = _dates(spark, cfg)
     folders = [path for d in days["dates"] for _, path in date_folders(spark, root, d)]
     folders += [path for _, path in date_folders(spark, root, cfg.start, cfg.last)]
     layer = layers.footer_counts(spark, root, schema, partitions, folders=folders)
@@ -179,7 +178,7 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
     )
     silver = silver_ops.clean(bronze, canal_filter=cfg.canal, procesado_en=cfg.procesado_en, cluster_for_write=True)
     sinks.write_silver(silver, cfg.silver_root)
-    written = _written(spark, cfg, cfg.silver_root, S.SILVER, S.SILVER_PARTITIONS)
+    written = _written(spark, cfg, days, cfg.silver_root, S.SILVER, S.SILVER_PARTITIONS)
     return {**written, "excluded_null_rows": _excluded(spark, cfg, days)}
 
 
@@ -212,7 +211,7 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Any]:
         procesado_en=cfg.procesado_en,
     )
     sinks.write_gold(gold, cfg.gold_root)
-    return _written(spark, cfg, cfg.gold_root, S.GOLD, S.GOLD_PARTITIONS)
+    return _written(spark, cfg, days, cfg.gold_root, S.GOLD, S.GOLD_PARTITIONS)
 
 
 def out_of_range(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
