@@ -1,25 +1,27 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is coded byte by byte, each byte as a path of binary decisions in a Huffman tree
-of the training bytes; a byte that UTF-8 never uses ends the text.  For every decision
-several predictors, each a table of bit counts under a hashed context (two, four or six
-bytes before) and the tree node, give a probability.  A gate, made of the depth in the tree,
-the kind of byte before and whether the longest context is known, chooses the weights
-that mix them in the logistic domain.  An adaptive map from (node, probability) to
-probability is averaged in.  Weights and map start for every text from what was learned
-on training texts and are refined online, from one block of decisions to the next;
-blocks double from ``first_step`` bytes to ``step``.  A block is predicted before
-anything learns from it, so the product is a probability of the whole text, and scores
-do not depend on other texts' order.
+of the training bytes after the same last byte and kind of byte before it; a byte that
+UTF-8 never uses ends the text.  For every decision several predictors, each a table of
+bit counts under a hashed context (two, four or six bytes before) and the tree node, give a
+probability.  A gate, made of the depth in the tree, the kind of byte before and whether
+the longest context is known, chooses the weights that mix them in the logistic domain.
+An adaptive map from (gate, probability) to probability is averaged in.  Weights and map
+start for every text from what was learned on the training texts and are refined online,
+from one block of decisions to the next; blocks double from ``first_step`` bytes to
+``step``.  A block is predicted before anything learns from it, so the product is a
+probability of the whole text.  Blocks of several texts are computed together, but scores
+do not depend on other texts or their order.
 
 The tables count every training text; tasks count on their own, and their tables are
 added block by block.  Their slots grow with the square root of the training bytes, up
-to ``most_bits``.  About ``tuning`` training texts, chosen by a hash of their text, are
-first left out of the tables: on them the start weights (by Newton's method, a small job
-a round) and the map are learned, as on texts the tables have not seen; then the tables
-take them in.  A plain unigram score with add-one smoothing comes besides: words
-that may be frequent (at most ``frequent`` of them, whatever the corpus) are broadcast
-with their counts, the others meet theirs in a join, where none is frequent.
+to ``most_bits``.  Every training text also teaches the start: each half of them (by a
+hash of the text) is predicted by the other half's tables, in one pass that counts the
+decisions by gate and level of each prediction.  These counts, of a fixed size, are all
+that the start weights (by Newton's method) and the map need.  Then the halves' tables
+are added.  A plain unigram score with add-one smoothing comes besides: words that may be
+frequent (at most ``frequent`` of them, whatever the corpus) are broadcast with their
+counts, the others meet theirs in a join, where none is frequent.
 
 Defined results: a null text is empty (the end alone); a null doc_id hashes as empty
 text; repeated rows are scored each; with no training text every count is 0; further
@@ -31,7 +33,7 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
@@ -65,9 +67,7 @@ class Mixer:
     #: Bytes of the first block; blocks double up to ``step``.
     first_step: int = 512
     step: int = 4096
-    #: Training texts that start weights and map are learned on (expected number; at
-    #: most an eighth of all), rounds, and the pull towards ``first_weight``.
-    tuning: int = 2048
+    #: Newton steps for the start weights, and the pull towards ``first_weight``.
     rounds: int = 3
     pull: float = 50.0
     first_weight: float = 0.42
@@ -94,56 +94,120 @@ class Mixer:
 # ---- binary code ------------------------------------------------------------
 
 
+#: A text begins as after white space.
 _WHITE = np.zeros(256, bool)
-_WHITE[[9, 10, 11, 12, 13, 32]] = True
-_A, _B = np.array([0x9E3779B1, 0x85EBCA6B], np.uint32)
+_WHITE[[9, 10, 11, 12, 13, 32, END]] = True
+_A, _B, _NODE = np.array([0x9E3779B1, 0x85EBCA6B, 0x9E3779B1 * 0x85EBCA6B & 0xFFFFFFFF], np.uint32)
+
+#: Classes of the byte before the last: each small letter, white space or none, capitals,
+#: digits, other ASCII, continuation and leading bytes.
+_CLASSES = 32
+_CLASS = np.full(256, 29, np.uint16)
+_CLASS[ord("a") : ord("z") + 1] = np.arange(1, 27)
+_CLASS[ord("A") : ord("Z") + 1] = 27
+_CLASS[ord("0") : ord("9") + 1] = 28
+_CLASS[128:192] = 30
+_CLASS[192:] = 31
+_CLASS[_WHITE] = 0
+
+
+def before(symbols: np.ndarray) -> np.ndarray:
+    """Class of the byte before the last and the last byte, as one number below
+    ``256 * _CLASSES``, for each position from ``len(PAD)`` on."""
+    pad = len(PAD)
+    return (_CLASS[symbols[pad - 2 : -2]] << 8) + symbols[pad - 1 : -1]
 
 
 class Code:
-    """Huffman tree of 256 symbols: path of (node, bit) of each."""
-
-    def __init__(self, counts: np.ndarray):
-        heap = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
-        heapq.heapify(heap)
-        parent: dict[int, tuple[int, int]] = {}
-        new = 256
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            parent[a[2]], parent[b[2]] = (new, 0), (new, 1)
-            heapq.heappush(heap, (a[0] + b[0], new, new))
-            new += 1
-        paths = []
-        for s in range(256):
-            path, at = [], s
-            while at in parent:
-                node, bit = parent[at]
-                path.append((node - 256, bit))
-                at = node
-            paths.append(path[::-1])
-        self.size = np.array([len(p) for p in paths], np.int64)
-        self.start = np.cumsum(self.size) - self.size
-        flat = [x for p in paths for x in p]
-        self.node = np.array([n for n, _ in flat], np.uint32)
-        self.bit = np.array([b for _, b in flat], np.uint8)
-        self.depth = np.concatenate([np.arange(len(p)) for p in paths]).astype(np.uint8)
-        self.node_part = self.node * _A * _B
-
-    def decisions(self, symbols: np.ndarray, coded: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(position in ``symbols``, index into node/bit/depth) of each decision of the
-        symbols that are coded (all if not told)."""
-        size = self.size[symbols] if coded is None else self.size[symbols] * coded
+    """Huffman trees of 256 symbols: path of (node, bit) of each symbol in each tree.
+
+    Counts per symbol make one tree.  Counts per (``before``, symbol) make a tree for each
+    of the ``most_trees`` commonest ``before`` that occur ``least`` times, else the last
+    byte's tree serves, or one of all counts."""
+
+    def __init__(self, counts: np.ndarray, most_trees: int = 1024, least: int = 4096):
+        counts = np.asarray(counts)
+        self.tree_of = np.zeros(256 * _CLASSES, np.int32)
+        trees = [counts if counts.ndim == 1 else counts.sum(axis=0)]
+        if counts.ndim == 2:
+            last = counts.reshape(_CLASSES, 256, 256).sum(axis=0)
+            for byte in np.flatnonzero(last.any(axis=1)):
+                self.tree_of[byte::256] = len(trees)
+                trees.append(last[byte])
+            times = counts.sum(axis=1)
+            common = np.argsort(-times, kind="stable")[:most_trees]
+            for context in common[times[common] >= least]:
+                self.tree_of[context] = len(trees)
+                trees.append(counts[context])
+        paths = [path for tree in trees for path in huffman(tree)]
+        size = np.array([len(p) for p in paths], np.int64)
+        #: first decision and, in the last 8 bits, number of decisions
+        self.span = ((np.cumsum(size) - size) << 8 | size).astype(np.uint32)
+        #: node, bit and depth (at most 11) of each decision, in 8, 1 and 4 bits
+        self.steps = np.array([x | min(k, 11) << 9 for p in paths for k, x in enumerate(p)], np.uint16)
+
+    @property
+    def size(self) -> np.ndarray:
+        return self.span & 255
+
+    @property
+    def node_part(self) -> np.ndarray:
+        return node_parts(self.steps)
+
+    @property
+    def bit(self) -> np.ndarray:
+        return (self.steps >> 8 & 1).astype(np.uint8)
+
+    def decisions(self, symbols: np.ndarray, coded: np.ndarray | None = None, context: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``symbols``, index into steps) of each decision of the symbols that
+        are coded (all if not told), in the trees of ``context`` (the first if not told)."""
+        span = self.span.take(symbols if context is None else (self.tree_of.take(context) << 8) + symbols).astype(np.int64)
+        size = span & 255
+        if coded is not None:
+            size *= coded
+        shift = (span >> 8) - np.cumsum(size) + size
         at = np.repeat(np.arange(len(symbols)), size)
-        ends = np.cumsum(size)
-        return at, np.arange(len(at)) + np.repeat(self.start[symbols] - ends + size, size)
+        path = shift.take(at)
+        path += np.arange(len(at))
+        return at, path
+
 
+def huffman(counts: np.ndarray) -> list[list[int]]:
+    """The path of each symbol: node | bit << 8 of each decision."""
+    heap = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
+    heapq.heapify(heap)
+    children = []
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        new = 256 + len(children)
+        children.append((a[2], b[2]))
+        heapq.heappush(heap, (a[0] + b[0], new, new))
+    paths: list[list[int]] = [[] for _ in range(256 + len(children))]
+    for node in range(len(children) - 1, -1, -1):
+        for bit, child in enumerate(children[node]):
+            paths[child] = [*paths[256 + node], node | bit << 8]
+    return paths[:256]
 
 
+def node_parts(steps: np.ndarray) -> np.ndarray:
+    return (steps & 255).astype(np.uint32) * _NODE
+
 
 def padded(texts: list[bytes]) -> np.ndarray:
     """The texts as symbols, each between ``PAD`` ends and its own end."""
     return np.frombuffer(b"".join(PAD + t + BYTE_KEY for t in texts), np.uint8)
 
 
+def not_pads(sizes: list[int]) -> np.ndarray:
+    """Which positions from ``len(PAD)`` on are not in the pads before parts of these
+    sizes, all joined."""
+    coded = np.ones(sum(sizes) + len(PAD) * (len(sizes) - 1), bool)
+    ends = np.cumsum([n + len(PAD) for n in sizes[:-1]], dtype=np.int64)
+    for k in range(len(PAD)):  # the pads of all but the first part
+        coded[ends - len(PAD) + k] = False
+    return coded
+
+
 def contexts(symbols: np.ndarray, orders: tuple[int, ...]) -> list[np.ndarray]:
     """A 32-bit hash of the ``order`` symbols before each position from ``len(PAD)``
     on, for even orders of up to ``len(PAD)``: pairs of symbols, mixed one by one."""
@@ -185,18 +249,15 @@ def count_tables(texts: list[bytes], code: Code, how: Mixer, tables: np.ndarray)
     if not texts:
         return
     symbols = padded(texts)
-    coded = np.ones(len(symbols) - len(PAD), bool)
-    ends = np.cumsum([len(t) + 1 + len(PAD) for t in texts[:-1]], dtype=np.int64)
-    for k in range(len(PAD)):  # the pads of all but the first text
-        coded[ends - len(PAD) + k] = False
-    _count(symbols, coded, code, how, tables)
+    _count(symbols, not_pads([len(t) + 1 for t in texts]), code, how, tables)
 
 
 def _count(symbols: np.ndarray, coded: np.ndarray, code: Code, how: Mixer, tables: np.ndarray) -> None:
-    at, path = code.decisions(symbols[len(PAD) :], coded)
-    part, bit = code.node_part[path], code.bit[path]
+    at, path = code.decisions(symbols[len(PAD) :], coded, before(symbols))
+    steps = code.steps.take(path)
+    part, bit = node_parts(steps), (steps >> 8 & 1).astype(np.uint32)
     for k, c in enumerate(contexts(symbols, how.orders)):
-        cell = slots_of(c[at], part, how.slot_bits)
+        cell = slots_of(c.take(at), part, how.slot_bits)
         cell <<= np.uint32(1)
         cell |= bit
         np.add.at(tables[k], cell.astype(np.int64), tables.dtype.type(1))
@@ -218,6 +279,22 @@ def stretched(counts: np.ndarray) -> np.ndarray:
 _KINDS = 24  # 12 depths, after white space or not
 _GATES = 2 * _KINDS
 
+#: Bytes of several texts that are predicted together.
+_TOGETHER = 1 << 14
+
+#: For learning, stretched probabilities are cut into levels on either side of 0: their
+#: greatest values and middles.
+_TOPS = np.array([0, 2, 5, 9, 14, 21, 30, 43, 60, 85, 127])
+_MIDDLES = np.array([0, 1.5, 4, 7.5, 12, 18, 25.5, 36.5, 51.5, 72.5, 105.5])
+_SIDE = len(_TOPS) - 1
+_WIDTH = 2 * _SIDE + 1
+
+
+def levels(stretch: np.ndarray) -> np.ndarray:
+    every = np.arange(-128, 128)
+    level = np.sign(every) * np.searchsorted(_TOPS, np.minimum(np.abs(every), 127))
+    return np.roll(level, 128).astype(np.int8)[stretch.view(np.uint8)]
+
 
 @dataclass
 class Start:
@@ -229,96 +306,173 @@ class Start:
 
     @staticmethod
     def plain(how: Mixer) -> Start:
-        cells = 256 * how.map_steps
+        cells = _GATES * how.map_steps
         weights = np.full((len(how.orders), _GATES), how.first_weight, np.float32)
         return Start(weights, np.zeros(cells, np.float32), np.zeros(cells, np.float32))
 
 
+def mix(weights: np.ndarray, x: np.ndarray, gate: np.ndarray, how: Mixer) -> tuple[np.ndarray, np.ndarray]:
+    """(probability of a one, cell of the map) of each decision."""
+    mixed = weights[0].take(gate, mode="clip")
+    mixed *= x[0]
+    for w, row in zip(weights[1:], x[1:]):
+        more = w.take(gate, mode="clip")
+        more *= row
+        mixed += more
+    np.clip(mixed, -8, 8, out=mixed)
+    steps = (how.map_steps - 1) / 16
+    cell = gate * how.map_steps
+    cell += (mixed * mixed.dtype.type(steps) + mixed.dtype.type(8 * steps + 0.5)).astype(np.int64)
+    np.negative(mixed, out=mixed)
+    np.exp(mixed, out=mixed)
+    mixed += 1
+    return np.reciprocal(mixed, out=mixed), cell
+
+
 class Model:
     def __init__(self, code: Code, stretch: np.ndarray, how: Mixer, start: Start | None = None):
         self.code, self.stretch, self.how = code, stretch, how
         self.start = start or Start.plain(how)
-        self.depth_gate = 2 * np.minimum(code.depth, 11).astype(np.int64)
-        self.node_row = code.node.astype(np.int64) * how.map_steps
-        self.bit = code.bit.astype(np.float32)
-
-    def _inputs(self, whole: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(path, bits, stretched predictions per context, gate) of the decisions of
-        bytes ``a`` to ``b``."""
-        at, path = self.code.decisions(whole[a + len(PAD) : b + len(PAD)])
-        part = self.code.node_part[path]
-        x = np.empty((len(self.how.orders), len(at)), np.float32)
-        for i, h in enumerate(contexts(whole[a : b + len(PAD)], self.how.orders)):
-            x[i] = self.stretch[i].take(slots_of(h[at], part, self.how.slot_bits), mode="clip")
-        gate = self.depth_gate[path]
-        gate += _KINDS * (x[-1] == 0)  # the longest context says nothing
-        x *= np.float32(1 / _FINE)
-        # the byte before; a text begins as after white space
-        before = _WHITE[whole[a + len(PAD) - 1 : b + len(PAD) - 1]].astype(np.int64)
-        before[0] |= a == 0
-        gate += before[at]
-        return path, self.bit[path], x, gate
-
-    def _mix(self, weights: np.ndarray, path: np.ndarray, x: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probability of a one, cell of the map) of each decision."""
-        mixed = weights[0].take(gate)
-        mixed *= x[0]
-        for w, row in zip(weights[1:], x[1:]):
-            more = w.take(gate)
-            more *= row
-            mixed += more
-        np.clip(mixed, -8, 8, out=mixed)
-        p = 1 / (1 + np.exp(-mixed))
-        mixed += np.float32(8)
-        mixed *= np.float32((self.how.map_steps - 1) / 16)
-        return p, self.node_row[path] + np.rint(mixed).astype(np.int64)
+
+    def _inputs(self, parts: list[np.ndarray], tables: np.ndarray, apart: int = _GATES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(position, bit, what ``tables`` hold per context, gate) of the decisions of
+        ``parts`` of texts, each after its pad or the bytes before; a gate is ``apart``
+        times the part's number more."""
+        symbols = np.concatenate(parts) if len(parts) > 1 else parts[0]
+        sizes = [len(p) - len(PAD) for p in parts]
+        at, path = self.code.decisions(symbols[len(PAD) :], not_pads(sizes) if len(parts) > 1 else None, before(symbols))
+        steps = self.code.steps.take(path)
+        part = node_parts(steps)
+        found = np.empty((len(self.how.orders), len(at)), np.int8)
+        for row, values, h in zip(found, tables, contexts(symbols, self.how.orders)):
+            values.take(slots_of(h.take(at), part, self.how.slot_bits), mode="clip", out=row)
+        owner = np.repeat(np.arange(len(parts)) * apart, [n + len(PAD) for n in sizes])[: len(symbols) - len(PAD)]
+        owner += _WHITE[symbols[len(PAD) - 1 : -1]]
+        gate = owner.take(at)
+        gate += steps >> 8 & 30  # twice the depth
+        gate += (found[-1] == 0) * np.int64(_KINDS)  # the longest context says nothing
+        return at, steps >> 8 & 1, found, gate
 
     def log10(self, text: bytes) -> float:
         """log10 probability of the text and its end."""
-        how = self.how
-        whole = padded([text])
-        size = len(whole) - len(PAD)
-        weights, seen, ones = self.start.weights.copy(), self.start.seen.copy(), self.start.ones.copy()
-        total, a, step = 0.0, 0, how.first_step
-        while a < size:
-            b = min(size, a + step)
-            path, y, x, gate = self._inputs(whole, a, b)
-            p, cell = self._mix(weights, path, x, gate)
-            # the map's say: p + map_share * (ones - seen * p) / (seen + map_prior)
-            pull = how.map_share / (seen + how.map_prior)
-            final = p * (1 - pull * seen).take(cell)
-            final += (pull * ones).take(cell)
-            total += float(np.log(np.abs(final + (y - 1))).sum(dtype=np.float64))
-            if b < size:
-                error = y - p
-                pace = how.rate / np.maximum(np.bincount(gate, minlength=_GATES), 64)
-                for i, row in enumerate(x):
-                    weights[i] += pace * np.bincount(gate, weights=error * row, minlength=_GATES)
-                zero, one = bits_by_cell(cell, y, len(seen))
-                seen += zero + one
-                ones += one
-            a, step = b, min(2 * step, how.step)
-        return total / math.log(10)
+        return self.log10s([text])[0]
 
-    def slopes(self, texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Sums over all decisions of ``texts`` by the start weights: per gate the
-        gradient and the upper half of the curvature; zeros and ones per map cell."""
-        how, n = self.how, len(self.how.orders)
-        pairs = [(i, j) for i in range(n) for j in range(i, n)]
-        sums = np.zeros((n + len(pairs), _GATES))
-        cells = np.zeros((2, 256 * how.map_steps), np.int64)
+    def log10s(self, texts: list[bytes]) -> list[float]:
+        """log10 probability of each text and its end; blocks of several texts are
+        predicted together, each with its own text's weights and map."""
+        how = self.how
+        whole = [padded([t]) for t in texts]
+        state = [np.repeat(v[None], len(texts), axis=0) for v in (self.start.weights, self.start.seen, self.start.ones)]
+        totals, at, step = np.zeros(len(texts)), [0] * len(texts), [how.first_step] * len(texts)
+        waiting: tuple[deque[int], deque[int]] = deque(), deque()  # whether the next block is the last
+
+        def left(k: int) -> int:
+            return len(whole[k]) - len(PAD) - at[k]
+
+        for k in range(len(texts)):
+            waiting[left(k) <= step[k]].append(k)
+        while waiting[0] or waiting[1]:
+            last = not waiting[0]
+            queue, some, size = waiting[last], [], 0
+            while queue and (not some or size + min(left(queue[0]), step[queue[0]]) <= _TOGETHER):
+                some.append(queue.popleft())
+                size += min(left(some[-1]), step[some[-1]])
+            totals[some] += self._block([whole[k][at[k] : at[k] + step[k] + len(PAD)] for k in some], some, state, not last)
+            for k in [] if last else some:
+                at[k], step[k] = at[k] + step[k], min(2 * step[k], how.step)
+                waiting[left(k) <= step[k]].append(k)
+        return (totals / math.log(10)).tolist()
+
+    def _block(self, parts: list[np.ndarray], owners: list[int], state: list[np.ndarray], refine: bool) -> np.ndarray:
+        """Sum of ln probability of each part; its owner's ``state`` learns from it."""
+        how, n = self.how, len(parts)
+        weights, seen, ones = (v[owners] for v in state)
+        at, y, found, gate = self._inputs(parts, self.stretch)
+        x = found.astype(np.float32)
+        p, cell = mix((weights.transpose(1, 0, 2) * np.float32(1 / _FINE)).reshape(len(how.orders), -1), x, gate, how)
+        # the map's say: p + map_share * (ones - seen * p) / (seen + map_prior)
+        pull = how.map_share / (seen + how.map_prior)
+        final = p * (1 - pull * seen).take(cell, mode="clip")
+        final += (pull * ones).take(cell, mode="clip")
+        y = y.astype(np.float32)
+        final += y
+        final -= 1
+        np.log(np.abs(final, out=final), out=final)
+        begins = np.cumsum([0, *(len(part) for part in parts[:-1])])
+        totals = np.add.reduceat(final, np.searchsorted(at, begins), dtype=np.float64)
+        if refine:
+            error = y - p
+            pace = how.rate / _FINE / np.maximum(np.bincount(gate, minlength=n * _GATES), 64)
+            for i, row in enumerate(x):
+                row *= error
+                weights[:, i] += (pace * np.bincount(gate, weights=row, minlength=n * _GATES)).reshape(n, -1)
+            zero, one = bits_by_cell(cell, y, seen.size)
+            seen += (zero + one).reshape(n, -1)
+            ones += one.reshape(n, -1)
+            for v, new in zip(state, (weights, seen, ones)):
+                v[owners] = new
+        return totals
+
+    def add_joint(self, texts: Iterable[bytes], joint: np.ndarray, table: np.ndarray | None = None) -> None:
+        """Add the decisions of ``texts`` to ``joint``, numbers of each (gate, level per
+        context, bit); ``table``: the levels, if they were made before."""
+        table = levels(self.stretch) if table is None else table
+
+        def add(parts: list[np.ndarray]) -> None:
+            _, y, found, gate = self._inputs(parts, table, 0)
+            cell = np.zeros(len(y), np.int32)
+            for row in found:
+                cell *= _WIDTH
+                cell += row.astype(np.int32) + _SIDE
+            cell <<= 1
+            cell += y
+            gate *= 2 * _WIDTH ** len(found)
+            gate += cell
+            np.add.at(joint, gate, joint.dtype.type(1))
+
+        held, size = [], 0
         for text in texts:
             whole = padded([text])
-            for a in range(0, len(whole) - len(PAD), how.step):
-                path, y, x, gate = self._inputs(whole, a, min(len(whole) - len(PAD), a + how.step))
-                p, cell = self._mix(self.start.weights, path, x, gate)
-                terms = [(y - p) * row for row in x]
-                bend = p * (1 - p)
-                terms += [bend * x[i] * x[j] for i, j in pairs]
-                for total, term in zip(sums, terms):
-                    total += np.bincount(gate, weights=term, minlength=_GATES)
-                cells += bits_by_cell(cell, y, cells.shape[1])
-        return sums, cells
+            for at in range(0, len(whole) - len(PAD), _TOGETHER):
+                held.append(whole[at : at + _TOGETHER + len(PAD)])
+                size += len(held[-1])
+                if size > _TOGETHER:
+                    add(held)
+                    held, size = [], 0
+        if held:
+            add(held)
+
+    def slopes(self, texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``slopes_of`` the decisions of ``texts`` by the start weights."""
+        joint = empty_joint(self.how)
+        self.add_joint(texts, joint)
+        return slopes_of(joint, self.start, self.how)
+
+
+def empty_joint(how: Mixer) -> np.ndarray:
+    return np.zeros(2 * _GATES * _WIDTH ** len(how.orders), np.int64)
+
+
+def slopes_of(joint: np.ndarray, start: Start, how: Mixer) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all decisions in ``joint`` by the weights of ``start``: per gate the
+    gradient and the upper half of the curvature; zeros and ones per map cell."""
+    n = len(how.orders)
+    times = joint.reshape(-1, 2)
+    found = np.flatnonzero(times.any(axis=1))
+    times, rest = times[found].astype(np.float64), found
+    x = np.empty((n, len(found)))
+    for i in range(n - 1, -1, -1):
+        rest, level = np.divmod(rest, _WIDTH)
+        level -= _SIDE
+        x[i] = np.sign(level) * _MIDDLES[np.abs(level)] / _FINE
+    p, cell = mix(start.weights.astype(np.float64), x, rest, how)
+    both = times.sum(axis=1)
+    error, bend = times[:, 1] - both * p, both * p * (1 - p)
+    terms = [error * row for row in x] + [bend * x[i] * x[j] for i in range(n) for j in range(i, n)]
+    sums = np.array([np.bincount(rest, weights=term, minlength=_GATES) for term in terms])
+    size = _GATES * how.map_steps
+    cells = np.array([np.bincount(cell, weights=t, minlength=size) for t in times.T]).astype(np.int64)
+    return sums, cells
 
 
 def bits_by_cell(cell: np.ndarray, y: np.ndarray, cells: int) -> np.ndarray:
@@ -327,7 +481,7 @@ def bits_by_cell(cell: np.ndarray, y: np.ndarray, cells: int) -> np.ndarray:
 
 
 def newton_step(start: Start, sums: np.ndarray, cells: np.ndarray, how: Mixer) -> Start:
-    """The start after one round over the tuning texts."""
+    """The start after one step."""
     n = len(how.orders)
     weights = start.weights.astype(np.float64)
     for gate in range(_GATES):
@@ -364,27 +518,34 @@ def _texts(batch: pa.RecordBatch, column: int = 0) -> list[bytes]:
     return [t.encode() for t in batch.column(column).to_pylist()]
 
 
+def count_bytes(text: bytes, values: np.ndarray) -> None:
+    """Add the text's (``before``, byte) to ``values``; a long text by pieces."""
+    symbols = np.frombuffer(PAD + text + BYTE_KEY, np.uint8)
+    for at in range(0, len(symbols) - len(PAD), _LONG):
+        part = symbols[at : at + _LONG + len(PAD)]
+        np.add.at(values, (before(part).astype(np.int64) << 8) + part[len(PAD) :], 1)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``word, n``: words, the end (empty) and bytes of ``texts(text)``."""
+    """``word, n``: words, the end (empty) and (``before``, byte) of ``texts(text)``, the
+    latter as a key of ``BYTE_KEY`` and three bytes."""
 
-    def rows(counts: Counter, values: np.ndarray) -> pa.RecordBatch:
-        keys = [*counts, *(BYTE_KEY + bytes([k]) for k in np.flatnonzero(values))]
-        ns = [*counts.values(), *values[values > 0].tolist()]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ns, pa.int64())], names=["word", "n"])
+    def rows(words: Iterable[bytes], ns: Iterable[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(ns, pa.int64())], names=["word", "n"])
 
     def run(batches):
         counts: Counter[bytes] = Counter()
-        values = np.zeros(256, np.int64)
+        values = np.zeros(_CLASSES << 16, np.int64)
         for batch in _slices(batches):
             for text in _texts(batch):
                 counts.update(words_of(text))
                 counts[b""] += 1
-                values += np.bincount(np.frombuffer(text, np.uint8), minlength=256)
-                values[END] += 1
+                count_bytes(text, values)
                 if len(counts) > 200_000:
-                    yield rows(counts, values)
-                    counts, values = Counter(), np.zeros(256, np.int64)
-        yield rows(counts, values)
+                    yield rows(list(counts), list(counts.values()))
+                    counts = Counter()
+        found = np.flatnonzero(values)
+        yield rows([*counts, *(BYTE_KEY + k.to_bytes(3) for k in found.tolist())], [*counts.values(), *values[found].tolist()])
 
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -457,49 +618,56 @@ def stretch_of(blocks: DataFrame, how: Mixer) -> np.ndarray:
     return out.reshape(len(how.orders), -1)
 
 
-def learned_start(texts: DataFrame, model: Model) -> Start:
-    """Start weights and map learned on ``texts(text)``, which ``model``'s tables have
-    not counted: a job a round, each task sends its sums."""
-    how, start = model.how, model.start
-    shape = (len(how.orders) * (len(how.orders) + 3) // 2, _GATES)
+def joint_blocks(texts: DataFrame, model: Model) -> DataFrame:
+    """``block, counts``: ``Model.add_joint`` of ``texts(text)`` in packed blocks; a row
+    per task and block, to be added."""
+    sent = texts.sparkSession.sparkContext.broadcast(Model(model.code, levels(model.stretch), model.how))
 
-    def sums(sent):
-        def run(batches):
-            model = sent.value
-            slopes, cells, some = np.zeros(shape), np.zeros((2, 256 * how.map_steps), np.int64), False
-            for batch in _slices(batches):
-                s, c = model.slopes(_texts(batch))
-                slopes, cells, some = slopes + s, cells + c, some or batch.num_rows > 0
-            if some:
-                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (slopes, cells)], names=["slopes", "cells"])
+    def run(batches):
+        model, joint = sent.value, None
+        for batch in _slices(batches):
+            if batch.num_rows:
+                joint = empty_joint(model.how) if joint is None else joint
+                model.add_joint(_texts(batch), joint, model.stretch)
+        if joint is not None:
+            packed = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in joint.reshape(_GATES, -1)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_GATES), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
-        return run
+    return texts.mapInArrow(run, _BLOCK)
 
+
+def learned_start(texts: DataFrame, model: Model, *more: tuple[DataFrame, Model]) -> Start:
+    """Start weights and map learned on all ``texts(text)``, which ``model``'s tables have
+    not counted, and on ``more`` such pairs.  One pass counts the decisions by gate and
+    levels; the steps need no more than these numbers, of a fixed size."""
+    how, start = model.how, model.start
+    blocks = joint_blocks(texts, model)
+    for part, other in more:
+        blocks = blocks.unionAll(joint_blocks(part, other))
+    rows = added(blocks).collect()  # at most _GATES rows
+    if not rows:
+        return start
+    joint = empty_joint(how).reshape(_GATES, -1)
+    for r in rows:
+        joint[r.block] = np.frombuffer(zlib.decompress(r.counts), "<i8")
     for _ in range(how.rounds):
-        sent = texts.sparkSession.sparkContext.broadcast(Model(model.code, model.stretch, how, start))
-        rows = texts.mapInArrow(sums(sent), "slopes binary, cells binary").collect()  # at most a row per file of the bounded table
-        sent.unpersist()
-        if not rows:
-            break
-        slopes = np.sum([np.frombuffer(r.slopes, np.float64) for r in rows], axis=0).reshape(shape)
-        cells = np.sum([np.frombuffer(r.cells, np.int64) for r in rows], axis=0).reshape(2, -1)
-        start = newton_step(start, slopes, cells, how)
+        start = newton_step(start, *slopes_of(joint.reshape(-1), start, how), how)
     return start
 
 
 def trained(training: DataFrame, code: Code, how: Mixer, n_texts: int) -> Model:
-    """The model of ``training(text)``, ``n_texts`` rows."""
-    share = min(1 / 8, how.tuning / max(1, n_texts))
-    place = F.xxhash64("text").bitwiseAND(0x7FFFFFFF)
-    chosen = place < int(share * (1 << 31))
-    spread = training.where(chosen).repartition(32, place).sortWithinPartitions(place)
-    tuning = written(spread, "tuning")
-    first = written(added(table_blocks(training.where(~chosen), code, how)), "tables")
-    start = learned_start(tuning, Model(code, stretch_of(first, how), how))
-    whole = added(first.unionAll(table_blocks(tuning, code, how)))
-    model = Model(code, stretch_of(whole, how), how, start)
-    discard(first)
-    discard(tuning)
+    """The model of ``training(text)``, ``n_texts`` rows: each half of it teaches the start
+    through the other half's tables, both halves make the tables."""
+    if not n_texts:
+        return Model(code, np.zeros((len(how.orders), how.slots), np.int8), how)
+    odd = F.xxhash64("text").bitwiseAND(1) == 1
+    halves = [training.where(odd), training.where(~odd)]
+    tables = [written(added(table_blocks(half, code, how)), "tables") for half in halves]
+    one, other = (Model(code, stretch_of(t, how), how) for t in tables)
+    start = learned_start(halves[0], other, (halves[1], one))
+    model = Model(code, stretch_of(added(tables[0].unionAll(tables[1])), how), how, start)
+    for t in tables:
+        discard(t)
     return model
 
 
@@ -511,14 +679,14 @@ def score(docs: DataFrame, how: Mixer = Mixer()) -> DataFrame:
     training = docs.where("NOT held_out").select("text")
     counts = written(word_counts(training), "counts")
     is_byte = F.substring("word", 1, 1) == F.lit(BYTE_KEY)
-    values = np.zeros(256, np.int64)
-    for r in counts.where(is_byte).collect():  # 256 rows at most
-        values[r.word[1]] = r.n
+    values = np.zeros((256 * _CLASSES, 256), np.int64)
+    got = counts.where(is_byte).toArrow()  # 2 ** 21 rows at most
+    values.reshape(-1)[[int.from_bytes(k[1:]) for k in got.column("word").to_pylist()]] = got.column("n")
     counts = counts.where(~is_byte)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     rest = math.log10(total + distinct + 1)
     often = counts.where(F.col("n") * how.frequent > total).toArrow()  # fewer than how.frequent rows
-    model = trained(training, Code(values), how.sized(int(values.sum())), int(values[END]))
+    model = trained(training, Code(values), how.sized(int(values.sum())), int(values[:, END].sum()))
     known = {w: math.log10(n + 1) - rest for w, n in zip(often.column("word").to_pylist(), often.column("n").to_pylist())}
     sent = spark.sparkContext.broadcast((model, known))
     fields = "held_out boolean, n_tokens long, n_often long, often_score double, score double, n_bytes long, words array<binary>, times array<int>"
@@ -528,8 +696,8 @@ def score(docs: DataFrame, how: Mixer = Mixer()) -> DataFrame:
     def run(batches):
         model, known = sent.value
         for batch in _slices(batches):
-            rows = []
-            for text in _texts(batch, 1):
+            rows, texts = [], _texts(batch, 1)
+            for text, log10 in zip(texts, model.log10s(texts)):
                 words = Counter(words_of(text))
                 words[b""] += 1
                 own = [(w, n, known.get(w)) for w, n in words.items()]
@@ -540,7 +708,7 @@ def score(docs: DataFrame, how: Mixer = Mixer()) -> DataFrame:
                         sum(words.values()),
                         sum(n for n, _ in often),
                         math.fsum(n * s for n, s in often),
-                        model.log10(text),
+                        log10,
                         len(text),
                         rare,
                         [words[w] for w in rare],

@@ -183,3 +183,59 @@ def test_long_texts_are_counted_by_pieces_and_scored_in_bounded_memory(monkeypat
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 400 << 20
+
+
+def bytes_counted(texts):
+    values = np.zeros((256 * M._CLASSES, 256), np.int64)
+    for t in texts:
+        M.count_bytes(t, values.reshape(-1))
+    return values
+
+
+def test_start_is_learned_on_every_training_text(spark, sample, monkeypatch):
+    texts = [r.text.encode() for r in sample.limit(200).collect()]
+    values = bytes_counted(texts)
+    code, cells, step = M.Code(values, most_trees=8, least=100), [], M.newton_step
+    monkeypatch.setattr(M, "newton_step", lambda start, sums, c, how: cells.append(c) or step(start, sums, c, how))
+    frame = spark.createDataFrame([(t.decode(),) for t in texts], "text string").repartition(3)
+    m = M.trained(frame, code, SMALL, len(texts))
+    size = [code.size[(code.tree_of[M.before(s)] << 8) + s[8:]].sum() for s in (M.padded([t]) for t in texts)]
+    assert [int(c.sum()) for c in cells] == [int(sum(size))] * SMALL.rounds
+    whole = np.zeros((len(SMALL.orders), 2 * SMALL.slots), np.uint32)
+    M.count_tables(texts, code, SMALL, whole)
+    assert (m.stretch == M.stretched(whole)).all()
+    # a text and its copies are in one half: none is predicted by tables that hold it
+    again = M.trained(spark.createDataFrame([(texts[0].decode(),)] * 50, "text string"), code, SMALL, 50)
+    assert again.start.weights == pytest.approx(M.Start.plain(SMALL).weights, abs=1e-3)
+
+
+def test_trees_follow_the_bytes_before():
+    texts = [b"the cat sat on the mat " * 40, "é 日本 A1".encode() * 30, b""]
+    values = bytes_counted(texts)
+    assert values.sum() == sum(len(t) + 1 for t in texts)
+    code = M.Code(values, most_trees=3, least=20)
+    assert code.tree_of.max() == np.count_nonzero(values.reshape(M._CLASSES, 256, 256).sum(axis=(0, 2))) + 3
+    for tree in range(code.tree_of.max() + 1):
+        assert sum(2.0 ** -int(s) for s in code.size[256 * tree : 256 * tree + 256]) == pytest.approx(1)
+    flat = M.Code(values.sum(axis=0))
+    for t in texts:
+        s = M.padded([t])
+        context, k = M.before(s), 0
+        at, path = code.decisions(s[8:], None, context)
+        for i in range(len(t) + 1):
+            key = 256 * int(code.tree_of[int(M._CLASS[s[i + 6]]) * 256 + int(s[i + 7])]) + int(s[i + 8])
+            start, n = int(code.span[key] >> 8), int(code.size[key])
+            assert path[k : k + n].tolist() == list(range(start, start + n)) and (at[k : k + n] == i).all()
+            k += n
+        assert k == len(at) and (not t or len(at) < len(flat.decisions(s[8:])[0]))
+
+
+def test_texts_are_scored_alike_alone_and_together(sample):
+    texts = [r.text.encode() for r in sample.limit(60).collect()] + [b"", b"x" * 30_000, b"", "é".encode()]
+    code = M.Code(bytes_counted(texts[:30]), most_trees=8, least=100)
+    tables = np.zeros((len(SMALL.orders), 2 * SMALL.slots), np.uint32)
+    M.count_tables(texts[:30], code, SMALL, tables)
+    m = M.Model(code, M.stretched(tables), SMALL)
+    together = m.log10s(texts)
+    assert [m.log10(t) for t in texts] == together
+    assert m.log10s(texts[::-1])[::-1] == together
