@@ -36,6 +36,7 @@ import zlib
 from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -280,12 +281,12 @@ _KINDS = 24  # 12 depths, after white space or not
 _GATES = 2 * _KINDS
 
 #: Bytes of several texts that are predicted together.
-_TOGETHER = 1 << 14
+_TOGETHER = 1 << 15
 
 #: For learning, stretched probabilities are cut into levels on either side of 0: their
 #: greatest values and middles.
-_TOPS = np.array([0, 2, 5, 9, 14, 21, 30, 43, 60, 85, 127])
-_MIDDLES = np.array([0, 1.5, 4, 7.5, 12, 18, 25.5, 36.5, 51.5, 72.5, 105.5])
+_TOPS = np.array([0, 2, 6, 11, 18, 28, 43, 68, 127])
+_MIDDLES = np.array([0, 1.5, 4.5, 9, 15, 23.5, 36, 56, 98])
 _SIDE = len(_TOPS) - 1
 _WIDTH = 2 * _SIDE + 1
 
@@ -450,7 +451,7 @@ class Model:
 
 
 def empty_joint(how: Mixer) -> np.ndarray:
-    return np.zeros(2 * _GATES * _WIDTH ** len(how.orders), np.int64)
+    return np.zeros(2 * _GATES * _WIDTH ** len(how.orders), np.uint32)
 
 
 def slopes_of(joint: np.ndarray, start: Start, how: Mixer) -> tuple[np.ndarray, np.ndarray]:
@@ -515,7 +516,7 @@ def _slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
 
 
 def _texts(batch: pa.RecordBatch, column: int = 0) -> list[bytes]:
-    return [t.encode() for t in batch.column(column).to_pylist()]
+    return batch.column(column).cast(pa.binary()).to_pylist()
 
 
 def count_bytes(text: bytes, values: np.ndarray) -> None:
@@ -624,13 +625,18 @@ def joint_blocks(texts: DataFrame, model: Model) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast(Model(model.code, levels(model.stretch), model.how))
 
     def run(batches):
-        model, joint = sent.value, None
+        model = sent.value
+        total, size = np.int64(0), 0
+        joint = empty_joint(model.how)
         for batch in _slices(batches):
-            if batch.num_rows:
-                joint = empty_joint(model.how) if joint is None else joint
-                model.add_joint(_texts(batch), joint, model.stretch)
-        if joint is not None:
-            packed = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in joint.reshape(_GATES, -1)]
+            for text in (texts := _texts(batch)):
+                size += len(text) + 1
+            model.add_joint(texts, joint, model.stretch)
+            if size > 1 << 26:  # numbers stay within 32 bits
+                total, size, joint = total + joint.astype(np.int64), 0, empty_joint(model.how)
+        total = total + joint.astype(np.int64)
+        if total.any():
+            packed = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in total.reshape(_GATES, -1)]
             yield pa.RecordBatch.from_arrays([pa.array(range(_GATES), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
     return texts.mapInArrow(run, _BLOCK)
@@ -647,7 +653,7 @@ def learned_start(texts: DataFrame, model: Model, *more: tuple[DataFrame, Model]
     rows = added(blocks).collect()  # at most _GATES rows
     if not rows:
         return start
-    joint = empty_joint(how).reshape(_GATES, -1)
+    joint = empty_joint(how).astype(np.int64).reshape(_GATES, -1)
     for r in rows:
         joint[r.block] = np.frombuffer(zlib.decompress(r.counts), "<i8")
     for _ in range(how.rounds):
@@ -700,18 +706,18 @@ def score(docs: DataFrame, how: Mixer = Mixer()) -> DataFrame:
             for text, log10 in zip(texts, model.log10s(texts)):
                 words = Counter(words_of(text))
                 words[b""] += 1
-                own = [(w, n, known.get(w)) for w, n in words.items()]
-                often = [(n, s) for _, n, s in own if s is not None]
-                rare = [w for w, _, s in own if s is None]
+                scores = list(map(known.get, words, repeat(0.0)))  # 0 for the rare alone
+                rare = [w for w, s in zip(words, scores) if not s]
+                times = [words[w] for w in rare]
                 rows.append(
                     (
-                        sum(words.values()),
-                        sum(n for n, _ in often),
-                        math.fsum(n * s for n, s in often),
+                        words.total(),
+                        words.total() - sum(times),
+                        math.sumprod(words.values(), scores),
                         log10,
                         len(text),
                         rare,
-                        [words[w] for w in rare],
+                        times,
                     )
                 )
             made = [pa.array(c, t) for c, t in zip(zip(*rows), arrow)] if rows else [pa.array([], t) for t in arrow]
