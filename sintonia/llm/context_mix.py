@@ -112,11 +112,16 @@ _CLASS[192:] = 31
 _CLASS[_WHITE] = 0
 
 
+def taken(values: np.ndarray, index: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """``values[index]``, quicker where every index is known to exist."""
+    return values.take(index, mode="clip", out=out)
+
+
 def before(symbols: np.ndarray) -> np.ndarray:
     """Class of the byte before the last and the last byte, as one number below
     ``256 * _CLASSES``, for each position from ``len(PAD)`` on."""
     pad = len(PAD)
-    return (_CLASS[symbols[pad - 2 : -2]] << 8) + symbols[pad - 1 : -1]
+    return (taken(_CLASS, symbols[pad - 2 : -2]) << 8) + symbols[pad - 1 : -1]
 
 
 class Code:
@@ -162,13 +167,13 @@ class Code:
     def decisions(self, symbols: np.ndarray, coded: np.ndarray | None = None, context: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(position in ``symbols``, index into steps) of each decision of the symbols that
         are coded (all if not told), in the trees of ``context`` (the first if not told)."""
-        span = self.span.take(symbols if context is None else (self.tree_of.take(context) << 8) + symbols).astype(np.int64)
+        span = taken(self.span, symbols if context is None else (taken(self.tree_of, context) << 8) + symbols).astype(np.int64)
         size = span & 255
         if coded is not None:
             size *= coded
         shift = (span >> 8) - np.cumsum(size) + size
         at = np.repeat(np.arange(len(symbols)), size)
-        path = shift.take(at)
+        path = taken(shift, at)
         path += np.arange(len(at))
         return at, path
 
@@ -233,9 +238,9 @@ def slots_of(context: np.ndarray, node_part: np.ndarray, bits: int) -> np.ndarra
 # ---- training ---------------------------------------------------------------
 
 
-#: Bytes that are counted at a time; what they need stays in the processor's cache.
-_PIECE = 1 << 14
-_LONG = 4 * _PIECE
+#: Bytes that are counted at a time: enough that single calls cost little beside them.
+_PIECE = 1 << 16
+_LONG = _PIECE
 
 
 def count_tables(texts: list[bytes], code: Code, how: Mixer, tables: np.ndarray) -> None:
@@ -255,10 +260,10 @@ def count_tables(texts: list[bytes], code: Code, how: Mixer, tables: np.ndarray)
 
 def _count(symbols: np.ndarray, coded: np.ndarray, code: Code, how: Mixer, tables: np.ndarray) -> None:
     at, path = code.decisions(symbols[len(PAD) :], coded, before(symbols))
-    steps = code.steps.take(path)
+    steps = taken(code.steps, path)
     part, bit = node_parts(steps), (steps >> 8 & 1).astype(np.uint32)
     for k, c in enumerate(contexts(symbols, how.orders)):
-        cell = slots_of(c.take(at), part, how.slot_bits)
+        cell = slots_of(taken(c, at), part, how.slot_bits)
         cell <<= np.uint32(1)
         cell |= bit
         np.add.at(tables[k], cell.astype(np.int64), tables.dtype.type(1))
@@ -281,7 +286,7 @@ _KINDS = 24  # 12 depths, after white space or not
 _GATES = 2 * _KINDS
 
 #: Bytes of several texts that are predicted together.
-_TOGETHER = 1 << 15
+_TOGETHER = 1 << 16
 
 #: For learning, stretched probabilities are cut into levels on either side of 0: their
 #: greatest values and middles.
@@ -314,16 +319,18 @@ class Start:
 
 def mix(weights: np.ndarray, x: np.ndarray, gate: np.ndarray, how: Mixer) -> tuple[np.ndarray, np.ndarray]:
     """(probability of a one, cell of the map) of each decision."""
-    mixed = weights[0].take(gate, mode="clip")
+    mixed = taken(weights[0], gate)
     mixed *= x[0]
     for w, row in zip(weights[1:], x[1:]):
-        more = w.take(gate, mode="clip")
+        more = taken(w, gate)
         more *= row
         mixed += more
     np.clip(mixed, -8, 8, out=mixed)
     steps = (how.map_steps - 1) / 16
+    step = mixed * mixed.dtype.type(steps)
+    step += mixed.dtype.type(8 * steps + 0.5)
     cell = gate * how.map_steps
-    cell += (mixed * mixed.dtype.type(steps) + mixed.dtype.type(8 * steps + 0.5)).astype(np.int64)
+    cell += step.astype(np.int32)
     np.negative(mixed, out=mixed)
     np.exp(mixed, out=mixed)
     mixed += 1
@@ -342,17 +349,17 @@ class Model:
         symbols = np.concatenate(parts) if len(parts) > 1 else parts[0]
         sizes = [len(p) - len(PAD) for p in parts]
         at, path = self.code.decisions(symbols[len(PAD) :], not_pads(sizes) if len(parts) > 1 else None, before(symbols))
-        steps = self.code.steps.take(path)
-        part = node_parts(steps)
+        steps = taken(self.code.steps, path)
+        part, high = node_parts(steps), (steps >> 8).astype(np.uint8)
         found = np.empty((len(self.how.orders), len(at)), np.int8)
         for row, values, h in zip(found, tables, contexts(symbols, self.how.orders)):
-            values.take(slots_of(h.take(at), part, self.how.slot_bits), mode="clip", out=row)
+            taken(values, slots_of(taken(h, at), part, self.how.slot_bits), out=row)
         owner = np.repeat(np.arange(len(parts)) * apart, [n + len(PAD) for n in sizes])[: len(symbols) - len(PAD)]
-        owner += _WHITE[symbols[len(PAD) - 1 : -1]]
-        gate = owner.take(at)
-        gate += steps >> 8 & 30  # twice the depth
-        gate += (found[-1] == 0) * np.int64(_KINDS)  # the longest context says nothing
-        return at, steps >> 8 & 1, found, gate
+        owner += taken(_WHITE, symbols[len(PAD) - 1 : -1])
+        gate, kind = taken(owner, at), high & 30  # twice the depth
+        kind += (found[-1] == 0).view(np.uint8) * np.uint8(_KINDS)  # the longest context says nothing
+        gate += kind
+        return at, high & 1, found, gate
 
     def log10(self, text: bytes) -> float:
         """log10 probability of the text and its end."""
@@ -388,14 +395,14 @@ class Model:
         """Sum of ln probability of each part; its owner's ``state`` learns from it."""
         how, n = self.how, len(parts)
         weights, seen, ones = (v[owners] for v in state)
-        at, y, found, gate = self._inputs(parts, self.stretch)
+        at, bit, found, gate = self._inputs(parts, self.stretch)
         x = found.astype(np.float32)
         p, cell = mix((weights.transpose(1, 0, 2) * np.float32(1 / _FINE)).reshape(len(how.orders), -1), x, gate, how)
         # the map's say: p + map_share * (ones - seen * p) / (seen + map_prior)
         pull = how.map_share / (seen + how.map_prior)
-        final = p * (1 - pull * seen).take(cell, mode="clip")
-        final += (pull * ones).take(cell, mode="clip")
-        y = y.astype(np.float32)
+        final = p * taken(1 - pull * seen, cell)
+        final += taken(pull * ones, cell)
+        y = bit.astype(np.float32)
         final += y
         final -= 1
         np.log(np.abs(final, out=final), out=final)
@@ -403,12 +410,13 @@ class Model:
         totals = np.add.reduceat(final, np.searchsorted(at, begins), dtype=np.float64)
         if refine:
             error = y - p
-            pace = how.rate / _FINE / np.maximum(np.bincount(gate, minlength=n * _GATES), 64)
+            zero, one = bits_by_cell(cell, bit, seen.size)
+            both = zero + one
+            pace = how.rate / _FINE / np.maximum(both.reshape(-1, how.map_steps).sum(axis=1), 64)
             for i, row in enumerate(x):
                 row *= error
                 weights[:, i] += (pace * np.bincount(gate, weights=row, minlength=n * _GATES)).reshape(n, -1)
-            zero, one = bits_by_cell(cell, y, seen.size)
-            seen += (zero + one).reshape(n, -1)
+            seen += both.reshape(n, -1)
             ones += one.reshape(n, -1)
             for v, new in zip(state, (weights, seen, ones)):
                 v[owners] = new
@@ -421,14 +429,15 @@ class Model:
 
         def add(parts: list[np.ndarray]) -> None:
             _, y, found, gate = self._inputs(parts, table, 0)
-            cell = np.zeros(len(y), np.int32)
-            for row in found:
+            cell = found[0].astype(np.int32)
+            for row in found[1:]:
                 cell *= _WIDTH
-                cell += row.astype(np.int32) + _SIDE
+                cell += row
             cell <<= 1
             cell += y
             gate *= 2 * _WIDTH ** len(found)
             gate += cell
+            gate += _WIDTH ** len(found) - 1  # 2 * _SIDE of each context: no level is below 0
             np.add.at(joint, gate, joint.dtype.type(1))
 
         held, size = [], 0
@@ -476,9 +485,11 @@ def slopes_of(joint: np.ndarray, start: Start, how: Mixer) -> tuple[np.ndarray,
     return sums, cells
 
 
-def bits_by_cell(cell: np.ndarray, y: np.ndarray, cells: int) -> np.ndarray:
+def bits_by_cell(cell: np.ndarray, bit: np.ndarray, cells: int) -> np.ndarray:
     """Number of zeros, and of ones, per cell."""
-    return np.bincount(cell + cells * (y > 0), minlength=2 * cells).reshape(2, cells)
+    both = cell << 1
+    both += bit
+    return np.bincount(both, minlength=2 * cells).reshape(cells, 2).T
 
 
 def newton_step(start: Start, sums: np.ndarray, cells: np.ndarray, how: Mixer) -> Start:
@@ -551,7 +562,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-_BLOCK = "block int, counts binary"
+_BLOCK = "block int, counts binary, width int"
+
+
+def packed(numbers: Iterable[int], blocks: Iterable[np.ndarray], least: int = 2) -> pa.RecordBatch:
+    """Rows of ``_BLOCK``: the counts of a block as numbers of ``width`` bytes, the fewest
+    (``least`` at least) that hold them."""
+    counts, widths = [], []
+    for block in blocks:
+        widths.append(next(w for w in (2, 4, 8) if w >= least and (w == 8 or int(block.max()) >> 8 * w == 0)))
+        counts.append(zlib.compress(block.astype(f"<u{widths[-1]}").tobytes(), 1))
+    columns = [pa.array(numbers, pa.int32()), pa.array(counts, pa.binary()), pa.array(widths, pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "counts", "width"])
 
 
 def table_blocks(texts: DataFrame, code: Code, how: Mixer) -> DataFrame:
@@ -560,10 +582,10 @@ def table_blocks(texts: DataFrame, code: Code, how: Mixer) -> DataFrame:
     width = 2 << how.block_bits
 
     def rows(tables):
-        packed = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in tables.reshape(-1, width)]
-        for at in range(0, len(packed), 256):
-            part = packed[at : at + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(range(at, at + len(part)), pa.int32()), pa.array(part, pa.binary())], names=["block", "counts"])
+        blocks = tables.reshape(-1, width)
+        for at in range(0, len(blocks), 256):
+            part = blocks[at : at + 256]
+            yield packed(range(at, at + len(part)), part)
 
     def count(batches):
         tables, size, done = None, 0, 0
@@ -589,16 +611,19 @@ def table_blocks(texts: DataFrame, code: Code, how: Mixer) -> DataFrame:
 
 
 def added(blocks: DataFrame) -> DataFrame:
-    """One row per block, the sum of all its rows."""
+    """One row per block, the sum of all its rows, in numbers of 8 bytes."""
 
     def run(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[block] = sums.get(block, 0) + np.frombuffer(zlib.decompress(packed), "<i8")
+            for block, counts, width in zip(*(c.to_pylist() for c in batch.columns)):
+                some = np.frombuffer(zlib.decompress(counts), f"<u{width}")
+                if block in sums:
+                    sums[block] += some
+                else:
+                    sums[block] = some.astype(np.uint64)
         if sums:
-            packed = [zlib.compress(s.astype("<i8").tobytes(), 1) for s in sums.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
+            yield packed(list(sums), sums.values(), 8)
 
     return blocks.repartition("block").mapInArrow(run, _BLOCK)
 
@@ -610,11 +635,11 @@ def stretch_of(blocks: DataFrame, how: Mixer) -> np.ndarray:
     def run(batches):
         for batch in batches:
             made = [stretched(np.frombuffer(zlib.decompress(c), "<i8")).tobytes() for c in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["block", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["block", "stretch"])
 
     out = np.zeros((len(how.orders) * (how.slots >> how.block_bits), 1 << how.block_bits), np.int8)
-    got = blocks.mapInArrow(run, _BLOCK).toArrow()
-    for block, raw in zip(got.column("block"), got.column("counts")):
+    got = blocks.mapInArrow(run, "block int, stretch binary").toArrow()
+    for block, raw in zip(got.column("block"), got.column("stretch")):
         out[block.as_py()] = np.frombuffer(raw.as_py(), np.int8)
     return out.reshape(len(how.orders), -1)
 
@@ -636,8 +661,7 @@ def joint_blocks(texts: DataFrame, model: Model) -> DataFrame:
                 total, size, joint = total + joint.astype(np.int64), 0, empty_joint(model.how)
         total = total + joint.astype(np.int64)
         if total.any():
-            packed = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in total.reshape(_GATES, -1)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(_GATES), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
+            yield packed(range(_GATES), total.reshape(_GATES, -1))
 
     return texts.mapInArrow(run, _BLOCK)
 
@@ -704,20 +728,18 @@ def score(docs: DataFrame, how: Mixer = Mixer()) -> DataFrame:
         for batch in _slices(batches):
             rows, texts = [], _texts(batch, 1)
             for text, log10 in zip(texts, model.log10s(texts)):
-                words = Counter(words_of(text))
-                words[b""] += 1
+                words = [*words_of(text), b""]
                 scores = list(map(known.get, words, repeat(0.0)))  # 0 for the rare alone
-                rare = [w for w, s in zip(words, scores) if not s]
-                times = [words[w] for w in rare]
+                rare = Counter(w for w, s in zip(words, scores) if not s)
                 rows.append(
                     (
-                        words.total(),
-                        words.total() - sum(times),
-                        math.sumprod(words.values(), scores),
+                        len(words),
+                        len(words) - rare.total(),
+                        math.fsum(scores),
                         log10,
                         len(text),
-                        rare,
-                        times,
+                        list(rare),
+                        list(rare.values()),
                     )
                 )
             made = [pa.array(c, t) for c, t in zip(zip(*rows), arrow)] if rows else [pa.array([], t) for t in arrow]

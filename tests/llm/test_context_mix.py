@@ -239,3 +239,42 @@ def test_texts_are_scored_alike_alone_and_together(sample):
     together = m.log10s(texts)
     assert [m.log10(t) for t in texts] == together
     assert m.log10s(texts[::-1])[::-1] == together
+
+
+def test_blocks_are_packed_in_the_fewest_bytes_and_add_up(spark):
+    blocks = [np.array([0, top], np.uint64) for top in (1, 2**16 - 1, 2**16, 2**32 - 1, 2**32)]
+    rows = M.packed(range(5), blocks).to_pylist()
+    assert [r["width"] for r in rows] == [2, 2, 4, 4, 8]
+    assert M.packed([0], blocks[:1], 8).to_pylist()[0]["width"] == 8
+    frame = spark.createDataFrame([(0, r["counts"], r["width"]) for r in rows], M._BLOCK).repartition(3)
+    (sums,) = M.added(frame).collect()
+    assert np.frombuffer(zlib.decompress(sums.counts), "<i8").tolist() == [0, sum(int(b[1]) for b in blocks)]
+    _, code, _ = model([b"some text"])
+    texts = spark.createDataFrame([("the cat sat on the mat",)], "text string")
+    assert {r.width for r in M.table_blocks(texts, code, SMALL).collect()} == {2}
+
+
+def test_joint_numbers_are_those_of_single_decisions():
+    texts = [b"the cat sat on the mat", b"", b"A1 dog"]
+    m, code, _ = model(texts[:1])
+    joint, want = M.empty_joint(SMALL), M.empty_joint(SMALL)
+    m.add_joint(texts, joint)
+    level = M.levels(m.stretch).astype(int) + M._SIDE
+    for t in texts:
+        s = M.padded([t])
+        at, path = code.decisions(s[8:], None, M.before(s))
+        hashes = M.contexts(s, SMALL.orders)
+        for i, k in zip(at.tolist(), path.tolist()):
+            part, step = code.node_part[k : k + 1], int(code.steps[k])
+            found = [int(row[M.slots_of(h[i : i + 1], part, SMALL.slot_bits)[0]]) for row, h in zip(level, hashes)]
+            unknown = m.stretch[-1][M.slots_of(hashes[-1][i : i + 1], part, SMALL.slot_bits)[0]] == 0
+            cell = int(M._WHITE[s[i + 7]]) + 2 * (step >> 9) + M._KINDS * int(unknown)
+            for f in found:
+                cell = cell * M._WIDTH + f
+            want[2 * cell + (step >> 8 & 1)] += 1
+    assert (joint == want).all()
+
+
+def test_zeros_and_ones_are_counted_by_cell():
+    zero, one = M.bits_by_cell(np.array([2, 0, 2, 2]), np.array([1, 0, 0, 1], np.uint8), 4)
+    assert zero.tolist() == [1, 0, 1, 0] and one.tolist() == [0, 0, 2, 0]
