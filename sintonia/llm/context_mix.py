@@ -526,6 +526,13 @@ def _slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def keep_memory(size: int = 24 << 20) -> None:
+    """Make and free an array of ``size`` bytes that nothing touches.  The C library then
+    serves arrays up to that size from memory it keeps (about twice as much at most);
+    else each block's arrays go back to the system and are mapped anew, page by page."""
+    np.empty(size, np.uint8)
+
+
 def _texts(batch: pa.RecordBatch, column: int = 0) -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
@@ -588,6 +595,7 @@ def table_blocks(texts: DataFrame, code: Code, how: Mixer) -> DataFrame:
             yield packed(range(at, at + len(part)), part)
 
     def count(batches):
+        keep_memory()
         tables, size, done = None, 0, 0
         held: list[bytes] = []
         for batch in _slices(batches):
@@ -650,6 +658,7 @@ def joint_blocks(texts: DataFrame, model: Model) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast(Model(model.code, levels(model.stretch), model.how))
 
     def run(batches):
+        keep_memory()
         model = sent.value
         total, size = np.int64(0), 0
         joint = empty_joint(model.how)
@@ -724,6 +733,7 @@ def score(docs: DataFrame, how: Mixer = Mixer()) -> DataFrame:
     arrow = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
 
     def run(batches):
+        keep_memory()
         model, known = sent.value
         for batch in _slices(batches):
             rows, texts = [], _texts(batch, 1)

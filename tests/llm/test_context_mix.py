@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -278,3 +281,23 @@ def test_joint_numbers_are_those_of_single_decisions():
 def test_zeros_and_ones_are_counted_by_cell():
     zero, one = M.bits_by_cell(np.array([2, 0, 2, 2]), np.array([1, 0, 0, 1], np.uint8), 4)
     assert zero.tolist() == [1, 0, 1, 0] and one.tolist() == [0, 0, 2, 0]
+
+
+def test_arrays_of_a_block_are_not_mapped_anew_each_time():
+    code = """
+import resource, sys
+import numpy as np
+from sintonia.llm import context_mix as M
+
+if sys.argv[1] == "keep":
+    M.keep_memory()
+faults = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+for _ in range(30):
+    begin = faults()
+    a = [np.ones(200_000) for _ in range(8)]
+    a.clear()
+print(faults() - begin)
+"""
+    root = Path(M.__file__).resolve().parents[2]
+    plain, kept = (int(subprocess.run([sys.executable, "-c", code, how], cwd=root, capture_output=True, check=True, text=True).stdout) for how in ("plain", "keep"))
+    assert kept < 500 and kept <= plain
