@@ -238,9 +238,9 @@ def slots_of(context: np.ndarray, node_part: np.ndarray, bits: int) -> np.ndarra
 # ---- training ---------------------------------------------------------------
 
 
-#: Bytes that are counted at a time: enough that single calls cost little beside them.
-_PIECE = 1 << 16
-_LONG = _PIECE
+#: Bytes that are counted at a time; what they need stays in the processor's cache.
+_PIECE = 1 << 14
+_LONG = 4 * _PIECE
 
 
 def count_tables(texts: list[bytes], code: Code, how: Mixer, tables: np.ndarray) -> None:
@@ -286,7 +286,7 @@ _KINDS = 24  # 12 depths, after white space or not
 _GATES = 2 * _KINDS
 
 #: Bytes of several texts that are predicted together.
-_TOGETHER = 1 << 16
+_TOGETHER = 1 << 15
 
 #: For learning, stretched probabilities are cut into levels on either side of 0: their
 #: greatest values and middles.
